@@ -1,0 +1,62 @@
+"""Messages that wait until they are due, each on its own timer."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+RETENTION_MS = 336 * 60 * 60 * 1000
+
+
+class HoldUntilDue(StatefulProcessor):
+    """Keeps the message that is due last per key and hands it out once it is due.
+
+    Only that one message is held, however many arrive. The state is cleared on release and
+    expires with the retention of the retry topic.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._waiting = handle.getValueState(
+            "waiting", "value string, due_ms bigint", ttlDurationMs=RETENTION_MS
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = self._waiting.get() if self._waiting.exists() else None
+        value, due_ms = (kept[0], kept[1]) if kept is not None else (None, None)
+        for row in rows:
+            if due_ms is None or (row["due_ms"], row["value"]) >= (due_ms, value):
+                value, due_ms = row["value"], row["due_ms"]
+        self._drop_timers()
+        if due_ms <= timerValues.getCurrentProcessingTimeInMs():
+            self._waiting.clear()
+            yield Row(key=key[0], value=value, due_ms=due_ms)
+        else:
+            self._waiting.update((value, due_ms))
+            self._handle.registerTimer(due_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self._waiting.exists():
+            value, due_ms = self._waiting.get()[:2]
+            self._waiting.clear()
+            yield Row(key=key[0], value=value, due_ms=due_ms)
+
+    def _drop_timers(self) -> None:
+        for timer in list(self._handle.listTimers()):
+            self._handle.deleteTimer(timer)
+
+    def close(self) -> None:
+        pass
+
+
+def hold_until_due(retries: DataFrame) -> DataFrame:
+    """Streaming (key, value, due_ms) -> the same rows, each once it is due. Needs the RocksDB
+    state store (``session.STATE_STORE``)."""
+    return retries.groupBy("key").transformWithState(
+        statefulProcessor=HoldUntilDue(),
+        outputStructType="key string, value string, due_ms bigint",
+        outputMode="Append",
+        timeMode="ProcessingTime",
+    )
