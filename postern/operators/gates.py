@@ -18,4 +18,7 @@ def event_type_passes() -> Column:
 
 
 def gate(events: DataFrame) -> DataFrame:
-    return events.where(theme_passes()).where(event_type_passes())
+    """A NULL theme or type does not pass."""
+    return events.where(F.col("temaNytt") == GATE_THEME).where(
+        F.col("hendelsesType").isin(*GATE_EVENT_TYPES)
+    )

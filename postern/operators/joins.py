@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from postern.functions import parties as P
 from postern.functions.text import term_malformed, term_part
-from postern.operators.skew import hot_keys, salted_left_join, spread_null_keys
+from postern.operators.skew import (
+    EVENTS_PER_TASK,
+    hot_entries,
+    salted_left_join,
+    spread_null_keys,
+)
 from postern.sources.lookups import entries_with_open_task, identity_facts
 
 
@@ -29,11 +34,14 @@ def with_entry(keys: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def events_with_entry(events: DataFrame, entries: DataFrame, **hot_bounds: int) -> DataFrame:
+def events_with_entry(
+    events: DataFrame, entries: DataFrame, per_task: int = EVENTS_PER_TASK
+) -> DataFrame:
     """Every event with its entry; one entry may have any number of events."""
-    hot = hot_keys(keys_of(events), "entry_id", "n_events", **hot_bounds)
-    found = entries.withColumn("entry_found", F.lit(True))
-    return salted_left_join(events, found, "entry_id", F.col("event_order"), hot).withColumn(
+    hot = hot_entries(keys_of(events), per_task)
+    salts = F.broadcast(hot.select("entry_id", "salts"))
+    found = entries.withColumn("entry_found", F.lit(True)).join(salts, "entry_id", "left")
+    return salted_left_join(events, found, hot).withColumn(
         "entry_found", F.coalesce("entry_found", F.lit(False))
     )
 

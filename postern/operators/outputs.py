@@ -11,21 +11,6 @@ from postern.functions.dates import deadline
 from postern.functions.text import unless_blank
 from postern.operators.routing import AUTO, DISTRIBUTION, JOURNALING, TASK_OUTCOMES
 
-TASK_COLUMNS = [
-    "aktoerId",
-    "orgnr",
-    "journalpostId",
-    "tema",
-    "behandlingstema",
-    "behandlingstype",
-    "oppgavetype",
-    "tildeltEnhetsnr",
-    "beskrivelse",
-    "prioritet",
-    "aktivDato",
-    "fristFerdigstillelse",
-]
-
 
 def auto_unit(overrides: list[str] | None = None) -> Column:
     """Unit of an automatic task: the entry's unit unless blank, none for listed entries."""
@@ -47,9 +32,12 @@ def distribution_theme() -> Column:
     )
 
 
-def task_requests(decisions: DataFrame, overrides: list[str] | None = None) -> DataFrame:
+def task_requests(
+    decisions: DataFrame, overrides: list[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """The task feed: one request per entry decided as automatic, journaling or distribution
-    task, in the task system's field names. One projection serves the three kinds."""
+    task, in the task system's field names. One projection serves the three kinds; ``keep``
+    names decision columns to carry along."""
     outcome = F.col("outcome")
     is_auto = outcome == AUTO
     is_distribution = outcome == DISTRIBUTION
@@ -72,6 +60,7 @@ def task_requests(decisions: DataFrame, overrides: list[str] | None = None) -> D
         F.lit(rules.PRIORITY).alias("prioritet"),
         F.to_date("as_of").alias("aktivDato"),
         deadline(F.col("as_of"), days).alias("fristFerdigstillelse"),
+        *keep,
     )
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postern.operators.routing import RETRY
+from postern.operators.routing import RETRY, TASK_OUTCOMES
 from postern.rules import REJECTION_TEXTS, REPAIRABLE_HTTP_STATUS
 
 BAD_UNIT = "bad_unit"
@@ -32,58 +32,54 @@ def is_accepted(http_status: Column) -> Column:
     return F.coalesce(http_status.between(200, 299), F.lit(False))
 
 
-def first_replies(requests: DataFrame, answers: DataFrame) -> DataFrame:
-    """Requests with the reply to their first attempt and its class."""
-    replies = answers.where(F.col("attempt") == 1).select(
-        F.col("entry_id").alias("journalpostId"), "http_status", "message"
-    )
-    return requests.join(replies, "journalpostId", "left").withColumn(
-        "rejection", rejection_class(F.col("http_status"), F.col("message"))
+def with_replies(rows: DataFrame, answers: DataFrame, id_column: str) -> DataFrame:
+    """Add what the task system replied: ``http_status`` and ``message`` of the first attempt,
+    its ``rejection`` class, the number of ``attempts`` (a classified rejection is repaired and
+    sent once more) and whether the last one was ``accepted``."""
+
+    def attempt(n: int, *columns: Column) -> DataFrame:
+        return answers.where(F.col("attempt") == n).select(F.col("entry_id").alias(id_column), *columns)
+
+    first = attempt(1, F.col("http_status"), F.col("message"))
+    second = attempt(2, F.col("http_status").alias("_second"))
+    repaired = F.col("rejection").isNotNull()
+    return (
+        rows.join(first, id_column, "left")
+        .join(second, id_column, "left")
+        .withColumn("rejection", rejection_class(F.col("http_status"), F.col("message")))
+        .withColumn("attempts", F.when(repaired, 2).otherwise(1))
+        .withColumn(
+            "accepted", is_accepted(F.when(repaired, F.col("_second")).otherwise(F.col("http_status")))
+        )
+        .drop("_second")
     )
 
 
 def emptied(replied: DataFrame) -> DataFrame:
-    """The refused field is emptied: the unit or the organisation number."""
+    """The refused field of a repaired request is empty: the unit or the organisation number."""
     kind = F.coalesce("rejection", F.lit(""))
     return replied.withColumn(
         "tildeltEnhetsnr", F.when(kind != BAD_UNIT, F.col("tildeltEnhetsnr"))
     ).withColumn("orgnr", F.when(kind != BAD_ORG, F.col("orgnr")))
 
 
-def second_requests(replied: DataFrame) -> DataFrame:
-    """The requests that are sent again, once."""
-    return emptied(replied.where(F.col("rejection").isNotNull())).drop("http_status", "message")
-
-
 def settle(requests: DataFrame, answers: DataFrame) -> DataFrame:
-    """Every request after at most one repair: the fields as last sent, ``attempts``,
-    ``accepted`` and the retry ``reason`` of those that were not."""
-    replied = first_replies(requests, answers)
-    repaired = F.col("rejection").isNotNull()
-    second = answers.where(F.col("attempt") == 2).select(
-        F.col("entry_id").alias("journalpostId"), F.col("http_status").alias("second_status")
-    )
-    final_status = F.when(repaired, F.col("second_status")).otherwise(F.col("http_status"))
+    """Every request after at most one repair, with the fields as last sent and the retry
+    ``reason`` of those that were refused for good."""
     return (
-        emptied(replied)
-        .join(second, "journalpostId", "left")
-        .withColumn("accepted", is_accepted(final_status))
-        .withColumn("attempts", F.when(repaired, 2).otherwise(1))
+        emptied(with_replies(requests, answers, "journalpostId"))
         .withColumn("reason", F.when(~F.col("accepted"), REJECTED))
-        .drop("second_status", "message")
+        .drop("message")
     )
 
 
-def settled_decisions(decisions: DataFrame, settled: DataFrame) -> DataFrame:
+def settled_decisions(decisions: DataFrame, answers: DataFrame) -> DataFrame:
     """Decisions after the task system's replies: an entry whose task was refused for good
     becomes RETRY, so it is neither updated nor finalized, and is tried again later."""
-    refused = settled.where(~F.col("accepted")).select(
-        F.col("journalpostId").alias("entry_id"), F.lit(True).alias("refused")
-    )
-    lost = F.coalesce("refused", F.lit(False))
+    replied = with_replies(decisions, answers, "entry_id")
+    refused = F.col("outcome").isin(*TASK_OUTCOMES) & ~F.col("accepted")
     return (
-        decisions.join(refused, "entry_id", "left")
-        .withColumn("outcome", F.when(lost, RETRY).otherwise(F.col("outcome")))
-        .withColumn("reason", F.when(lost, REJECTED).otherwise(F.col("reason")))
-        .drop("refused")
+        replied.withColumn("reason", F.when(refused, REJECTED).otherwise(F.col("reason")))
+        .withColumn("outcome", F.when(refused, RETRY).otherwise(F.col("outcome")))
+        .drop("http_status", "message", "accepted")
     )

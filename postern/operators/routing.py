@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postern.functions import parties as P
 from postern.operators import joins
-from postern.operators.skew import hot_keys, salted_left_join
+from postern.operators.skew import EVENTS_PER_TASK, hot_entries, salted_left_join, salts_for
 from postern.rules import GATE_THEME, OPEN_STATUSES
 
 AUTO = "AUTO"
@@ -134,22 +134,28 @@ def inherited(outcome: Column) -> Column:
 
 
 def fan_out(
-    events: DataFrame, decisions: DataFrame, counts: DataFrame | None = None, **hot_bounds: int
+    events: DataFrame,
+    decisions: DataFrame,
+    keys: DataFrame | None = None,
+    per_task: int = EVENTS_PER_TASK,
 ) -> DataFrame:
     """Outcome of every event: the first event of an entry gets the entry's decision, the later
     ones what they inherit.
 
-    ``counts`` (``entry_id``, ``n_events``) serves to find hot entries. Pass ``decisions`` if
-    they are a written table; otherwise the events are counted, which reads one column again
-    but does not run the decisions twice.
-
-    No window is used: "first" is known from the per-entry minimum, so an entry with very many
-    events is neither sorted nor gathered in one task.
+    "First" is known from the per-entry minimum, so no window sorts the events of an entry or
+    gathers them in one task. ``keys`` (entry id, first event, number of events) serves to find
+    hot entries: pass ``decisions`` if they are a written table; otherwise the events are
+    reduced to keys as for the decisions, which reuses that shuffle.
     """
-    lookup = decisions.select("entry_id", "first_event", "outcome", "reason")
-    counts = joins.keys_of(events) if counts is None else counts
-    hot = hot_keys(counts, "entry_id", "n_events", **hot_bounds)
-    joined = salted_left_join(events, lookup, "entry_id", F.col("event_order"), hot)
+    hot = hot_entries(joins.keys_of(events) if keys is None else keys, per_task)
+    lookup = decisions.select(
+        "entry_id",
+        "first_event",
+        "outcome",
+        "reason",
+        salts_for(F.col("n_events"), per_task).alias("salts"),
+    )
+    joined = salted_left_join(events, lookup, hot)
     first = F.col("event_order") == F.col("first_event")
     return (
         joined.withColumn("first_in_set", first)

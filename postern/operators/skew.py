@@ -1,8 +1,8 @@
-"""Left join of a large table with a table of one row per key, safe against hot keys.
+"""Left join of events with a table of one row per entry, safe against hot entries.
 
 Adaptive execution splits a hot partition only when both sides of the join come straight out
 of a shuffle. That does not hold where the lookup side is itself the end of a chain of joins on
-the same key, so there the hot keys are salted explicitly.
+the same key, so hot entries are salted explicitly there.
 """
 
 from __future__ import annotations
@@ -10,44 +10,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above both bounds. At most MAX_HOT_KEYS keys can each hold more than
-# 1/MAX_HOT_KEYS of the rows, so the broadcast table of hot keys has at most that many rows.
-MAX_HOT_KEYS = 1000
-MIN_HOT_ROWS = 1_000_000
+# Events of one entry that one task takes. An entry above it is split, so n events have fewer
+# than n / EVENTS_PER_TASK hot entries: 100 billion events give a broadcast table below 100,000
+# rows of an id and two numbers.
+EVENTS_PER_TASK = 1_000_000
 
 
-def hot_keys(
-    counts: DataFrame, key: str, n: str, min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """(key, salts) of the hot keys, from a table of row counts per key."""
-    share = counts.agg(F.sum(n) / max_keys).scalar()
-    limit = F.greatest(F.lit(float(min_rows)), share)
-    return (
-        counts.where(F.col(key).isNotNull() & (F.col(n) > limit))
-        .select(key, F.ceil(F.col(n) / limit).cast("int").alias("salts"))
+def salts_for(n: Column, per_task: int = EVENTS_PER_TASK) -> Column:
+    """Number of parts for ``n`` rows; 1 for nearly all keys."""
+    return F.ceil(n / per_task).cast("int")
+
+
+def hot_entries(keys: DataFrame, per_task: int = EVENTS_PER_TASK) -> DataFrame:
+    """(entry_id, first_event, salts) of the entries with more than ``per_task`` events."""
+    return keys.where(F.col("n_events") > per_task).select(
+        "entry_id", "first_event", salts_for(F.col("n_events"), per_task).alias("salts")
     )
 
 
-def salted_left_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Column, hot: DataFrame
-) -> DataFrame:
-    """``rows`` left join ``lookup`` on ``key``.
+def salted_left_join(events: DataFrame, lookup: DataFrame, hot: DataFrame) -> DataFrame:
+    """``events`` left join ``lookup`` on ``entry_id``; ``lookup`` has a ``salts`` column.
 
-    Rows of a hot key are spread over ``salts`` partitions by a hash of ``spread_by`` (a hash,
-    not a random number: a recomputed task must send a row where it went before) and the one
-    lookup row of that key is repeated for each of them. Rows without a key match nothing and
-    are spread the same way.
+    Events of a hot entry are dealt out by their distance from the first one (not at random: a
+    recomputed task must send a row where it went before), and the one lookup row of that entry
+    is repeated for each part. Events without an id match nothing and are spread as well.
     """
-    hot = F.broadcast(hot)
-    salted = rows.join(hot, key, "left").withColumn(
+    order = F.col("event_order")
+    hot = F.broadcast(hot.select("entry_id", F.col("first_event").alias("_first"), F.col("salts").alias("_salts")))
+    salted = events.join(hot, "entry_id", "left").withColumn(
         "_salt",
-        F.when(F.col(key).isNull(), F.xxhash64(spread_by))
-        .when(F.col("salts").isNotNull(), F.pmod(F.xxhash64(spread_by), F.col("salts")))
+        F.when(F.col("entry_id").isNull(), F.xxhash64(order))
+        .when(F.col("_salts").isNotNull(), F.pmod(order - F.col("_first"), F.col("_salts")))
         .otherwise(F.lit(0)),
     )
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)) - F.lit(1).cast("bigint"))
-    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("salts")
-    return salted.drop("salts").join(repeated, [key, "_salt"], "left").drop("_salt")
+    last = F.coalesce("salts", F.lit(1)).cast("bigint") - 1
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return (
+        salted.drop("_first", "_salts")
+        .join(repeated.drop("salts"), ["entry_id", "_salt"], "left")
+        .drop("_salt")
+    )
 
 
 def spread_null_keys(rows: DataFrame, key: Column, spread_by: Column) -> DataFrame:

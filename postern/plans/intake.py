@@ -75,6 +75,9 @@ def outcome_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("outcome", "reason").agg(F.count("*").alias("n_events"))
 
 
+REJECTION = ("rejection",)
+
+
 @dataclass(frozen=True)
 class BatchResult:
     """Written tables of one run."""
@@ -112,16 +115,17 @@ def run_batch(
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(spark, df, f"{folder}/{name}/{part}")
 
-    decisions = write(decide_events(events, lookups), "decisions")
-    requests = outputs.task_requests(decisions)
+    decisions = decide_events(events, lookups)
+    if answers is not None:
+        decisions = repair.settled_decisions(decisions, answers)
+    decisions = write(decisions, "decisions")
+    requests = outputs.task_requests(decisions, keep=REJECTION if answers is not None else ())
     if answers is not None:
-        settled = write(repair.settle(requests, answers), "settled")
-        decisions = write(repair.settled_decisions(decisions, settled), "settled_decisions")
-        requests = settled.where("accepted").select(*outputs.TASK_COLUMNS)
+        requests = repair.emptied(requests).drop(*REJECTION)
     task_requests = write(requests, "task_requests")
     updates = write(outputs.journal_updates(decisions), "journal_updates")
     finalizations = write(outputs.finalizations(updates), "finalizations")
-    routed = write(routing.fan_out(events, decisions, counts=decisions), "routed")
+    routed = write(routing.fan_out(events, decisions, keys=decisions), "routed")
     retries = write(retry.enqueue(routed, delay), "retries")
     return BatchResult(decisions, routed, task_requests, updates, finalizations, retries)
 

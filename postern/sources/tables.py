@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postern import rules
+from postern.functions.dates import epoch_ms
+from postern.operators import retry
+from postern.operators.decode import decode
+from postern.operators.gates import gate
+from postern.operators.routing import RETRY
 from postern.sources import lookups
 
 # Code hierarchy of theme SYK, number -> "handling theme;handling type".
@@ -31,20 +36,6 @@ SINGLE_PREFIX_TERMS = {"90-00.08": ";ae0058", "08-07.04 D": "ab0434;"}
 # Point in time at which retry messages of the test tables are looked at.
 RETRY_AS_OF = "TIMESTAMP_NTZ'2024-01-21 00:00:00'"
 
-_LINE_ORDER = [
-    "l_linenumber",
-    "l_partkey",
-    "l_suppkey",
-    "l_quantity",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-    "l_returnflag",
-    "l_linestatus",
-    "l_shipdate",
-]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -96,6 +87,9 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, l_linenumber) is not unique. Lines that also share the part have the same
+    form code, so line number and part order the documents as far as any result depends on it.
+    """
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     form_code = _cases(
@@ -111,7 +105,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("l_discount") == 0.1, "").when(F.col("l_discount") != 0, F.col("p_name"))
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
         _text("l_orderkey").alias("entry_id"),
-        F.struct(*_LINE_ORDER).alias("doc_order"),
+        F.struct("l_linenumber", "l_partkey").alias("doc_order"),
         form_code.alias("form_code"),
         title.alias("title"),
     )
@@ -148,8 +142,8 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("task_id"),
             _text("l_orderkey").alias("entry_id"),
-            _cases(F.col("l_linestatus"), {"O": "AAPEN", "F": "AVSLUTTET"}).alias("category"),
-            _cases(F.col("l_returnflag"), {"A": "JFR", "R": "FDR", "N": "SOK"}).alias("task_type"),
+            _cases(F.col("l_linestatus"), {"O": "AAPEN"}, "AVSLUTTET").alias("category"),
+            _cases(F.col("l_returnflag"), {"A": "JFR", "R": "FDR"}, "SOK").alias("task_type"),
         )
     )
 
@@ -257,22 +251,84 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retry_messages_raw(retries: DataFrame) -> DataFrame:
-    """Retry rows as broker messages: due time in a header, the last of that name counts, and
-    every tenth message (by due time) without one."""
-    text = F.col("due_ms").cast("string")
+def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One broker message per event. The due time stands in the last header of its name, behind
+    a stale one; every tenth message has no such header."""
+    due_text = epoch_ms(F.col("as_of") + F.expr(rules.FIRST_RETRY_DELAY)).cast("string")
 
     def header(name: str, value: Column) -> Column:
         return F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
 
-    with_due = F.array(
-        header(rules.DUE_HEADER, F.lit("0")),
-        header(rules.DUE_HEADER, text),
-        header("other", F.lit("1")),
+    other = header("other", F.lit("1"))
+    dated = F.array(header(rules.DUE_HEADER, F.lit("0")), header(rules.DUE_HEADER, due_text), other)
+    return decode(events(spark, sf_dir)).select(
+        F.col("entry_id").alias("key"),
+        retry.event_json().alias("value"),
+        F.when(F.col("event_order") % 10 == 0, F.array(other)).otherwise(dated).alias("headers"),
     )
-    without = F.array(header("other", F.lit("1")))
-    return retries.select(
-        "key", "value", F.when(F.col("due_ms") % 10 == 0, without).otherwise(with_due).alias("headers")
+
+
+def retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retry rows as if every gated event had failed once: one waiting row per entry."""
+    failed = decode(gate(events(spark, sf_dir))).withColumn("outcome", F.lit(RETRY))
+    return retry.enqueue(failed)
+
+
+def date_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entry_id, value): JSON with a list of dates as an array, as a single object, or absent;
+    and a list of strings likewise."""
+    key = F.col("o_orderkey")
+
+    def date(kind: str) -> Column:
+        day = F.date_format("o_orderdate", "yyyy-MM-dd")
+        return F.struct(day.alias("dato"), F.lit(kind).alias("datotype"))
+
+    many = F.to_json(F.struct(F.array(date("DATO_OPPRETTET"), date("DATO_REGISTRERT")).alias("relevanteDatoer"), F.array(F.lit("a"), F.col("o_orderpriority")).alias("path")))
+    one = F.to_json(F.struct(date("DATO_REGISTRERT").alias("relevanteDatoer"), F.col("o_orderpriority").alias("path")))
+    value = F.when(key % 4 == 0, many).when(key % 4 == 1, one).when(key % 4 == 2, F.lit("{}")).otherwise(
+        F.lit('{"relevanteDatoer": null, "path": []}')
     )
+    return table(spark, sf_dir, "orders").select(key.cast("string").alias("entry_id"), value.alias("value"))
 
 
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entry_id, value): lookup responses with an entry, without one, with and without errors;
+    some errors have no message."""
+    key = F.col("o_orderkey")
+
+    def error(message: Column, code: str) -> Column:
+        return F.struct(
+            message.alias("message"),
+            F.struct(F.lit(code).alias("code"), F.lit("DataFetching").alias("classification")).alias("extensions"),
+        )
+
+    entry = F.struct(
+        key.cast("string").alias("journalpostId"),
+        F.col("o_orderstatus").alias("journalstatus"),
+        F.array().cast("array<string>").alias("dokumenter"),
+        F.lit("SYK").alias("tema"),
+    )
+    not_found = error(F.concat(F.lit("not found "), key.cast("string")), "not_found")
+    no_text = error(F.lit(None).cast("string"), "server_error")
+    errors = F.when(key % 5 == 0, F.array(not_found, no_text)).when(key % 5 == 1, F.array(no_text))
+    response = F.struct(
+        F.struct(F.when(~(key % 5).isin(0, 4), entry).alias("journalpost")).alias("data"),
+        errors.alias("errors"),
+    )
+    return table(spark, sf_dir, "orders").select(
+        key.cast("string").alias("entry_id"), F.to_json(response).alias("value")
+    )
+
+
+def part_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part_id, term): code terms of every shape: both parts, one blank, none, no separator."""
+    key = F.col("p_partkey")
+    number = key.cast("string")
+    term = (
+        F.when(key % 6 == 0, F.concat(F.lit("ab"), number, F.lit(";ae"), number))
+        .when(key % 6 == 1, F.concat(F.lit("ab"), number, F.lit(";")))
+        .when(key % 6 == 2, F.concat(F.lit(";ae"), number, F.lit(";x")))
+        .when(key % 6 == 3, F.concat(F.lit("ab"), number))
+        .when(key % 6 == 4, F.lit("  ;\t"))
+    )
+    return table(spark, sf_dir, "part").select(key.alias("part_id"), term.alias("term"))
