@@ -16,7 +16,7 @@ from postern.operators import envelope, gates, joins, outputs, repair, retry, ro
 from postern.operators.decode import decode, split_faulty
 from postern.plans import intake
 from postern.schemas import JOURNAL_ENTRY, RETRY_MESSAGE
-from postern.session import STATE_STORE, work_dir
+from postern.session import STATE_STORE, session_settings, work_dir
 from postern.sources import lookups, streams, tables
 from postern.streaming import enrich, route
 from postern.streaming.retry import hold_until_due
@@ -504,15 +504,10 @@ def stream_retry(spark, sf_dir):
     """Retry messages held until due; all of the test tables' are."""
     folder = work_dir(spark, "retry")
     tables.retries(spark, sf_dir).write.parquet(f"{folder}/retries")
-    name, provider = STATE_STORE
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, provider)
-    try:
-        waiting = streams.file_stream(spark, folder, "retries", spark.read.parquet(f"{folder}/retries").schema)
+    # Without batches for timers alone, the stream ends once its source is read through.
+    settings = dict([STATE_STORE, ("spark.sql.streaming.noDataMicroBatches.enabled", "false")])
+    with session_settings(spark, settings):
+        schema = spark.read.parquet(f"{folder}/retries").schema
+        waiting = streams.file_stream(spark, folder, "retries", schema)
         rows = hold_until_due(waiting.select("key", "value", "due_ms")).select("key", "due_ms")
         return _written_stream(spark, rows, folder)
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)

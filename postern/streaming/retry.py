@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# The processor travels to the executors by value; they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RETENTION_MS = 336 * 60 * 60 * 1000
 
 
