@@ -10,14 +10,15 @@ def array_or_single(value: Column, path: str, element_ddl: str) -> Column:
     """``array<element>`` at ``path``: a lone object becomes a list of one, an absent or null
     field stays NULL."""
     raw = F.get_json_object(value, path)
-    return F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.from_json(raw, f"array<{element_ddl}>")).when(
-        raw.isNotNull(), F.array(F.from_json(raw, element_ddl))
-    )
+    return _listed(raw, element_ddl, F.from_json(raw, element_ddl))
 
 
 def strings_or_single(value: Column, path: str) -> Column:
-    """The same for ``array<string>``, where a lone value is not a JSON document."""
+    """The same for ``array<string>``, where a lone value is not a JSON document itself."""
     raw = F.get_json_object(value, path)
-    return F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.from_json(raw, "array<string>")).when(
-        raw.isNotNull(), F.array(raw)
-    )
+    return _listed(raw, "string", raw)
+
+
+def _listed(raw: Column, element_ddl: str, single: Column) -> Column:
+    many = F.from_json(raw, f"array<{element_ddl}>")
+    return F.when(raw.isNotNull(), F.coalesce(many, F.array(single)))
