@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postern.functions import parties as P
 from postern.functions.text import term_malformed, term_part
 from postern.operators.skew import (
     EVENTS_PER_TASK,
@@ -13,6 +12,7 @@ from postern.operators.skew import (
     salted_left_join,
     spread_null_keys,
 )
+from postern.rules import PARTY_ORGANISATION
 from postern.sources.lookups import entries_with_open_task, identity_facts
 
 
@@ -26,12 +26,19 @@ def keys_of(events: DataFrame) -> DataFrame:
     )
 
 
+def _found(entries: DataFrame) -> DataFrame:
+    return entries.withColumn("entry_found", F.lit(True))
+
+
+def _flags(entries: DataFrame, **defaults: bool) -> DataFrame:
+    """NULL flags of a left join become their default."""
+    return entries.fillna(defaults)
+
+
 def with_entry(keys: DataFrame, entries: DataFrame) -> DataFrame:
     """Left join with the journal entry; ``entry_found`` tells whether there was one."""
-    found = entries.withColumn("entry_found", F.lit(True))
-    return keys.join(found, "entry_id", "left").withColumn(
-        "entry_found", F.coalesce("entry_found", F.lit(False))
-    )
+    joined = keys.join(_found(entries), "entry_id", "left")
+    return _flags(joined, entry_found=False, entry_ok=True)
 
 
 def events_with_entry(
@@ -40,27 +47,20 @@ def events_with_entry(
     """Every event with its entry; one entry may have any number of events."""
     hot = hot_entries(keys_of(events), per_task)
     salts = F.broadcast(hot.select("entry_id", "salts"))
-    found = entries.withColumn("entry_found", F.lit(True)).join(salts, "entry_id", "left")
-    return salted_left_join(events, found, hot).withColumn(
-        "entry_found", F.coalesce("entry_found", F.lit(False))
-    )
+    found = _found(entries).join(salts, "entry_id", "left")
+    return _flags(salted_left_join(events, found, hot), entry_found=False)
 
 
 def with_open_task(entries: DataFrame, tasks: DataFrame) -> DataFrame:
     flagged = entries_with_open_task(tasks).withColumn("has_task", F.lit(True))
-    return entries.join(flagged, "entry_id", "left").withColumn(
-        "has_task", F.coalesce("has_task", F.lit(False))
-    )
+    return _flags(entries.join(flagged, "entry_id", "left"), has_task=False)
 
 
 def with_form_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     """``listed``: automatic handling; ``ignored``: ends without a task. A NULL form code
     matches no rule."""
-    return (
-        entries.join(rules, ["theme", "form_code"], "left")
-        .withColumn("listed", F.col("task_type").isNotNull())
-        .withColumn("ignored", F.coalesce("ignored", F.lit(False)))
-    )
+    joined = entries.join(rules, ["theme", "form_code"], "left")
+    return _flags(joined.withColumn("listed", F.expr("task_type IS NOT NULL")), ignored=False)
 
 
 def with_codes(entries: DataFrame, hierarchy: DataFrame) -> DataFrame:
@@ -71,38 +71,34 @@ def with_codes(entries: DataFrame, hierarchy: DataFrame) -> DataFrame:
     threshold, and joins by shuffle beyond.
     """
     term = F.col("term")
+    preset = F.nullif("preset_theme", F.lit(""))
     return (
         entries.join(hierarchy, ["theme", "form_code"], "left")
-        .withColumn(
-            "handling_theme",
-            F.coalesce(F.nullif("preset_theme", F.lit("")), term_part(term, 0)),
+        .withColumns(
+            {
+                "handling_theme": F.coalesce(preset, term_part(term, 0)),
+                "handling_type": term_part(term, 1),
+                "malformed": term_malformed(term),
+            }
         )
-        .withColumn("handling_type", term_part(term, 1))
-        .withColumn("malformed", term_malformed(term))
         .drop("term")
     )
 
 
-def has_lookup_party() -> Column:
-    """Identities are looked up for every party that is not an organisation."""
-    return F.col("party_type").isNotNull() & ~P.is_organisation(F.col("party_type"))
+# Identities are looked up for every party that is not an organisation.
+LOOKUP_PARTY = f"coalesce(party_type <> '{PARTY_ORGANISATION}', false)"
 
 
 def with_identities(
-    entries: DataFrame, identities: DataFrame, wanted: Column | None = None
+    entries: DataFrame, identities: DataFrame, wanted: str = "true"
 ) -> DataFrame:
     """Left join on the party, for entries that need it only. The others have no key and are
     spread over all partitions. A party with very many entries is left to adaptive skew
     handling, which applies here: both sides come out of a shuffle."""
-    wanted = has_lookup_party() if wanted is None else wanted
-    left = spread_null_keys(entries, F.when(wanted, F.col("party_id")), F.col("entry_id"))
-    right = (
-        identity_facts(identities)
-        .withColumnRenamed("party_id", "_key")
-        .withColumn("_spread", F.lit(0).cast("bigint"))
-    )
-    return (
-        left.join(right, ["_key", "_spread"], "left")
-        .drop("_key", "_spread")
-        .withColumn("person_found", F.coalesce("person_found", F.lit(False)))
+    key = F.expr(f"CASE WHEN {wanted} AND {LOOKUP_PARTY} THEN party_id END")
+    left = spread_null_keys(entries, key, F.col("entry_id"))
+    right = identity_facts(identities).selectExpr(
+        "party_id AS _key", "0L AS _spread", "person_found", "identities_ok", "actor_id", "national_id"
     )
+    joined = left.join(right, ["_key", "_spread"], "left").drop("_key", "_spread")
+    return _flags(joined, person_found=False, identities_ok=True)

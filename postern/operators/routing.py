@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postern.functions import parties as P
+from postern import rules
 from postern.operators import joins
 from postern.operators.skew import EVENTS_PER_TASK, hot_entries, salted_left_join, salts_for
-from postern.rules import GATE_THEME, OPEN_STATUSES
 
 AUTO = "AUTO"
 JOURNALING = "JFR"
@@ -21,84 +20,72 @@ TASK_OUTCOMES = [AUTO, JOURNALING, DISTRIBUTION]
 
 
 def status_open() -> Column:
-    return F.coalesce(F.col("status").isin(*OPEN_STATUSES), F.lit(False))
+    return F.expr(FACTS["_open"])
 
 
 def to_distribution() -> Column:
-    return F.coalesce(F.col("theme") != GATE_THEME, F.lit(False))
-
-
-def decision_table() -> list[tuple[Column, str, str | None]]:
-    """(condition, outcome, reason) in order; the first condition that holds decides.
-
-    Everything is validated before a task is decided on, so a RETRY never leaves a task behind.
-    """
-    col = F.col
-    auto = col("listed") & col("titles_ok")
-    lookup = joins.has_lookup_party()
-    auto_person = auto & lookup
-    needs_actor = P.is_person(col("party_type"))
-    no_actor = col("actor_id").isNull()
-    bad_identities = lookup & ~F.coalesce(col("identities_ok"), F.lit(True))
-    return [
-        (~col("entry_found"), RETRY, "journal_missing"),
-        (~col("entry_ok"), RETRY, "journal_incomplete"),
-        (~status_open(), SKIP_STATUS, None),
-        (col("ignored"), SKIP_IGNORED, None),
-        # automatic handling, as far as it gets
-        (auto & col("has_task"), SKIP_HAS_TASK, None),
-        (auto & col("malformed"), RETRY, "term_malformed"),
-        (auto_person & ~col("person_found"), RETRY, "person_missing"),
-        (auto_person & bad_identities, RETRY, "identities_incomplete"),
-        (auto_person & no_actor, RETRY, "actor_missing"),
-        (
-            auto_person & col("sender_id").isNull() & col("national_id").isNull(),
-            RETRY,
-            "sender_missing",
-        ),
-        (auto_person, AUTO, None),
-        # manual handling
-        (col("has_task"), SKIP_HAS_TASK, None),
-        (lookup & ~col("person_found"), RETRY, "person_missing"),
-        (bad_identities, RETRY, "identities_incomplete"),
-        (to_distribution() & needs_actor & no_actor, RETRY, "actor_missing"),
-        (to_distribution(), DISTRIBUTION, None),
-        (col("malformed"), RETRY, "term_malformed"),
-        (needs_actor & no_actor, RETRY, "actor_missing"),
-        (F.lit(True), JOURNALING, None),
-    ]
-
-
-def _chain(pick) -> Column:
-    chain = None
-    for row in decision_table():
-        chain = (F if chain is None else chain).when(row[0], pick(row))
-    return chain
+    return F.expr(FACTS["_distribution"])
+
+
+# Facts the decision table tests, besides the flags of the joins. None of them is ever NULL.
+FACTS = {
+    "_open": f"coalesce(status IN ({rules.sql_list(rules.OPEN_STATUSES)}), false)",
+    "_auto": "listed AND titles_ok",
+    "_lookup": joins.LOOKUP_PARTY,
+    "_needs_actor": (
+        f"coalesce(party_type IN ('{rules.PARTY_ACTOR}', '{rules.PARTY_PERSON}'), false)"
+    ),
+    "_distribution": f"coalesce(theme <> '{rules.GATE_THEME}', false)",
+}
+
+# (condition, outcome, reason) in order; the first condition that holds decides. Everything is
+# validated before a task is decided on, so a RETRY never leaves a task behind.
+DECISION_TABLE = [
+    ("NOT entry_found", RETRY, "journal_missing"),
+    ("NOT entry_ok", RETRY, "journal_incomplete"),
+    ("NOT _open", SKIP_STATUS, None),
+    ("ignored", SKIP_IGNORED, None),
+    # automatic handling, as far as it gets
+    ("_auto AND has_task", SKIP_HAS_TASK, None),
+    ("_auto AND malformed", RETRY, "term_malformed"),
+    ("_auto AND _lookup AND NOT person_found", RETRY, "person_missing"),
+    ("_auto AND _lookup AND NOT identities_ok", RETRY, "identities_incomplete"),
+    ("_auto AND _lookup AND actor_id IS NULL", RETRY, "actor_missing"),
+    ("_auto AND _lookup AND sender_id IS NULL AND national_id IS NULL", RETRY, "sender_missing"),
+    ("_auto AND _lookup", AUTO, None),
+    # manual handling
+    ("has_task", SKIP_HAS_TASK, None),
+    ("_lookup AND NOT person_found", RETRY, "person_missing"),
+    ("_lookup AND NOT identities_ok", RETRY, "identities_incomplete"),
+    ("_distribution AND _needs_actor AND actor_id IS NULL", RETRY, "actor_missing"),
+    ("_distribution", DISTRIBUTION, None),
+    ("malformed", RETRY, "term_malformed"),
+    ("_needs_actor AND actor_id IS NULL", RETRY, "actor_missing"),
+    ("true", JOURNALING, None),
+]
 
 
 def decided(facts: DataFrame) -> DataFrame:
-    """Add ``outcome`` and ``reason``."""
+    """Add ``outcome`` and ``reason``: the decision table as one ordered CASE over row numbers,
+    and the row it picked."""
+    lines = " ".join(f"WHEN {test} THEN {n}" for n, (test, *_) in enumerate(DECISION_TABLE))
+    outcomes = rules.sql_list([outcome for _, outcome, _ in DECISION_TABLE])
+    reasons = rules.sql_list([reason for *_, reason in DECISION_TABLE])
     return (
-        facts.withColumn(
-            "_decision",
-            _chain(lambda row: F.struct(F.lit(row[1]).alias("outcome"), F.lit(row[2]).cast("string").alias("reason"))),
+        facts.withColumns({name: F.expr(fact) for name, fact in FACTS.items()})
+        .withColumn("_line", F.expr(f"CASE {lines} END"))
+        .withColumns(
+            {
+                "outcome": F.expr(f"array({outcomes})[_line]"),
+                "reason": F.expr(f"array({reasons})[_line]"),
+            }
         )
-        .withColumn("outcome", F.col("_decision.outcome"))
-        .withColumn("reason", F.col("_decision.reason"))
-        .drop("_decision")
+        .drop("_line", *FACTS)
     )
 
 
-def needs_identities() -> Column:
-    """Only entries that no earlier line of the decision table settles are looked up."""
-    return (
-        F.col("entry_found")
-        & F.col("entry_ok")
-        & status_open()
-        & ~F.col("ignored")
-        & ~F.col("has_task")
-        & joins.has_lookup_party()
-    )
+# Only entries that no earlier line of the decision table settles are looked up.
+NEEDS_IDENTITIES = f"entry_found AND entry_ok AND {FACTS['_open']} AND NOT ignored AND NOT has_task"
 
 
 def decide(
@@ -107,7 +94,7 @@ def decide(
     identities: DataFrame,
     tasks: DataFrame,
     hierarchy: DataFrame,
-    rules: DataFrame,
+    form_rules: DataFrame,
 ) -> DataFrame:
     """One decided row per key. ``keys`` needs ``entry_id``; its other columns are kept.
 
@@ -116,10 +103,9 @@ def decide(
     """
     facts = joins.with_entry(keys, entries)
     facts = joins.with_open_task(facts, tasks)
-    facts = joins.with_form_rules(facts, rules)
+    facts = joins.with_form_rules(facts, form_rules)
     facts = joins.with_codes(facts, hierarchy)
-    facts = facts.withColumn("entry_ok", F.coalesce("entry_ok", F.lit(True)))
-    facts = joins.with_identities(facts, identities, needs_identities())
+    facts = joins.with_identities(facts, identities, NEEDS_IDENTITIES)
     return decided(facts)
 
 

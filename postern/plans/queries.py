@@ -457,9 +457,8 @@ def _written_stream(spark: SparkSession, rows: DataFrame, folder: str, **trigger
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = tables.table(spark, sf_dir, "events").schema
-    rows = streams.file_stream(spark, sf_dir, "events.parquet", schema)
-    return rows.select(*tables.event_columns())
+    rows = streams.file_stream(spark, sf_dir, "events.parquet", tables.SCHEMAS["events"])
+    return rows.selectExpr(*tables.EVENT_COLUMNS)
 
 
 @query
@@ -507,7 +506,6 @@ def stream_retry(spark, sf_dir):
     # Without batches for timers alone, the stream ends once its source is read through.
     settings = dict([STATE_STORE, ("spark.sql.streaming.noDataMicroBatches.enabled", "false")])
     with session_settings(spark, settings):
-        schema = spark.read.parquet(f"{folder}/retries").schema
-        waiting = streams.file_stream(spark, folder, "retries", schema)
+        waiting = streams.file_stream(spark, folder, "retries", route.RETRY_DDL)
         rows = hold_until_due(waiting.select("key", "value", "due_ms")).select("key", "due_ms")
         return _written_stream(spark, rows, folder)

@@ -77,6 +77,11 @@ LOCAL_ZONE = "Europe/Oslo"
 # ------------------------------------------------------------------------------------------
 
 
+def sql_list(values: list[str | None]) -> str:
+    """The values as text for a SQL expression."""
+    return ", ".join("NULL" if v is None else "'" + v.replace("'", "\\'") + "'" for v in values)
+
+
 def form_rules(spark: SparkSession) -> DataFrame:
     """One row per (theme, form code) that has a rule: ignored, or automatic with a task type
     and a deadline. A literal table: the optimizer knows its size and broadcasts it without a

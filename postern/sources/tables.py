@@ -15,6 +15,26 @@ from postern.operators.gates import gate
 from postern.operators.routing import RETRY
 from postern.sources import lookups
 
+# Layout of the test tables; reading with it saves the job that would infer it.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+}
+
 # Code hierarchy of theme SYK, number -> "handling theme;handling type".
 # Every number below is used with both prefixes.
 CODE_PREFIXES = ["NAV ", "NAVe "]
@@ -36,51 +56,36 @@ SINGLE_PREFIX_TERMS = {"90-00.08": ";ae0058", "08-07.04 D": "ab0434;"}
 # Point in time at which retry messages of the test tables are looked at.
 RETRY_AS_OF = "TIMESTAMP_NTZ'2024-01-21 00:00:00'"
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _cases(column: Column, mapping: dict[str, str], default: str | None = None) -> Column:
-    chain = None
-    for value, result in mapping.items():
-        chain = (F if chain is None else chain).when(column == value, F.lit(result))
-    return chain.otherwise(F.lit(default)) if default is not None else chain
+# Unit of an entry in the test tables.
+_UNIT = """CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  '
+           ELSE lpad(CAST(o_orderkey % 10 AS STRING), 4, '0') END"""
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    key = F.col("o_orderkey")
-    party_type = _cases(
-        F.col("c_mktsegment"),
-        {
-            "MACHINERY": "ORGNR",
-            "BUILDING": "AKTOERID",
-            "AUTOMOBILE": "FNR",
-            "HOUSEHOLD": "PERSONBRUKER",
-        },
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS o_custkey",
+        """CASE c_mktsegment WHEN 'MACHINERY' THEN 'ORGNR' WHEN 'BUILDING' THEN 'AKTOERID'
+           WHEN 'AUTOMOBILE' THEN 'FNR' WHEN 'HOUSEHOLD' THEN 'PERSONBRUKER' END AS party_type""",
     )
-    sender = key % 3 == 0
     return (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .withColumn("party_type", party_type)
-        .select(
-            key.cast("string").alias("entry_id"),
-            _cases(F.col("o_orderstatus"), {"O": "MOTTATT", "P": "M", "F": "JOURNALFOERT"}).alias("status"),
-            _cases(F.col("o_orderpriority"), {"1-URGENT": "UKJ", "2-HIGH": "PEN"}, "SYK").alias("theme"),
-            F.when(key % 7 == 1, "")
-            .when(key % 7 == 2, "  ")
-            .when(key % 7 != 0, F.lpad((key % 10).cast("string"), 4, "0"))
-            .alias("unit"),
-            F.concat(F.lit("Order "), key.cast("string")).alias("title"),
-            F.when(key % 11 == 0, "ab9999").when(key % 11 == 1, "").alias("preset_theme"),
-            F.when(sender, F.lpad(_text("o_custkey"), 11, "0")).alias("sender_id"),
-            F.when(sender, F.lit("FNR")).alias("sender_type"),
-            F.when(F.col("party_type").isNotNull(), _text("o_custkey")).alias("party_id"),
+        table(spark, sf_dir, "orders")
+        .join(customers, "o_custkey", "left")
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS entry_id",
+            """CASE o_orderstatus WHEN 'O' THEN 'MOTTATT' WHEN 'P' THEN 'M'
+               WHEN 'F' THEN 'JOURNALFOERT' END AS status""",
+            """CASE o_orderpriority WHEN '1-URGENT' THEN 'UKJ' WHEN '2-HIGH' THEN 'PEN'
+               ELSE 'SYK' END AS theme""",
+            f"{_UNIT} AS unit",
+            "concat('Order ', o_orderkey) AS title",
+            "CASE o_orderkey % 11 WHEN 0 THEN 'ab9999' WHEN 1 THEN '' END AS preset_theme",
+            "CASE WHEN o_orderkey % 3 = 0 THEN lpad(CAST(o_custkey AS STRING), 11, '0') END AS sender_id",
+            "CASE WHEN o_orderkey % 3 = 0 THEN 'FNR' END AS sender_type",
+            "CASE WHEN party_type IS NOT NULL THEN CAST(o_custkey AS STRING) END AS party_id",
             "party_type",
         )
     )
@@ -90,24 +95,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, l_linenumber) is not unique. Lines that also share the part have the same
     form code, so line number and part order the documents as far as any result depends on it.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    form_code = _cases(
-        F.col("p_type"),
-        {
-            "MEDIUM": "NAV 08-07.04 D",
-            "SMALL": "NAV 08-07.04D",
-            "ECONOMY": "4936",
-            "LARGE": "NAV 08-35.01",
-            "STANDARD": "NAV 90-00.08 K",
-        },
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS l_partkey",
+        "p_name",
+        """CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'NAV 08-07.04D'
+           WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
+           WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS form_code""",
     )
-    title = F.when(F.col("l_discount") == 0.1, "").when(F.col("l_discount") != 0, F.col("p_name"))
-    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        _text("l_orderkey").alias("entry_id"),
-        F.struct("l_linenumber", "l_partkey").alias("doc_order"),
-        form_code.alias("form_code"),
-        title.alias("title"),
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(parts, "l_partkey", "left")
+        .selectExpr(
+            "CAST(l_orderkey AS STRING) AS entry_id",
+            "struct(l_linenumber, l_partkey) AS doc_order",
+            "form_code",
+            "CASE l_discount WHEN 0 THEN NULL WHEN 0.1D THEN '' ELSE p_name END AS title",
+        )
     )
 
 
@@ -117,86 +120,77 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sixth party also has an older national number, which must never be used."""
-    key = F.col("c_custkey")
-    number = F.lpad(key.cast("string"), 11, "0")
 
-    def identity(group: str, ident: Column, current: bool) -> Column:
-        return F.struct(F.lit(group).alias("grp"), ident.alias("ident"), F.lit(current).alias("current"))
+    def identity(group: str, ident: str, current: str) -> str:
+        return f"named_struct('grp', '{group}', 'ident', {ident}, 'current', {current})"
 
-    listed = F.array(
-        F.when(key % 6 == 0, identity("FOLKEREGISTERIDENT", F.concat(F.lit("9"), number), False)),
-        F.when(key % 25 != 1, identity("FOLKEREGISTERIDENT", number, True)),
-        F.when(key % 20 != 0, identity("AKTORID", F.concat(number, F.lit("00")), True)),
-    )
+    old = identity("FOLKEREGISTERIDENT", "concat('9', number)", "false")
+    national = identity("FOLKEREGISTERIDENT", "number", "true")
+    actor = identity("AKTORID", "concat(number, '00')", "true")
     return (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") >= 0)
-        .select(key.cast("string").alias("party_id"), F.array_compact(listed).alias("identities"))
+        .where("c_acctbal >= 0")
+        .selectExpr("c_custkey", "lpad(CAST(c_custkey AS STRING), 11, '0') AS number")
+        .selectExpr(
+            "CAST(c_custkey AS STRING) AS party_id",
+            f"""array_compact(array(CASE WHEN c_custkey % 6 = 0 THEN {old} END,
+                                    CASE WHEN c_custkey % 25 <> 1 THEN {national} END,
+                                    CASE WHEN c_custkey % 20 <> 0 THEN {actor} END)) AS identities""",
+        )
     )
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every tenth part stand for the task system's tasks."""
     return (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_partkey") % 10 == 0)
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("task_id"),
-            _text("l_orderkey").alias("entry_id"),
-            _cases(F.col("l_linestatus"), {"O": "AAPEN"}, "AVSLUTTET").alias("category"),
-            _cases(F.col("l_returnflag"), {"A": "JFR", "R": "FDR"}, "SOK").alias("task_type"),
+        .where("l_partkey % 10 = 0")
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS task_id",
+            "CAST(l_orderkey AS STRING) AS entry_id",
+            "CASE WHEN l_linestatus = 'O' THEN 'AAPEN' ELSE 'AVSLUTTET' END AS category",
+            "CASE l_returnflag WHEN 'A' THEN 'JFR' WHEN 'R' THEN 'FDR' ELSE 'SOK' END AS task_type",
         )
     )
 
 
-def _wire_id() -> Column:
-    order = F.col("event_id")
-    return F.when(order % 97 == 0, F.lit(-1)).otherwise(order - order % 3)
-
-
-_EVENT_TYPES = {
-    "click": "Mottatt",
-    "view": "JournalpostMottatt",
-    "signup": "MidlertidigJournalført",
-    "error": "EndeligJournalført",
-    "purchase": "TemaEndret",
-}
-
-
-def event_columns() -> list[Column]:
-    """The wire record of one row of the event table, after its order and time."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    return [
-        F.col("event_id").alias("event_order"),
-        F.col("ts").alias("as_of"),
-        F.concat(F.lit("h-"), _text("event_id")).alias("hendelsesId"),
-        F.lit(1).alias("versjon"),
-        _cases(F.col("event_type"), _EVENT_TYPES).alias("hendelsesType"),
-        _wire_id().alias("journalpostId"),
-        F.lit("MOTTATT").alias("journalpostStatus"),
-        F.lit("SYK").alias("temaGammelt"),
-        F.when(k % 4 == 0, "PEN").otherwise("SYK").alias("temaNytt"),
-        F.lit("NAV_NO").alias("mottaksKanal"),
-        _text("user_id").alias("kanalReferanseId"),
-        F.lit("").alias("behandlingstema"),
-    ]
+# The wire record of one row of the event table, after its order and time.
+EVENT_COLUMNS = [
+    "event_id AS event_order",
+    "ts AS as_of",
+    "concat('h-', event_id) AS hendelsesId",
+    "1 AS versjon",
+    """CASE event_type WHEN 'click' THEN 'Mottatt' WHEN 'view' THEN 'JournalpostMottatt'
+       WHEN 'signup' THEN 'MidlertidigJournalført' WHEN 'error' THEN 'EndeligJournalført'
+       WHEN 'purchase' THEN 'TemaEndret' END AS hendelsesType""",
+    "CASE WHEN event_id % 97 = 0 THEN -1L ELSE event_id - event_id % 3 END AS journalpostId",
+    "'MOTTATT' AS journalpostStatus",
+    "'SYK' AS temaGammelt",
+    """CASE WHEN CAST(get_json_object(props, '$.k') AS INT) % 4 = 0 THEN 'PEN' ELSE 'SYK' END
+       AS temaNytt""",
+    "'NAV_NO' AS mottaksKanal",
+    "CAST(user_id AS STRING) AS kanalReferanseId",
+    "'' AS behandlingstema",
+]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, not yet gated, as wire records with their order and time."""
-    return table(spark, sf_dir, "events").select(*event_columns())
+    return table(spark, sf_dir, "events").selectExpr(*EVENT_COLUMNS)
 
 
 def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON text with faults: some fields absent, some text not JSON, and an
     unknown field everywhere."""
     order = F.col("event_order")
-    faulty = (
-        events(spark, sf_dir)
-        .withColumn("mottaksKanal", F.when(order % 37 != 0, F.col("mottaksKanal")))
-        .withColumn("temaGammelt", F.when(order % 41 != 0, F.col("temaGammelt")))
-        .withColumn("versjon", F.when(order % 43 != 0, F.col("versjon")))
-        .withColumn("behandlingstema", F.when(order % 5 == 0, F.lit("ab0001")))
-        .withColumn("ukjent", F.lit("x"))
+    faulty = events(spark, sf_dir).withColumns(
+        {
+            "mottaksKanal": F.when(order % 37 != 0, F.col("mottaksKanal")),
+            "temaGammelt": F.when(order % 41 != 0, F.col("temaGammelt")),
+            "versjon": F.when(order % 43 != 0, F.col("versjon")),
+            "behandlingstema": F.when(order % 5 == 0, F.lit("ab0001")),
+            "ukjent": F.lit("x"),
+        }
     )
     fields = [c for c in faulty.columns if c not in ("event_order", "as_of")]
     text = F.when(order % 101 == 0, F.lit("{not json")).otherwise(F.to_json(F.struct(*fields)))
@@ -223,31 +217,26 @@ def hierarchy(spark: SparkSession) -> DataFrame:
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies of the task system to the first and second attempt, for every entry."""
-    key = F.col("o_orderkey")
-    case = key % 13
-    unit = F.when((key % 7).isin(0, 1), "").when(key % 7 == 2, "  ").otherwise(
-        F.lpad((key % 10).cast("string"), 4, "0")
-    )
-    closed = F.concat(F.lit("NAVEnheten '"), unit, F.lit("' har status: 'Nedlagt'"))
-    wrong_kind = F.concat(F.lit("NAVEnheten '"), unit, F.lit("' er av typen oppgavebehandler"))
-    unknown = F.concat(F.lit("Enheten med nummeret '"), unit, F.lit("' eksisterer ikke"))
-    first = F.struct(
-        F.lit(1).alias("attempt"),
-        F.when(case <= 4, 400).when(case == 5, 500).otherwise(201).alias("http_status"),
-        F.when(case == 0, closed)
-        .when(case == 1, wrong_kind)
-        .when(case == 2, unknown)
-        .when(case.isin(3, 5), F.lit("Organisasjonsnummer er ugyldig"))
-        .alias("message"),
-    )
-    second = F.struct(
-        F.lit(2).alias("attempt"),
-        F.when(case == 2, 400).otherwise(201).alias("http_status"),
-        F.when(case == 2, unknown).alias("message"),
-    )
     return (
         table(spark, sf_dir, "orders")
-        .select(key.cast("string").alias("entry_id"), F.inline(F.array(first, second)))
+        .selectExpr("o_orderkey", "o_orderkey % 13 AS kind", f"coalesce({_UNIT}, '') AS unit")
+        .selectExpr(
+            "o_orderkey",
+            "kind",
+            r"""CASE kind WHEN 0 THEN concat('NAVEnheten \'', unit, '\' har status: \'Nedlagt\'')
+                WHEN 1 THEN concat('NAVEnheten \'', unit, '\' er av typen oppgavebehandler')
+                WHEN 2 THEN concat('Enheten med nummeret \'', unit, '\' eksisterer ikke')
+                WHEN 3 THEN 'Organisasjonsnummer er ugyldig'
+                WHEN 5 THEN 'Organisasjonsnummer er ugyldig' END AS message""",
+        )
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS entry_id",
+            """inline(array(
+                 struct(1 AS attempt, CASE WHEN kind <= 4 THEN 400 WHEN kind = 5 THEN 500 ELSE 201 END
+                          AS http_status, message),
+                 struct(2 AS attempt, CASE WHEN kind = 2 THEN 400 ELSE 201 END AS http_status,
+                        CASE WHEN kind = 2 THEN message END AS message)))""",
+        )
     )
 
 
@@ -277,58 +266,51 @@ def retries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entry_id, value): JSON with a list of dates as an array, as a single object, or absent;
     and a list of strings likewise."""
-    key = F.col("o_orderkey")
-
-    def date(kind: str) -> Column:
-        day = F.date_format("o_orderdate", "yyyy-MM-dd")
-        return F.struct(day.alias("dato"), F.lit(kind).alias("datotype"))
-
-    many = F.to_json(F.struct(F.array(date("DATO_OPPRETTET"), date("DATO_REGISTRERT")).alias("relevanteDatoer"), F.array(F.lit("a"), F.col("o_orderpriority")).alias("path")))
-    one = F.to_json(F.struct(date("DATO_REGISTRERT").alias("relevanteDatoer"), F.col("o_orderpriority").alias("path")))
-    value = F.when(key % 4 == 0, many).when(key % 4 == 1, one).when(key % 4 == 2, F.lit("{}")).otherwise(
-        F.lit('{"relevanteDatoer": null, "path": []}')
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr("*", "date_format(o_orderdate, 'yyyy-MM-dd') AS dato")
+        .selectExpr(
+            "CAST(o_orderkey AS STRING) AS entry_id",
+            """CASE o_orderkey % 4
+               WHEN 0 THEN to_json(struct(
+                   array(struct(dato, 'DATO_OPPRETTET' AS datotype),
+                         struct(dato, 'DATO_REGISTRERT' AS datotype)) AS relevanteDatoer,
+                   array('a', o_orderpriority) AS path))
+               WHEN 1 THEN to_json(struct(
+                   struct(dato, 'DATO_REGISTRERT' AS datotype) AS relevanteDatoer,
+                   o_orderpriority AS path))
+               WHEN 2 THEN '{}'
+               ELSE '{"relevanteDatoer": null, "path": []}' END AS value""",
+        )
     )
-    return table(spark, sf_dir, "orders").select(key.cast("string").alias("entry_id"), value.alias("value"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entry_id, value): lookup responses with an entry, without one, with and without errors;
     some errors have no message."""
-    key = F.col("o_orderkey")
 
-    def error(message: Column, code: str) -> Column:
-        return F.struct(
-            message.alias("message"),
-            F.struct(F.lit(code).alias("code"), F.lit("DataFetching").alias("classification")).alias("extensions"),
-        )
-
-    entry = F.struct(
-        key.cast("string").alias("journalpostId"),
-        F.col("o_orderstatus").alias("journalstatus"),
-        F.array().cast("array<string>").alias("dokumenter"),
-        F.lit("SYK").alias("tema"),
-    )
-    not_found = error(F.concat(F.lit("not found "), key.cast("string")), "not_found")
-    no_text = error(F.lit(None).cast("string"), "server_error")
-    errors = F.when(key % 5 == 0, F.array(not_found, no_text)).when(key % 5 == 1, F.array(no_text))
-    response = F.struct(
-        F.struct(F.when(~(key % 5).isin(0, 4), entry).alias("journalpost")).alias("data"),
-        errors.alias("errors"),
-    )
-    return table(spark, sf_dir, "orders").select(
-        key.cast("string").alias("entry_id"), F.to_json(response).alias("value")
+    def error(message: str, code: str) -> str:
+        return f"""struct({message} AS message,
+                          struct('{code}' AS code, 'DataFetching' AS classification) AS extensions)"""
+
+    not_found = error("concat('not found ', o_orderkey)", "not_found")
+    no_text = error("CAST(NULL AS STRING)", "server_error")
+    entry = """struct(CAST(o_orderkey AS STRING) AS journalpostId, o_orderstatus AS journalstatus,
+                      CAST(array() AS ARRAY<STRING>) AS dokumenter, 'SYK' AS tema)"""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS entry_id",
+        f"""to_json(struct(
+              struct(CASE WHEN o_orderkey % 5 NOT IN (0, 4) THEN {entry} END AS journalpost) AS data,
+              CASE o_orderkey % 5 WHEN 0 THEN array({not_found}, {no_text})
+                   WHEN 1 THEN array({no_text}) END AS errors)) AS value""",
     )
 
 
 def part_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(part_id, term): code terms of every shape: both parts, one blank, none, no separator."""
-    key = F.col("p_partkey")
-    number = key.cast("string")
-    term = (
-        F.when(key % 6 == 0, F.concat(F.lit("ab"), number, F.lit(";ae"), number))
-        .when(key % 6 == 1, F.concat(F.lit("ab"), number, F.lit(";")))
-        .when(key % 6 == 2, F.concat(F.lit(";ae"), number, F.lit(";x")))
-        .when(key % 6 == 3, F.concat(F.lit("ab"), number))
-        .when(key % 6 == 4, F.lit("  ;\t"))
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS part_id",
+        r"""CASE p_partkey % 6 WHEN 0 THEN concat('ab', p_partkey, ';ae', p_partkey)
+            WHEN 1 THEN concat('ab', p_partkey, ';') WHEN 2 THEN concat(';ae', p_partkey, ';x')
+            WHEN 3 THEN concat('ab', p_partkey) WHEN 4 THEN '  ;\t' END AS term""",
     )
-    return table(spark, sf_dir, "part").select(key.alias("part_id"), term.alias("term"))

@@ -38,7 +38,7 @@ def test_many_batches_equal_one(spark, sf_dir):
     out = work_dir(spark, "route")
     source = streams.file_stream(spark, folder, "events", schema, files_per_batch=1)
     route.start(
-        spark, source.select(*tables.event_columns()), lambda s: intake.table_lookups(s, sf_dir), out
+        spark, source.selectExpr(*tables.EVENT_COLUMNS), lambda s: intake.table_lookups(s, sf_dir), out
     ).awaitTermination()
     written = spark.read.parquet(f"{out}/routed")
     assert written.select("batch_id").distinct().count() == 3
