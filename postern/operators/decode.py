@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postern.operators.gates import event_type_passes, gate, theme_passes
+from postern.operators.gates import event_type_passes, theme_passes
 from postern.schemas import EVENT_DECODED, EVENT_DEFAULTS, EVENT_REQUIRED, EVENT_WIRE
 
 _CORRUPT = "_corrupt"
@@ -32,12 +32,31 @@ def missing_fields() -> Column:
     )
 
 
+def checked(wire: DataFrame) -> DataFrame:
+    """Wire columns that pass the gates, with ``fault`` (NULL if they can be decoded) and, for
+    faulty JSON, its text as ``raw``.
+
+    Text that does not parse has no theme to test, so it is kept with its fault whatever the
+    gates say; a record without a required field is a fault only if it passes them.
+    """
+    from_text = _CORRUPT in wire.columns
+    unreadable = F.col(_CORRUPT).isNotNull() if from_text else F.lit(False)
+    missing = missing_fields()
+    fault = F.when(unreadable, "unreadable").when(missing != "", F.concat(F.lit("missing:"), missing))
+    raw = F.col("value") if from_text else F.lit(None).cast("string")
+    return (
+        wire.where(unreadable | (theme_passes() & event_type_passes()))
+        .withColumn("fault", fault)
+        .withColumn("raw", F.when(F.col("fault").isNotNull(), raw))
+    )
+
+
 def decode(wire: DataFrame) -> DataFrame:
     """Wire columns -> decoded event columns; ``entry_id`` is the key of everything after.
 
-    Extra columns (order, time) stay in front.
+    Extra columns (order, time, fault) stay in front.
     """
-    wire_names = set(EVENT_DECODED.names) | {"value", _CORRUPT}
+    wire_names = {*EVENT_DECODED.names, "value", _CORRUPT}
     extra = [c for c in wire.columns if c not in wire_names]
     decoded = []
     for field in EVENT_DECODED.fields:
@@ -48,19 +67,7 @@ def decode(wire: DataFrame) -> DataFrame:
     return wire.select(*extra, *decoded).withColumn("entry_id", F.col("journalpostId"))
 
 
-def split_faulty(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """JSON messages -> (decoded events that pass the gates, quarantined messages).
-
-    Text that does not parse has no theme to test, so it is quarantined before the gates; a
-    parsed record without a required field is quarantined only if it passes them.
-    """
-    parsed = parse_json_events(messages)
-    extra = [c for c in messages.columns if c != "value"]
-    unreadable = F.col(_CORRUPT).isNotNull()
-    incomplete = theme_passes() & event_type_passes() & (missing_fields() != "")
-    good = decode(gate(parsed.where(~unreadable)).where(missing_fields() == ""))
-    fault = F.when(unreadable, F.lit("unreadable")).otherwise(
-        F.concat(F.lit("missing:"), missing_fields())
-    )
-    bad = parsed.where(unreadable | incomplete).select(*extra, "value", fault.alias("fault"))
-    return good, bad
+def split_faulty(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Checked and decoded events -> (good ones, quarantine rows)."""
+    faulty = F.col("fault").isNotNull()
+    return events.where(~faulty).drop("fault", "raw"), events.where(faulty)

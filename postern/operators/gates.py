@@ -1,5 +1,5 @@
-"""Which events are taken at all. The gates test raw columns, so they run before decoding and
-reach the scan where the source allows it."""
+"""Which events are taken at all. The gates are plain comparisons of raw columns, so they run
+before decoding and reach the scan where the source allows it. As filters they drop NULLs."""
 
 from __future__ import annotations
 
@@ -10,15 +10,12 @@ from postern.rules import GATE_EVENT_TYPES, GATE_THEME
 
 
 def theme_passes() -> Column:
-    return F.coalesce(F.col("temaNytt") == GATE_THEME, F.lit(False))
+    return F.col("temaNytt") == GATE_THEME
 
 
 def event_type_passes() -> Column:
-    return F.coalesce(F.col("hendelsesType").isin(*GATE_EVENT_TYPES), F.lit(False))
+    return F.col("hendelsesType").isin(*GATE_EVENT_TYPES)
 
 
 def gate(events: DataFrame) -> DataFrame:
-    """A NULL theme or type does not pass."""
-    return events.where(F.col("temaNytt") == GATE_THEME).where(
-        F.col("hendelsesType").isin(*GATE_EVENT_TYPES)
-    )
+    return events.where(theme_passes() & event_type_passes())

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from postern import rules
 from postern.operators import joins, outputs, repair, retry, routing
-from postern.operators.decode import decode
-from postern.operators.gates import gate
+from postern.operators.decode import checked, decode, split_faulty
 from postern.sources import tables
 from postern.sources.lookups import entries_with_documents
 
@@ -46,8 +45,9 @@ def table_lookups(spark: SparkSession, sf_dir: str) -> Lookups:
 
 
 def gated_events(events: DataFrame) -> DataFrame:
-    """Wire events -> gated, decoded events."""
-    return decode(gate(events))
+    """Wire events -> gated, decoded events without faults."""
+    good, _ = split_faulty(decode(checked(events)))
+    return good
 
 
 def decide_events(events: DataFrame, lookups: Lookups) -> DataFrame:

@@ -13,7 +13,7 @@ from postern.functions import parties as P
 from postern.functions.dates import deadline, epoch_ms, local_time
 from postern.functions.text import term_malformed, term_part
 from postern.operators import envelope, gates, joins, outputs, repair, retry, routing
-from postern.operators.decode import decode, split_faulty
+from postern.operators.decode import checked, decode, parse_json_events, split_faulty
 from postern.plans import intake
 from postern.schemas import JOURNAL_ENTRY, RETRY_MESSAGE
 from postern.session import STATE_STORE, session_settings, work_dir
@@ -34,6 +34,10 @@ def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.gated_events(tables.events(spark, sf_dir))
 
 
+def _from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode(checked(parse_json_events(tables.wire_messages(spark, sf_dir))))
+
+
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.decide_events(_gated(spark, sf_dir), intake.table_lookups(spark, sf_dir))
 
@@ -109,7 +113,7 @@ def gate_event_type(spark, sf_dir):
 @query
 def decode_events(spark, sf_dir):
     """Gated JSON messages without faults, decoded with defaults."""
-    good, _ = split_faulty(tables.wire_messages(spark, sf_dir))
+    good, _ = split_faulty(_from_text(spark, sf_dir))
     return good.select(
         "event_order", "entry_id", "hendelsesId", "hendelsesType", "temaNytt", "mottaksKanal",
         "journalpostStatus", "versjon", "temaGammelt", "kanalReferanseId", "behandlingstema",
@@ -119,7 +123,7 @@ def decode_events(spark, sf_dir):
 @query
 def quarantine_events(spark, sf_dir):
     """Messages that cannot be handled, with the fault."""
-    _, bad = split_faulty(tables.wire_messages(spark, sf_dir))
+    _, bad = split_faulty(_from_text(spark, sf_dir))
     return bad.select("event_order", "fault")
 
 

@@ -11,11 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postern import rules
 from postern.operators import joins
+from postern.operators.decode import checked, decode, split_faulty
 from postern.operators.retry import events_of
 from postern.plans.intake import (
     Lookups,
     after_earlier,
-    gated_events,
     restricted,
     run_batch,
     write_table,
@@ -29,9 +29,12 @@ MAX_BROADCAST_IDS = 1_000_000
 RETRY_DDL = "key string, value string, due_ms bigint, enqueued_at timestamp_ntz"
 
 
-def earlier_decisions(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
-    """Decisions of the batches before this one. Its own, left by a failed attempt, and any
-    later ones do not count: a replay sees what the first attempt saw."""
+def earlier_decisions(
+    spark: SparkSession, folder: str, batch_id: int, lag: int | None = None
+) -> DataFrame | None:
+    """Decisions of the batches before this one, at most ``lag`` batches back. Its own, left by
+    a failed attempt, and any later ones do not count: a replay sees what the first attempt
+    saw. Only the folders of those batches are read."""
     try:
         written = spark.read.schema("entry_id string, outcome string, batch_id bigint").parquet(
             f"{folder}/decisions"
@@ -40,24 +43,31 @@ def earlier_decisions(spark: SparkSession, folder: str, batch_id: int) -> DataFr
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return written.where(F.col("batch_id") < batch_id).select("entry_id", "outcome")
+    oldest = 0 if lag is None else batch_id - lag
+    return written.where(F.col("batch_id").between(oldest, batch_id - 1)).select("entry_id", "outcome")
 
 
 def handle_batch(
-    folder: str, read_lookups: Callable[[SparkSession], Lookups]
+    folder: str, read_lookups: Callable[[SparkSession], Lookups], lag: int | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function. The lookups are read anew for every batch."""
+    """``foreachBatch`` function. The lookups are read anew for every batch.
+
+    ``lag`` is the number of batches after which the lookups themselves show what a batch did;
+    without it they are taken not to, and all earlier decisions are consulted.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"batch_id={batch_id}"
-        events = write_table(spark, batch, f"{folder}/events/{part}")
+        received = write_table(spark, batch, f"{folder}/events/{part}")
+        events, faulty = split_faulty(received)
+        write_table(spark, faulty, f"{folder}/quarantine/{part}")
         ids = joins.keys_of(events).select("entry_id")
         lookups = read_lookups(spark)
         small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
         if small:
             lookups = restricted(lookups, ids)
-        earlier = earlier_decisions(spark, folder, batch_id)
+        earlier = earlier_decisions(spark, folder, batch_id, lag)
         if earlier is not None:
             if small:
                 earlier = earlier.join(F.broadcast(ids), "entry_id", "left_semi")
@@ -81,6 +91,7 @@ def start(
     read_lookups: Callable[[SparkSession], Lookups],
     folder: str,
     with_retries: bool = False,
+    lag: int | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start the intake stream; outputs and the checkpoint go below ``folder``.
@@ -88,14 +99,15 @@ def start(
     ``with_retries`` reads the job's own retry table back as a second source, held until due
     and not gated. Both sources share one query, so two batches never race for one entry.
     """
-    events = gated_events(wire_events).withColumn("is_retry", F.lit(False))
+    events = decode(checked(wire_events)).withColumn("is_retry", F.lit(False))
     if with_retries:
         prepare(spark, folder)
         waiting = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/retries")
         due = events_of(hold_until_due(waiting.select("key", "value", "due_ms")))
-        events = events.unionByName(due.withColumn("is_retry", F.lit(True)))
+        again = due.withColumn("is_retry", F.lit(True))
+        events = events.unionByName(again, allowMissingColumns=True)
     return (
-        events.writeStream.foreachBatch(handle_batch(folder, read_lookups))
+        events.writeStream.foreachBatch(handle_batch(folder, read_lookups, lag))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -8,6 +8,7 @@ import uuid
 import fixtures as X
 import pytest
 from postern.operators import retry
+from postern.operators.decode import checked, decode
 from postern.plans import intake
 from postern.plans.queries import QUERIES
 from postern.session import work_dir
@@ -57,7 +58,8 @@ def batches(spark):
 
     def run(batch_id, orders):
         wire = X.wire(spark, [(o, X.WEDNESDAY_MORNING, e, "Mottatt", "SYK") for o, e in orders])
-        handle(intake.gated_events(wire).withColumn("is_retry", F.lit(False)), batch_id)
+        wire = wire.withColumn("mottaksKanal", F.when(F.col("event_order") < 100, "NAV_NO"))
+        handle(decode(checked(wire)).withColumn("is_retry", F.lit(False)), batch_id)
 
     def table(name):
         return spark.read.parquet(f"{out}/{name}")
@@ -67,8 +69,10 @@ def batches(spark):
 
 def test_replayed_batch_changes_nothing(batches):
     run, table = batches
-    run(0, [(1, 1), (2, 2), (3, 3), (4, 9)])
+    run(0, [(1, 1), (2, 2), (3, 3), (4, 9), (100, 1)])  # the last one lacks a field
     run(1, [(5, 1), (6, 2), (7, 3), (8, 9), (9, 1)])
+    (faulty,) = table("quarantine").collect()
+    assert (faulty.event_order, faulty.fault) == (100, "missing:mottaksKanal")
     first = _outcomes(table("routed"))
     assert {o: v[1] for o, v in first.items()} == {
         1: "JFR", 2: "AUTO", 3: "SKIP_IGNORED", 4: "RETRY",
@@ -179,8 +183,29 @@ def test_work_dir():
 
 def test_second_failure_waits_ten_minutes(batches, spark):
     routed = X.wire(spark, [(1, X.WEDNESDAY_MORNING, 5, "Mottatt", "SYK")])
-    from postern.operators.decode import decode
-
     failed = decode(routed).withColumn("outcome", F.lit("RETRY"))
     delays = [retry.enqueue(failed, F.expr(d)).first().due_ms for d in ("INTERVAL '1' SECOND", "INTERVAL '10' MINUTE")]
     assert delays[1] - delays[0] == 599_000
+
+
+def test_bucketed_entries_are_not_shuffled(spark, sf_dir):
+    from dataclasses import replace
+
+    from postern.session import session_settings
+    from postern.sources import snapshot
+
+    lookups = intake.table_lookups(spark, sf_dir)
+    location = work_dir(spark, "warehouse")
+    name = "entries_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
+    snapshot.publish(lookups.entries, f"{name}.entries", 4)
+    ready = replace(lookups, journal=snapshot.read(spark, f"{name}.entries"), documents=None)
+    events = intake.gated_events(tables.events(spark, sf_dir))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        decisions = intake.decide_events(events, ready)
+        plan = decisions._jdf.queryExecution().executedPlan().toString()
+        got = decisions.select("entry_id", "outcome", "reason").collect()
+    scan = plan[: plan.index("entries_")].rsplit("\n", 4)
+    assert not any("Exchange" in line for line in scan[1:])
+    expected = intake.decide_events(events, lookups).select("entry_id", "outcome", "reason").collect()
+    assert sorted(map(str, got)) == sorted(map(str, expected))
