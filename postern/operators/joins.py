@@ -10,7 +10,7 @@ from postern.operators.skew import (
     EVENTS_PER_TASK,
     hot_entries,
     salted_left_join,
-    spread_null_keys,
+    sparse_left_join,
 )
 from postern.rules import PARTY_ORGANISATION
 from postern.sources.lookups import entries_with_open_task, identity_facts
@@ -58,17 +58,16 @@ def with_open_task(entries: DataFrame, tasks: DataFrame) -> DataFrame:
 
 def with_form_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     """``listed``: automatic handling; ``ignored``: ends without a task. A NULL form code
-    matches no rule."""
-    joined = entries.join(rules, ["theme", "form_code"], "left")
+    matches no rule. The rules are a literal table of a few rows, so they are broadcast."""
+    joined = entries.join(F.broadcast(rules), ["theme", "form_code"], "left")
     return _flags(joined.withColumn("listed", F.expr("task_type IS NOT NULL")), ignored=False)
 
 
 def with_codes(entries: DataFrame, hierarchy: DataFrame) -> DataFrame:
     """Handling theme and type by (theme, form code).
 
-    A preset theme that is not empty stays; the type always comes from the hierarchy. The
-    hierarchy side carries no hint: the optimizer broadcasts it while it is below the broadcast
-    threshold, and joins by shuffle beyond.
+    A preset theme that is not empty stays; the type always comes from the hierarchy. Whether
+    that is broadcast is decided where it is read (``lookups.broadcast_if_small``).
     """
     term = F.col("term")
     preset = F.nullif("preset_theme", F.lit(""))
@@ -95,10 +94,12 @@ def with_identities(
     """Left join on the party, for entries that need it only. The others have no key and are
     spread over all partitions. A party with very many entries is left to adaptive skew
     handling, which applies here: both sides come out of a shuffle."""
-    key = F.expr(f"CASE WHEN {wanted} AND {LOOKUP_PARTY} THEN party_id END")
-    left = spread_null_keys(entries, key, F.col("entry_id"))
-    right = identity_facts(identities).selectExpr(
-        "party_id AS _key", "0L AS _spread", "person_found", "identities_ok", "actor_id", "national_id"
+    joined = sparse_left_join(
+        entries,
+        identity_facts(identities),
+        wanted=F.expr(f"{wanted} AND {LOOKUP_PARTY}"),
+        key=F.col("party_id"),
+        otherwise=F.col("entry_id"),
+        lookup_key="party_id",
     )
-    joined = left.join(right, ["_key", "_spread"], "left").drop("_key", "_spread")
     return _flags(joined, person_found=False, identities_ok=True)

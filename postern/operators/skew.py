@@ -52,9 +52,15 @@ def salted_left_join(events: DataFrame, lookup: DataFrame, hot: DataFrame) -> Da
     )
 
 
-def spread_null_keys(rows: DataFrame, key: Column, spread_by: Column) -> DataFrame:
-    """Add ``_key`` and ``_spread`` for a left join in which many rows have no key: those rows
-    go to all partitions instead of one. The lookup side joins with ``_spread`` = 0."""
-    return rows.withColumn("_key", key).withColumn(
-        "_spread", F.when(F.col("_key").isNull(), F.xxhash64(spread_by)).otherwise(F.lit(0))
-    )
+def sparse_left_join(
+    rows: DataFrame, lookup: DataFrame, wanted: Column, key: Column, otherwise: Column, lookup_key: str
+) -> DataFrame:
+    """``rows`` left join ``lookup`` on ``key``, for the ``wanted`` rows only.
+
+    The others would all share the partition of NULL; they take part under ``otherwise``, which
+    only has to spread them, and the join condition keeps them from matching.
+    """
+    left = rows.withColumns({"_wanted": wanted, "_key": F.when(wanted, key).otherwise(otherwise)})
+    right = lookup.withColumnRenamed(lookup_key, "_lookup_key")
+    match = F.col("_wanted") & (F.col("_key") == F.col("_lookup_key"))
+    return left.join(right, match, "left").drop("_wanted", "_key", "_lookup_key")

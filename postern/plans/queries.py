@@ -31,7 +31,7 @@ def query(function: Query) -> Query:
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intake.gated_events(tables.events(spark, sf_dir))
+    return intake.gated_events(tables.gate_events(spark, sf_dir))
 
 
 def _from_text(spark: SparkSession, sf_dir: str) -> DataFrame:

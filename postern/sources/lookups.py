@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postern.functions import documents as D
@@ -140,3 +140,18 @@ def flatten_code_tree(tree: DataFrame, value: str = "value") -> DataFrame:
     return codes.select(
         "theme", "form_code", F.try_element_at("leaf.termer", F.lit(TERM_LANGUAGE)).alias("term")
     )
+
+
+# Rows of a lookup table that may be sent to every executor.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The table with a broadcast hint if it has at most ``max_rows`` rows; counting stops
+    there. A larger table is returned as it is and joined by shuffle."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def read_hierarchy(spark: SparkSession, path: str) -> DataFrame:
+    """(theme, form_code, term) from files that hold the JSON code tree, one tree per file."""
+    return broadcast_if_small(flatten_code_tree(spark.read.text(path, wholetext=True)))

@@ -215,6 +215,30 @@ def test_code_tree_language_and_shape(spark):
     assert tables.hierarchy(spark).count() == 22
 
 
+def test_read_hierarchy_checks_its_size(spark, tmp_path):
+    tree = {"noder": {"SYK": {"kode": "SYK", "undernoder": {c: {"termer": {"nb": "x;"}} for c in "abc"}}}}
+    (tmp_path / "tree.json").write_text(json.dumps(tree, indent=1))
+    read = lookups.read_hierarchy(spark, str(tmp_path / "tree.json"))
+    assert read.count() == 3
+    other = spark.range(5).selectExpr("CAST(id AS STRING) AS form_code")
+
+    def plan(df):
+        return other.join(df, "form_code", "left")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(read)
+    plain = spark.range(3).selectExpr("CAST(id AS STRING) AS form_code")
+    assert "strategy=broadcast" in plan(lookups.broadcast_if_small(plain, 3))
+    assert "strategy=broadcast" not in plan(lookups.broadcast_if_small(plain, 2))
+
+
+def test_entries_without_lookup_are_spread(spark):
+    """Parties that are not looked up match nothing, though their spread key is a party's."""
+    rows = [X.entry("100", party=("100", "ORGNR")), X.entry("b", party=("100", "FNR")), X.entry("c", party=None)]
+    source = X.make_lookups(spark, rows, [X.person("100")])
+    got = {r.entry_id: r.person_found for r in joins.with_identities(source.journal, source.identities).collect()}
+    assert got == {"100": False, "b": True, "c": False}
+
+
 def test_hot_entries_are_split_without_changing_results(spark):
     """One entry holds a third of all events, another set has no id at all."""
     n = 3000
