@@ -16,8 +16,9 @@ from postern.sources.lookups import entries_with_documents
 
 @dataclass(frozen=True)
 class Lookups:
-    """The reference data of one run (layouts in ``schemas``). ``documents`` is None where the
-    journal rows already carry the document facts (``lookups.entries_from_snapshot``)."""
+    """The reference data of one run (layouts in ``schemas``). ``documents`` holds the facts per
+    entry (``lookups.document_facts``), or None where the journal rows carry them already
+    (``lookups.entries_from_snapshot``)."""
 
     journal: DataFrame
     documents: DataFrame | None
@@ -36,7 +37,7 @@ class Lookups:
 def table_lookups(spark: SparkSession, sf_dir: str) -> Lookups:
     return Lookups(
         journal=tables.journal(spark, sf_dir),
-        documents=tables.documents(spark, sf_dir),
+        documents=tables.document_facts(spark, sf_dir),
         identities=tables.identities(spark, sf_dir),
         tasks=tables.tasks(spark, sf_dir),
         hierarchy=tables.hierarchy(spark),
@@ -133,7 +134,8 @@ def run_batch(
 def restricted(lookups: Lookups, ids: DataFrame) -> Lookups:
     """Lookups cut to the entry ids of a small batch before anything is shuffled.
 
-    The caller has checked the number of ids; they are broadcast.
+    The caller has checked the number of ids; they are broadcast. The optimizer moves the semi
+    join below the document aggregate, to the scan.
     """
     ids = F.broadcast(ids.select("entry_id"))
 

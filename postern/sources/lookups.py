@@ -42,13 +42,12 @@ def document_facts(documents: DataFrame) -> DataFrame:
     )
 
 
-def entries_with_documents(journal: DataFrame, documents: DataFrame) -> DataFrame:
-    """Entry table from normalized journal and document tables. Both sides are partitioned by
-    entry id once; an entry without documents has no form code and passes the title test."""
+def entries_with_documents(journal: DataFrame, facts: DataFrame) -> DataFrame:
+    """Entry table from a journal table and document facts. Both sides are partitioned by entry
+    id once; an entry without documents has no form code and passes the title test."""
     return (
-        journal.join(document_facts(documents), "entry_id", "left")
-        .withColumn("n_documents", F.coalesce("n_documents", F.lit(0)))
-        .withColumn("titles_ok", F.coalesce("titles_ok", F.lit(True)))
+        journal.join(facts, "entry_id", "left")
+        .fillna({"n_documents": 0, "titles_ok": True})
         .withColumn("entry_ok", _required_present())
         .select(*ENTRY_COLUMNS)
     )

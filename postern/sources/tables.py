@@ -91,17 +91,19 @@ def journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CODES = """CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'NAV 08-07.04D'
+            WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
+            WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS form_code"""
+
+# A line number and a part key share one number, the line number in front.
+_PART_BITS = 40
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, l_linenumber) is not unique. Lines that also share the part have the same
-    form code, so line number and part order the documents as far as any result depends on it.
-    """
-    parts = table(spark, sf_dir, "part").selectExpr(
-        "p_partkey AS l_partkey",
-        "p_name",
-        """CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'NAV 08-07.04D'
-           WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
-           WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS form_code""",
-    )
+    """One row per document. (l_orderkey, l_linenumber) is not unique, but lines that also share
+    the part have the same form code, so line number and part order the documents as far as any
+    result depends on it."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name", _CODES)
     return (
         table(spark, sf_dir, "lineitem")
         .join(parts, "l_partkey", "left")
@@ -114,8 +116,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lookups.document_facts`` of these documents, without a join of all lines with all parts.
+
+    Per line, only parts without a name matter, and they are few; the form code is looked up
+    once per entry, for the part of its first line. The lines are thus reduced by entry as they
+    are scanned, in a hash aggregate, because line number and part are packed into one number.
+    Every line has a part.
+    """
+    parts = table(spark, sf_dir, "part")
+    nameless = parts.where("p_name IS NULL OR p_name = ''").selectExpr("p_partkey AS l_partkey", "true AS nameless")
+    first_part = f"first_line & {(1 << _PART_BITS) - 1}L"
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(nameless, "l_partkey", "left")
+        .selectExpr(
+            "CAST(l_orderkey AS STRING) AS entry_id",
+            f"shiftleft(CAST(l_linenumber AS BIGINT), {_PART_BITS}) | l_partkey AS line",
+            "l_discount <> 0 AND l_discount <> 0.1D AND nameless IS NULL AS titled",
+        )
+        .groupBy("entry_id")
+        .agg(
+            F.count("*").alias("n_documents"),
+            F.min("line").alias("first_line"),
+            F.every("titled").alias("titles_ok"),
+        )
+        .withColumn("p_partkey", F.expr(first_part))
+        .join(parts.selectExpr("p_partkey", _CODES), "p_partkey", "left")
+        .select("entry_id", "n_documents", "form_code", "titles_ok")
+    )
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.entries_with_documents(journal(spark, sf_dir), documents(spark, sf_dir))
+    return lookups.entries_with_documents(journal(spark, sf_dir), document_facts(spark, sf_dir))
 
 
 def identities(spark: SparkSession, sf_dir: str) -> DataFrame:

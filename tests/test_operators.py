@@ -265,6 +265,13 @@ def test_hot_entries_are_split_without_changing_results(spark):
     assert found.where("not entry_found").count() == events.where("entry_id is null").count()
 
 
+def test_document_facts_agree(spark, sf_dir):
+    general = lookups.document_facts(tables.documents(spark, sf_dir))
+    special = tables.document_facts(spark, sf_dir).select(*general.columns)
+    assert special.count() > 0
+    assert general.exceptAll(special).count() == 0 and special.exceptAll(general).count() == 0
+
+
 def test_wire_schema_covers_decoded_event():
     assert set(EVENT_WIRE.names) == set(EVENT_DECODED.names)
 
