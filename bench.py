@@ -35,6 +35,10 @@ HEADLINE = [
 ]
 
 
+# Each query is built and run this often; the faster run counts.
+RUNS = 2
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -44,12 +48,15 @@ def main() -> None:
     QUERIES["outcome_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        runs = []
+        for _ in range(RUNS):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        seconds[name] = round(min(runs), 3)
     spark.stop()
     result = {
-        "metric": "total_query_seconds",
+        "metric": "total_query_seconds_best_of_2",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
