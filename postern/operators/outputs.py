@@ -97,11 +97,18 @@ def journal_updates(decisions: DataFrame) -> DataFrame:
     )
 
 
-def update_bodies(updates: DataFrame) -> DataFrame:
-    """Update rows as the nested JSON the archive takes; NULL fields are written."""
+def update_bodies(updates: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
+    """Update rows as the nested JSON the archive takes; NULL fields are written. The lists of
+    an entry, its documents and dates, are sent back as they are in the nested ``snapshot``."""
+
     def party(id_column: str, type_column: str) -> Column:
         return F.struct(F.col(id_column).alias("id"), F.col(type_column).alias("idType"))
 
+    lists = []
+    if snapshot is not None:
+        lists = ["dokumenter", "relevanteDatoer"]
+        nested = snapshot.select(F.col("journalpostId").alias("entry_id"), *lists)
+        updates = updates.join(nested, "entry_id", "left")
     body = F.struct(
         party("party_id", "party_id_type").alias("bruker"),
         F.col("title").alias("tittel"),
@@ -113,6 +120,7 @@ def update_bodies(updates: DataFrame) -> DataFrame:
         party("sender_id", "sender_id_type").alias("avsenderMottaker"),
         F.col("handling_theme").alias("behandlingstema"),
         F.col("handling_type").alias("behandlingstype"),
+        *lists,
     )
     return updates.select("entry_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
 
@@ -124,10 +132,8 @@ def finalizations(updates: DataFrame) -> DataFrame:
 
 def current_journal(journal: DataFrame, updates: DataFrame) -> DataFrame:
     """The journal with the updates applied: an updated entry is replaced as a whole."""
-    updated = updates.select(
-        "entry_id",
-        F.struct("unit", "title", "sender_id", "sender_id_type", "case_type", "handling_theme", "handling_type").alias("_new"),
-    )
+    fields = ["unit", "title", "sender_id", "sender_id_type", "case_type", "handling_theme", "handling_type"]
+    updated = updates.select("entry_id", F.struct(*fields).alias("_new"))
     new = F.col("_new").isNotNull()
 
     def pick(updated_field: str, column: Column) -> Column:

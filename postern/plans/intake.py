@@ -150,6 +150,14 @@ def restricted(lookups: Lookups, ids: DataFrame) -> Lookups:
     )
 
 
+def with_entries(lookups: Lookups, entries: DataFrame) -> Lookups:
+    """Lookups around the written entries of a small batch: only the identities of their parties
+    are shuffled. There are at most as many parties as entries, so they are broadcast."""
+    parties = F.broadcast(entries.select("party_id").where("party_id IS NOT NULL").distinct())
+    identities = lookups.identities.join(parties, "party_id", "left_semi")
+    return replace(lookups, journal=entries, documents=None, identities=identities)
+
+
 def after_earlier(lookups: Lookups, earlier: DataFrame) -> Lookups:
     """Lookups as they stand after earlier decisions (``entry_id``, ``outcome``): a manual task
     is an open task, an automatically handled entry is no longer open for handling."""

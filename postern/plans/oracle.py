@@ -378,7 +378,7 @@ SELECT p_partkey AS part_id,
 FROM part""",
     "deadline_auto": _sql(["ev"], f"SELECT event_order, {_deadline('as_of', '3')} AS deadline FROM ev"),
     "deadline_manual": _sql(["ev"], f"SELECT event_order, {_deadline('as_of', '1')} AS deadline FROM ev"),
-    "local_times": _sql(["ev"], _LOCAL_TS),
+    "local_time": _sql(["ev"], _LOCAL_TS),
     "assigned_unit": _sql(
         ["j"],
         """SELECT entry_id, CASE WHEN trim(unit) <> '' AND entry_id <> '755763339' THEN unit END AS auto_unit,

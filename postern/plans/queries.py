@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postern import rules
+from postern.functions import dates
 from postern.functions import json as J
 from postern.functions import parties as P
-from postern.functions.dates import deadline, epoch_ms, local_time
+from postern.functions.dates import deadline, epoch_ms
 from postern.functions.text import term_malformed, term_part
 from postern.operators import envelope, gates, joins, outputs, repair, retry, routing
 from postern.operators.decode import checked, decode, parse_json_events, split_faulty
@@ -334,9 +335,9 @@ def deadline_manual(spark, sf_dir):
 
 
 @query
-def local_times(spark, sf_dir):
+def local_time(spark, sf_dir):
     """Local wall time of every event, its time taken as UTC."""
-    return tables.events(spark, sf_dir).select("event_order", local_time(F.col("as_of")).alias("local_ts"))
+    return tables.events(spark, sf_dir).select("event_order", dates.local_time(F.col("as_of")).alias("local_ts"))
 
 
 @query

@@ -18,6 +18,7 @@ from postern.plans.intake import (
     after_earlier,
     restricted,
     run_batch,
+    with_entries,
     write_table,
 )
 from postern.streaming.retry import hold_until_due
@@ -72,6 +73,9 @@ def handle_batch(
             if small:
                 earlier = earlier.join(F.broadcast(ids), "entry_id", "left_semi")
             lookups = after_earlier(lookups, earlier)
+        if small:
+            entries = write_table(spark, lookups.entries, f"{folder}/entries/{part}")
+            lookups = with_entries(lookups, entries)
         delay = F.when(F.col("is_retry"), F.expr(rules.NEXT_RETRY_DELAY)).otherwise(
             F.expr(rules.FIRST_RETRY_DELAY)
         )

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postern import rules
 from postern.operators.joins import keys_of
@@ -51,12 +52,13 @@ def entry(
     return row | changes
 
 
-def journal(spark: SparkSession, rows: list[dict]) -> DataFrame:
+def snapshot(spark: SparkSession, rows: list[dict]) -> DataFrame:
     lines = spark.createDataFrame([(json.dumps(row),) for row in rows], "value string")
-    from pyspark.sql import functions as F
+    return lines.select(F.from_json("value", JOURNAL_ENTRY).alias("e")).select("e.*")
+
 
-    snapshot = lines.select(F.from_json("value", JOURNAL_ENTRY).alias("e")).select("e.*")
-    return lookups.entries_from_snapshot(snapshot)
+def journal(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    return lookups.entries_from_snapshot(snapshot(spark, rows))
 
 
 def person(party_id: str, *groups: str) -> tuple:
@@ -94,8 +96,6 @@ def keys(spark: SparkSession, ids: list[str], as_of: dt.datetime = WEDNESDAY_MOR
 
 def wire(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(order, as_of, entry id as number, type, theme) -> wire events."""
-    from pyspark.sql import functions as F
-
     base = spark.createDataFrame(
         rows,
         "event_order bigint, as_of timestamp_ntz, journalpostId bigint, hendelsesType string, temaNytt string",

@@ -8,6 +8,7 @@ from postern.functions.dates import epoch_ms
 from postern.operators import decode, envelope, gates, joins, outputs, repair, retry, routing
 from postern.plans import intake
 from postern.schemas import EVENT_DECODED, EVENT_WIRE, JOURNAL_ENTRY
+from postern.session import work_dir
 from postern.sources import lookups, tables
 from pyspark.sql import functions as F
 
@@ -201,6 +202,40 @@ def test_current_journal(spark):
     assert (got["b"].case_type, got["b"].sender_id, got["b"].handling_theme) == (None, None, "old")
 
 
+def test_update_body_sends_lists_back(spark):
+    rows = [X.entry("a", titles=("x", "y"), unit="", relevanteDatoer=[{"dato": "2024-01-01", "datotype": "D"}])]
+    source = X.make_lookups(spark, rows, [X.person("100")])
+    updates = outputs.journal_updates(intake.decide_keys(X.keys(spark, ["a"]), source))
+    body = json.loads(outputs.update_bodies(updates, X.snapshot(spark, rows)).first().body)
+    assert body["dokumenter"] == rows[0]["dokumenter"]
+    assert body["relevanteDatoer"] == rows[0]["relevanteDatoer"]
+    assert body["bruker"] == {"id": "100", "idType": "FNR"}
+    assert body["avsenderMottaker"] == {"id": "100", "idType": "FNR"}
+    assert (body["sak"], body["behandlingstype"]) == ({"sakstype": "GENERELL_SAK"}, None)
+    assert (body["journalforendeEnhet"], body["behandlingstema"]) == ("", "ab0434")
+
+
+def test_batch_with_replies(spark):
+    """All outputs of one run, after the task system's replies."""
+    names = ["ok", "closed", "org", "twice"]
+    rows = [X.entry(n, unit="1234") for n in names[:2]]
+    rows += [X.entry(n, unit="1234", code=X.MANUAL_CODE, party=("9", "ORGNR")) for n in names[2:]]
+    source = X.make_lookups(spark, rows, [X.person("100")])
+    wire = X.wire(spark, [(n, X.WEDNESDAY_MORNING, n, "Mottatt", "SYK") for n in range(8)])
+    ids = F.array(*[F.lit(n) for n in names])
+    events = intake.gated_events(wire).withColumn("entry_id", ids[F.col("event_order") % 4])
+    folder = work_dir(spark, "batch")
+    result = intake.run_batch(spark, events, source, folder, "batch_id=0", answers=_answers(spark))
+    tasks = {r.journalpostId: (r.oppgavetype, r.tildeltEnhetsnr, r.orgnr) for r in result.task_requests.collect()}
+    assert tasks == {"ok": ("SOK", "1234", None), "closed": ("SOK", None, None), "org": ("JFR", "1234", None)}
+    assert {r.entry_id for r in result.journal_updates.collect()} == {"ok", "closed"}
+    assert {r.entry_id for r in result.finalizations.collect()} == {"ok", "closed"}
+    assert [r.key for r in result.retries.collect()] == ["twice"]
+    outcomes = {r.event_order: r.outcome for r in result.routed.collect()}
+    assert outcomes == {0: "AUTO", 1: "AUTO", 2: "JFR", 3: "RETRY",
+                        4: "SKIP_STATUS", 5: "SKIP_STATUS", 6: "SKIP_HAS_TASK", 7: "RETRY"}
+
+
 def test_code_tree_language_and_shape(spark):
     tree = {
         "noder": {
@@ -245,10 +280,11 @@ def test_hot_entries_are_split_without_changing_results(spark):
     events = spark.range(n).select(
         F.col("id").alias("event_order"),
         F.lit(X.WEDNESDAY_MORNING).cast("timestamp_ntz").alias("as_of"),
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 30 != 1, F.concat(F.lit("e"), F.col("id") % 50)).alias("entry_id"),
+        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 30 <> 1 THEN concat('e', id % 50) END AS entry_id"),
     )
+    outcome = F.when(F.col("entry_id") == "hot", "JFR").otherwise("SKIP_STATUS")
     decisions = joins.keys_of(events.where("entry_id is not null")).withColumns(
-        {"outcome": F.when(F.col("entry_id") == "hot", "JFR").otherwise("SKIP_STATUS"), "reason": F.lit(None).cast("string")}
+        {"outcome": outcome, "reason": F.lit(None).cast("string")}
     )
     plain = routing.fan_out(events, decisions)
     split = routing.fan_out(events, decisions, per_task=100)
