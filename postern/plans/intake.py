@@ -11,7 +11,7 @@ from postern import rules
 from postern.operators import joins, outputs, repair, retry, routing
 from postern.operators.decode import checked, decode, split_faulty
 from postern.sources import tables
-from postern.sources.lookups import entries_with_documents
+from postern.sources.lookups import broadcast_if_small, entries_with_documents
 
 
 @dataclass(frozen=True)
@@ -126,11 +126,31 @@ def run_batch(
     task_requests = write(requests, "task_requests")
     updates = write(outputs.journal_updates(decisions), "journal_updates")
     finalizations = write(outputs.finalizations(updates), "finalizations")
-    routed = write(routing.fan_out(events, decisions, keys=decisions), "routed")
-    retries = write(retry.enqueue(routed, delay), "retries")
+    narrow = events.select("event_order", "as_of", "entry_id")
+    routed = write(routing.fan_out(narrow, decisions, keys=decisions), "routed")
+    retries = write(retry.enqueue(failed_events(events, decisions), delay), "retries")
     return BatchResult(decisions, routed, task_requests, updates, finalizations, retries)
 
 
+def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The whole events of entries decided as RETRY; all events of such an entry end so. Mostly
+    these are few entries, and then the events are not shuffled for it."""
+    failed = broadcast_if_small(
+        decisions.where(F.col("outcome") == routing.RETRY).select("entry_id", "outcome")
+    )
+    return events.join(failed, "entry_id")
+
+
+def cut_to(lookups: Lookups, ids: DataFrame, max_ids: int) -> tuple[Lookups, bool]:
+    """Lookups for a batch of events with these entry ids, and whether the batch is small.
+
+    Up to ``max_ids`` ids are broadcast to cut the lookup tables as they are scanned; counting
+    stops there. A larger batch takes the whole tables and joins them by shuffle.
+    """
+    small = ids.limit(max_ids + 1).count() <= max_ids
+    return (restricted(lookups, ids) if small else lookups), small
+
+
 def restricted(lookups: Lookups, ids: DataFrame) -> Lookups:
     """Lookups cut to the entry ids of a small batch before anything is shuffled.
 

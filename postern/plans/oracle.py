@@ -464,7 +464,7 @@ FROM q, (VALUES (1), (2), (3)) AS n(attempt)""",
     "stream_route": _sql([*_EVENT_CHAIN, "r"], _EVENT_OUTCOME.format("r")),
     "stream_enrich": _sql(
         ["j", "d", "en", "ev", "g", "h", "c"],
-        """SELECT event_order AS event_id, g.entry_id, en.theme, en.form_code,
+        """SELECT event_order, g.entry_id, en.theme, en.form_code,
        coalesce(nullif(preset_theme, ''), mapped_theme) AS handling_theme, mapped_type AS handling_type
 FROM g LEFT JOIN en ON en.entry_id = g.entry_id
 LEFT JOIN c ON c.theme = en.theme AND c.form_code = en.form_code""",

@@ -455,9 +455,15 @@ def retry_schedule(spark, sf_dir):
 # -- streams --------------------------------------------------------------------------------
 
 
-def _written_stream(spark: SparkSession, rows: DataFrame, folder: str, **trigger) -> DataFrame:
+def _written_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     """Run a stream into a parquet table until its source is read through; read the table."""
-    enrich.write_stream(rows, f"{folder}/out", f"{folder}/checkpoint", **trigger).awaitTermination()
+    stream = (
+        rows.writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/out")
+    )
+    stream.awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 
@@ -497,10 +503,14 @@ def stream_route(spark, sf_dir):
 
 @query
 def stream_enrich(spark, sf_dir):
-    """Gated events with their entry's codes, by a stream-static join."""
+    """Gated events with their entry's codes, batch by batch."""
+    folder = work_dir(spark, "enrich")
     events = intake.gated_events(_event_stream(spark, sf_dir))
-    codes = enrich.entry_codes(tables.entries(spark, sf_dir), tables.hierarchy(spark))
-    return _written_stream(spark, enrich.enrich(events, codes), work_dir(spark, "enrich"))
+    stream = enrich.start(events, lambda session: intake.table_lookups(session, sf_dir), folder)
+    stream.awaitTermination()
+    return spark.read.parquet(f"{folder}/enriched").select(
+        "event_order", "entry_id", "theme", "form_code", "handling_theme", "handling_type"
+    )
 
 
 @query

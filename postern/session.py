@@ -36,6 +36,23 @@ def local_session(cores: int | str = "*", app: str = "postern", **settings: str)
     return spark
 
 
+def settings_for(shuffle_bytes: int, partition_mb: int = 200) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_bytes`` in its largest stage: partitions
+    that fit an executor's memory, coalesced where a stage turns out smaller, split where one
+    key makes a partition several times that size."""
+    size = f"{partition_mb}m"
+    partitions = max(200, -(-shuffle_bytes // (partition_mb << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    }
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for tables and stream checkpoints of one run.
 

@@ -16,7 +16,7 @@ from postern.operators.retry import events_of
 from postern.plans.intake import (
     Lookups,
     after_earlier,
-    restricted,
+    cut_to,
     run_batch,
     with_entries,
     write_table,
@@ -64,10 +64,7 @@ def handle_batch(
         events, faulty = split_faulty(received)
         write_table(spark, faulty, f"{folder}/quarantine/{part}")
         ids = joins.keys_of(events).select("entry_id")
-        lookups = read_lookups(spark)
-        small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-        if small:
-            lookups = restricted(lookups, ids)
+        lookups, small = cut_to(read_lookups(spark), ids, MAX_BROADCAST_IDS)
         earlier = earlier_decisions(spark, folder, batch_id, lag)
         if earlier is not None:
             if small:

@@ -21,7 +21,7 @@ def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if names, types and the multiset of rows agree; otherwise what differs."""
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     got = df.toArrow()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {got.column_names} != {want.column_names}"

@@ -181,6 +181,18 @@ def test_work_dir():
         work_dir(_Session("spark://cluster:7077", None), "x")
 
 
+def test_settings_for_size(spark):
+    from postern.session import session_settings, settings_for
+
+    assert settings_for(10)["spark.sql.shuffle.partitions"] == "200"
+    settings = settings_for(100 << 40)
+    assert settings["spark.sql.shuffle.partitions"] == str((100 << 20) // 200)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session_settings(spark, settings):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "200m"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_second_failure_waits_ten_minutes(batches, spark):
     routed = X.wire(spark, [(1, X.WEDNESDAY_MORNING, 5, "Mottatt", "SYK")])
     failed = decode(routed).withColumn("outcome", F.lit("RETRY"))
