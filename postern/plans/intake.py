@@ -97,12 +97,18 @@ def write_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Up to this many entry ids of a batch are broadcast to cut the lookup tables as they are
+# scanned. A larger batch joins the whole tables by shuffle.
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def run_batch(
     spark: SparkSession,
     events: DataFrame,
     lookups: Lookups,
     folder: str,
     part: str,
+    earlier: DataFrame | None = None,
     answers: DataFrame | None = None,
     delay: Column | None = None,
 ) -> BatchResult:
@@ -110,12 +116,22 @@ def run_batch(
 
     ``part`` (such as ``batch_id=7``) names the sub-folder of this run in each table. A rerun
     replaces it, so a batch that is replayed after a failure adds nothing. The decisions are
-    written first; all outputs are cheap projections of those files.
+    written first; all outputs are cheap projections of those files. ``earlier`` holds decisions
+    of earlier runs that the lookups do not show yet.
     """
 
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(spark, df, f"{folder}/{name}/{part}")
 
+    ids = joins.keys_of(events).select("entry_id")
+    lookups, small = cut_to(lookups, ids)
+    if earlier is not None:
+        if small:
+            earlier = earlier.join(F.broadcast(ids), "entry_id", "left_semi")
+        lookups = after_earlier(lookups, earlier)
+    if small:
+        lookups = with_entries(lookups, write(lookups.entries, "entries"))
+
     decisions = decide_events(events, lookups)
     if answers is not None:
         decisions = repair.settled_decisions(decisions, answers)
@@ -141,13 +157,10 @@ def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
     return events.join(failed, "entry_id")
 
 
-def cut_to(lookups: Lookups, ids: DataFrame, max_ids: int) -> tuple[Lookups, bool]:
-    """Lookups for a batch of events with these entry ids, and whether the batch is small.
-
-    Up to ``max_ids`` ids are broadcast to cut the lookup tables as they are scanned; counting
-    stops there. A larger batch takes the whole tables and joins them by shuffle.
-    """
-    small = ids.limit(max_ids + 1).count() <= max_ids
+def cut_to(lookups: Lookups, ids: DataFrame) -> tuple[Lookups, bool]:
+    """Lookups for a batch of events with these entry ids, and whether the batch is small enough
+    to cut them (``MAX_BROADCAST_IDS``; counting stops there)."""
+    small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
     return (restricted(lookups, ids) if small else lookups), small
 
 

@@ -10,8 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 from postern.operators import joins
 from postern.plans.intake import Lookups, cut_to, write_table
 
-MAX_BROADCAST_IDS = 1_000_000
-
 
 def enriched(events: DataFrame, lookups: Lookups) -> DataFrame:
     """Gated events with theme, form code, handling theme and handling type of their entry."""
@@ -33,7 +31,7 @@ def start(
         part = f"batch_id={batch_id}"
         received = write_table(spark, batch, f"{folder}/events/{part}")
         ids = joins.keys_of(received).select("entry_id")
-        lookups, _ = cut_to(read_lookups(spark), ids, MAX_BROADCAST_IDS)
+        lookups, _ = cut_to(read_lookups(spark), ids)
         write_table(spark, enriched(received, lookups), f"{folder}/enriched/{part}")
 
     return (

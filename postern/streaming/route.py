@@ -10,23 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postern import rules
-from postern.operators import joins
 from postern.operators.decode import checked, decode, split_faulty
 from postern.operators.retry import events_of
-from postern.plans.intake import (
-    Lookups,
-    after_earlier,
-    cut_to,
-    run_batch,
-    with_entries,
-    write_table,
-)
+from postern.plans.intake import Lookups, run_batch, write_table
 from postern.streaming.retry import hold_until_due
 
-# Up to this many entry ids of a micro-batch are broadcast to cut the lookup tables. A larger
-# batch joins them by shuffle.
-MAX_BROADCAST_IDS = 1_000_000
-
 RETRY_DDL = "key string, value string, due_ms bigint, enqueued_at timestamp_ntz"
 
 
@@ -63,20 +51,11 @@ def handle_batch(
         received = write_table(spark, batch, f"{folder}/events/{part}")
         events, faulty = split_faulty(received)
         write_table(spark, faulty, f"{folder}/quarantine/{part}")
-        ids = joins.keys_of(events).select("entry_id")
-        lookups, small = cut_to(read_lookups(spark), ids, MAX_BROADCAST_IDS)
         earlier = earlier_decisions(spark, folder, batch_id, lag)
-        if earlier is not None:
-            if small:
-                earlier = earlier.join(F.broadcast(ids), "entry_id", "left_semi")
-            lookups = after_earlier(lookups, earlier)
-        if small:
-            entries = write_table(spark, lookups.entries, f"{folder}/entries/{part}")
-            lookups = with_entries(lookups, entries)
         delay = F.when(F.col("is_retry"), F.expr(rules.NEXT_RETRY_DELAY)).otherwise(
             F.expr(rules.FIRST_RETRY_DELAY)
         )
-        run_batch(spark, events, lookups, folder, part, delay=delay)
+        run_batch(spark, events, read_lookups(spark), folder, part, earlier=earlier, delay=delay)
 
     return handle
 

@@ -88,7 +88,7 @@ def test_replayed_batch_changes_nothing(batches):
 
 def test_large_batch_without_broadcast(batches, monkeypatch):
     run, table = batches
-    monkeypatch.setattr(route, "MAX_BROADCAST_IDS", 1)
+    monkeypatch.setattr(intake, "MAX_BROADCAST_IDS", 1)
     run(0, [(1, 1), (2, 2)])
     run(1, [(3, 1), (4, 2)])
     got = {o: v[1] for o, v in _outcomes(table("routed")).items()}
