@@ -18,8 +18,9 @@ RETENTION_MS = 336 * 60 * 60 * 1000
 class HoldUntilDue(StatefulProcessor):
     """Keeps the message that is due last per key and hands it out once it is due.
 
-    Only that one message is held, however many arrive. The state is cleared on release and
-    expires with the retention of the retry topic.
+    Only that one message is held, however many arrive, and rows are read one by one. The job
+    writes at most one message per entry and batch, so no key brings many. The state is cleared
+    on release and expires with the retention of the retry topic.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:

@@ -9,7 +9,7 @@ from postern.operators import decode, envelope, gates, joins, outputs, repair, r
 from postern.plans import intake
 from postern.schemas import EVENT_DECODED, EVENT_WIRE, JOURNAL_ENTRY
 from postern.session import work_dir
-from postern.sources import lookups, tables
+from postern.sources import lookups, responses, tables
 from pyspark.sql import functions as F
 
 EVENT = {
@@ -92,6 +92,31 @@ def test_envelope(spark):
     assert side == {("1", 0): ("m", None), ("2", 0): (None, None), ("2", 1): ("x", "c")}
 
 
+def test_lookup_tables_from_responses(spark):
+    whole = X.entry("a", titles=("x", "y"))
+    single = X.entry("b") | {"dokumenter": X.entry("b")["dokumenter"][0]}
+    bodies = [
+        {"data": {"journalpost": whole | {"extra": 1}}, "errors": [{"message": "m"}]},
+        {"data": {"journalpost": single}},
+        {"data": {"journalpost": None}, "errors": [{"message": "gone"}]},
+        {"data": {"journalpost": {k: v for k, v in X.entry("d").items() if k != "dokumenter"}}},
+    ]
+    df = spark.createDataFrame([(json.dumps(b),) for b in bodies], "value string")
+    got = {r.entry_id: (r.form_code, r.n_documents, r.titles_ok, r.entry_ok) for r in responses.entries(df).collect()}
+    assert got == {"a": (X.AUTO_CODE, 2, True, True), "b": (X.AUTO_CODE, 1, True, True), "d": (None, 0, None, False)}
+
+    number = {"gruppe": "FOLKEREGISTERIDENT", "ident": "n"}
+    actor = {"gruppe": "AKTORID", "ident": "a"}
+    people = [
+        ("1", {"data": {"hentIdenter": {"identer": [number, actor]}}}),
+        ("2", {"data": {"hentIdenter": {"identer": actor}}}),
+        ("3", {"data": {"hentIdenter": None}, "errors": [{"message": "not found"}]}),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in people], "party_id string, value string")
+    facts = lookups.identity_facts(responses.identities(df))
+    assert {r.party_id: (r.actor_id, r.national_id) for r in facts.collect()} == {"1": ("a", "n"), "2": ("a", None)}
+
+
 REPLIES = [
     # id, first status, first text, second status -> class, attempts, accepted
     ("ok", 201, None, None, None, 1, True),
