@@ -37,12 +37,14 @@ def _array(n: int, dtype, fill: int) -> np.ndarray:
 def _rising(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; the last (the end mark) counts as so."""
     n = len(t)
-    step = np.ones(n, np.int8)
-    step[:-1] = np.sign(t[1:].astype(np.int64) - t[:-1].astype(np.int64)) if n > 1 else 1
+    rises, level = np.ones(n, bool), np.zeros(n, bool)
+    np.greater(t[1:], t[:-1], out=rises[:-1])
+    np.equal(t[1:], t[:-1], out=level[:-1])
     # Equal symbols take the direction of the next step that is not level.
-    at = np.where(step != 0, np.arange(n), n - 1)
-    at = np.minimum.accumulate(at[::-1])[::-1]
-    return step[at] > 0
+    steps = np.flatnonzero(~level)
+    at = np.flatnonzero(level)
+    rises[at] = rises[steps[np.searchsorted(steps, at)]]
+    return rises
 
 
 class _Least:

@@ -4,13 +4,16 @@ A string of LENGTH bytes that also starts earlier, in a smaller doc_id or furthe
 document, has all its bytes removed. Steps:
 
 1. Every window of LENGTH bytes has a key: the least hash of its GRAM-byte substrings. Neighbouring
-   windows of one key make a run. Equal windows have equal keys, so runs whose key occurs nowhere
-   else hold no repeated window and drop out; all other runs go to the shard of their key.
-2. A run whose bytes a task has seen before, in an earlier place, is removed there and then; so a
-   passage in a third of all documents reaches its shard a few times per task only.
-3. A shard sorts all suffixes of its runs by induced sorting (``induced.py``), which also gives the
-   prefix each has in common with the one before; suffixes that share LENGTH bytes stand together,
-   and all but the earliest of them are removed.
+   windows of one key make a run. Equal windows have equal keys, so only runs of one key can share
+   a window, and a key with a single run holds no repeat.
+2. A run whose bytes (by key, length and a hash of 64 bits) start earlier elsewhere is removed as a
+   whole. Each task does this for the rows it has, so a passage in a third of all documents leaves
+   it a few times only; then it is done per key.
+3. Of a key's different runs, one of each goes on to the key's shard, which sorts all their
+   suffixes by induced sorting (``induced.py``). This also gives the prefix that each suffix has in
+   common with the one before; suffixes that share LENGTH bytes stand together, and all but the
+   earliest of them are removed. Keys are sorted a bounded number of bytes at a time; one key with
+   more than that is a larger shard, whose arrays lie on disk.
 
 Defined cases: a null text is empty; texts shorter than LENGTH keep everything; a null doc_id comes
 after all others; rows that share a doc_id are documents of their own, ordered by the hash of their
@@ -32,8 +35,11 @@ from postern.llm.induced import sort_suffixes
 LENGTH, GRAM = 100, 32
 #: Levels of names after which names stand for LENGTH bytes at least.
 LEVELS = 7
-#: Bytes of text hashed at once.
-BUFFER = 1 << 20
+#: Bytes of text hashed at once, and of runs sorted at once (more if one key has more).
+BUFFER, SHARD = 1 << 20, 6 << 20
+
+#: An odd number, the base of the hash of a run.
+BASE = 0x9FB21C651E98DF25
 
 PLACE = "_null boolean, _id long, _sub int"
 
@@ -90,10 +96,10 @@ def _groups(sizes: list[int]) -> Iterator[list[int]]:
 
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Of texts: number of the text, key, start, bytes, and 2 where the run may repeat a window
-    within itself, else 1, for each run of windows."""
+    """Of texts: number of the text, key, hash of the bytes, start, number of bytes, and 1 where the
+    run may repeat a window within itself, else 0, for each run of windows."""
     none = np.zeros(0, np.int64)
-    out = [(none,) * 5]
+    out = [(none,) * 6]
     reach = LENGTH - GRAM  # a window has reach + 1 substrings
     for group in _groups([len(t) for t in texts]):
         data = np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
@@ -120,68 +126,63 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         marks = places[:-1][twice]
         own = np.searchsorted(marks, last + reach, "right") > np.searchsorted(marks, first)
         text = np.searchsorted(ends, first, "right")
+        # A polynomial of the substrings' hashes, brought to its first power by the inverse.
+        with np.errstate(over="ignore"):
+            up = np.full(len(hashes), BASE, np.uint64)
+            down = np.full(len(hashes), pow(BASE, -1, 1 << 64), np.uint64)
+            up[0] = down[0] = 1
+            sums = np.append(np.uint64(0), np.cumsum(hashes * np.cumprod(up)))
+            what = (sums[last + reach + 1] - sums[first]) * np.cumprod(down)[first]
         out.append(
             (
                 np.array(group)[text],
                 key[first].view(np.int64),
+                what.view(np.int64),
                 first - begins[text],
                 last - first + LENGTH,
-                1 + own.astype(np.int64),
+                own.astype(np.int64),
             )
         )
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (text): key and how often a task's batch has it, at most 2."""
-    for batch in batches:
-        _, key, _, _, times = runs(batch.column(0).to_pylist())
-        found, inverse = np.unique(key, return_inverse=True)
-        n = np.minimum(2, np.bincount(inverse, times, len(found))).astype(np.int16)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["key", "n"])
+def _spread(i: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Keys that spread rows without a key over the tasks by their place."""
+    with np.errstate(over="ignore"):
+        out = i.astype(np.uint64) * np.uint64(BASE) + start.astype(np.uint64)
+        return ((out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (PLACE, text): PLACE, key, start and bytes of every run."""
-    for batch in batches:
-        text, key, start, size, _ = runs(batch.column(3).to_pylist())
-        places = [batch.column(i).take(pa.array(text)) for i in range(3)]
-        yield pa.RecordBatch.from_arrays(
-            [*places, pa.array(key), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))],
-            ["_null", "_id", "_sub", "key", "start", "size"],
-        )
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (PLACE, text, runs): a row for each run, with its bytes if they are new in this batch or
-    earlier than those seen; other runs are repeats, which go along without bytes."""
+    """Of (PLACE, text): every run, and whether the batch has its bytes in an earlier place."""
     for batch in batches:
-        seen: dict[tuple, tuple] = {}
-        rows = []
-        for null, i, sub, text, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            for run in own:
-                if run["_sub"] != sub:
-                    continue
-                key, start, size = run["key"], run["start"], run["size"]
-                what, place = (key, text[start : start + size]), (null, i, sub, start)
-                before = seen.get(what)
-                if before is None or place < before:
-                    seen[what] = place
-                    place = before
-                if place is not None:
-                    rows.append((hash_place(place), *place, size, None))
-        rows += [(key, *place, len(data), data) for (key, data), place in seen.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 7
+        text, key, what, start, size, twice = runs(batch.column(3).to_pylist())
+        null, i, sub = (batch.column(c).to_numpy(zero_copy_only=False)[text] for c in range(3))
+        order = np.lexsort((start, sub, i, null, size, what, key))
+        same = np.zeros(len(order), bool)
+        one, other = order[1:], order[:-1]
+        same[1:] = (key[one] == key[other]) & (what[one] == what[other]) & (size[one] == size[other])
+        again = np.zeros(len(order), bool)
+        again[order] = same
+        key = np.where(again, _spread(i, start), key)
+        what = np.where(again, 0, what)
+        columns = [
+            (null, pa.bool_()),
+            (i, pa.int64()),
+            (sub, pa.int32()),
+            (key, pa.int64()),
+            (what, pa.int64()),
+            (start, pa.int32()),
+            (size, pa.int32()),
+            (twice > 0, pa.bool_()),
+            (again, pa.bool_()),
+        ]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, _CUT.types, strict=True)], _CUT.names
+            [pa.array(c).cast(k) for c, k in columns],
+            ["_null", "_id", "_sub", "key", "what", "start", "size", "twice", "again"],
         )
 
 
-def hash_place(place: tuple) -> int:
-    """A key that spreads repeats over the shards by their place."""
-    return (place[1] * 0x9E3779B97F4A7C15 + place[3] * 0xD6E8FEB86659FD93) % (1 << 63)
-
-
 _CUT = pa.schema(
     [
         ("key", pa.int64()),
@@ -195,6 +196,38 @@ _CUT = pa.schema(
 )
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (PLACE, text, runs): the bytes of the runs to sort; whole repeats go along without bytes,
+    those that overlap as one."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 512):
+            batch = whole.slice(at, 512)
+            lists = batch.column(4)
+            offsets = lists.offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            sub, key, start, size, sort = (
+                c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten()
+            )
+            rows: list[tuple] = []
+            for r in range(batch.num_rows):
+                place = [batch.column(c)[r].as_py() for c in range(3)]
+                text = batch.column(3)[r].as_py()
+                own = np.arange(offsets[r], offsets[r + 1])
+                own = own[sub[own] == place[2]]
+                for k in own[sort[own]].tolist():
+                    s, n = int(start[k]), int(size[k])
+                    rows.append((int(key[k]), *place, s, n, text[s : s + n]))
+                repeats = own[~sort[own]]
+                spans = joined(list(zip(start[repeats].tolist(), size[repeats].tolist(), strict=True)))
+                for s, e in spans:
+                    away = int(_spread(np.array([place[1]]), np.array([s]))[0])
+                    rows.append((away, *place, s, e - s, None))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, _CUT.types, strict=True)], _CUT.names
+            )
+
+
 def repeated(places: list[tuple], data: list[bytes]) -> list[tuple]:
     """(run, start in it, bytes) of all stretches of a shard's runs covered by strings that start
     earlier too; ``places`` tells the order of the runs' starts."""
@@ -215,36 +248,51 @@ def repeated(places: list[tuple], data: list[bytes]) -> list[tuple]:
     heads = np.flatnonzero(common < LENGTH)
     # Of each group with LENGTH symbols in common, all but the one that starts first. A group whose
     # strings reach over a run's end has one such end in all of them, and is no string of the text.
-    least = np.minimum.reduceat(suffixes, heads)
     later = np.ones(len(t), bool)
-    later[least] = False
-    run = np.searchsorted(begins, np.arange(len(t)), "right") - 1
-    left = begins[run] + sizes[run] - np.arange(len(t))
-    hits = np.flatnonzero(later & (left >= LENGTH))
+    later[np.minimum.reduceat(suffixes, heads)] = False
+    del suffixes, common, heads
+    hits = np.flatnonzero(later)
+    run = np.searchsorted(begins, hits, "right") - 1
+    inside = begins[run] + sizes[run] - hits >= LENGTH
+    hits, run = hits[inside], run[inside]
     if not len(hits):
         return []
-    new = np.append(True, (np.diff(hits) > 1) | (run[hits[1:]] != run[hits[:-1]]))
+    new = np.append(True, (np.diff(hits) > 1) | (run[1:] != run[:-1]))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(hits)) - 1
     return [
-        (order[run[hits[f]]], int(hits[f] - begins[run[hits[f]]]), int(hits[e] - hits[f]) + LENGTH)
+        (order[run[f]], int(hits[f] - begins[run[f]]), int(hits[e] - hits[f]) + LENGTH)
         for f, e in zip(first, last, strict=True)
     ]
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one shard's runs: the stretches to remove. Repeats pass through."""
-    places, data = [], []
+    """Of runs in order of their keys: the stretches to remove. Repeats pass through."""
+    places: list[tuple] = []
+    data: list[bytes] = []
+    key = total = 0
+
+    def sort() -> pa.RecordBatch:
+        found = repeated(places, data)
+        return _stretches([(*places[i][:3], places[i][3] + start, n) for i, start, n in found])
+
     for batch in batches:
         rows = batch.to_pydict()
         at = list(zip(*[rows[c] for c in ("_null", "_id", "_sub", "start")], strict=True))
-        passed = [(p, n) for p, n, d in zip(at, rows["size"], rows["data"], strict=True) if d is None]
-        yield _stretches([(*p, n) for p, n in passed])
-        new = [(p, d) for p, d in zip(at, rows["data"], strict=True) if d is not None]
-        places += [p for p, _ in new]
-        data += [d for _, d in new]
-    found = repeated(places, data)
-    yield _stretches([(*places[i][:3], places[i][3] + start, n) for i, start, n in found])
+        passed = []
+        for k, place, n, own in zip(rows["key"], at, rows["size"], rows["data"], strict=True):
+            if own is None:
+                passed.append((*place, n))
+                continue
+            if k != key and total >= SHARD:
+                yield sort()
+                places, data, total = [], [], 0
+            places.append(place)
+            data.append(own)
+            total += len(own)
+            key = k
+        yield _stretches(passed)
+    yield sort()
 
 
 def _stretches(rows: list[tuple]) -> pa.RecordBatch:
@@ -286,25 +334,33 @@ def with_stretches(docs: DataFrame) -> DataFrame:
     """PLACE, text (bytes) and _stretches: array of (_sub, start, size) to remove from the rows of
     a doc_id. The texts are shuffled once, by doc_id; all that needs them reads that shuffle."""
     texts = _numbered(docs)
-    plain = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    again = (
-        plain.mapInArrow(_keys, "key long, n short")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"))
-        .filter("n > 1")
-        .select("key")
+    located = texts.mapInArrow(
+        _located,
+        f"{PLACE}, key long, what long, start int, size int, twice boolean, again boolean",
+    )
+    one = Window.partitionBy("key", "what", "size")
+    ranked = located.withColumns(
+        {
+            "rank": F.row_number().over(one.orderBy("_null", "_id", "_sub", "start")),
+            "kinds": F.max("what").over(Window.partitionBy("key"))
+            != F.min("what").over(Window.partitionBy("key")),
+            "sizes": F.max("size").over(Window.partitionBy("key"))
+            != F.min("size").over(Window.partitionBy("key")),
+        }
     )
-    located = texts.mapInArrow(_located, f"{PLACE}, key long, start int, size int")
+    whole = F.col("again") | (F.col("rank") > 1)
     lists = (
-        located.join(again, "key", "left_semi")
+        ranked.withColumn("sort", ~whole & (F.col("twice") | F.col("kinds") | F.col("sizes")))
+        .filter(whole | F.col("sort"))
         .groupBy("_null", "_id")
-        .agg(F.collect_list(F.struct("_sub", "key", "start", "size")).alias("_runs"))
+        .agg(F.collect_list(F.struct("_sub", "key", "start", "size", "sort")).alias("_runs"))
     )
     cut = (
         texts.join(lists, ["_null", "_id"])
         .select("_null", "_id", "_sub", "text", "_runs")
         .mapInArrow(_cut, f"key long, {PLACE}, start int, size int, data binary")
         .repartition("key")
+        .sortWithinPartitions("key")
     )
     found = cut.mapInArrow(_shard, f"{PLACE}, start int, size int")
     removed = found.groupBy("_null", "_id").agg(
