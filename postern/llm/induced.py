@@ -69,6 +69,24 @@ class _Least:
         return out
 
 
+_COUNT = np.arange(WINDOW + 1)
+
+
+def _begins(symbol: np.ndarray) -> np.ndarray:
+    """Where stretches of equal symbols begin."""
+    new = np.empty(len(symbol), bool)
+    new[:1] = True
+    np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
+    return new.nonzero()[0]
+
+
+def _lengths(begin: np.ndarray, n: int) -> np.ndarray:
+    out = np.empty_like(begin)
+    np.subtract(begin[1:], begin[:-1], out=out[:-1])
+    out[-1:] = n - begin[-1:]
+    return out
+
+
 def _scan(t, sa, common, rising, want, first, stops, seam, most) -> None:
     """One scan in the order of ``sa``; ``want``: put predecessors that rise, or that don't.
 
@@ -85,40 +103,33 @@ def _scan(t, sa, common, rising, want, first, stops, seam, most) -> None:
             turn += 1
         b = min(n, a + width, stops[turn] if turn < len(stops) else n)
         window = sa[a:b]
-        at = np.flatnonzero(window > 0)
+        at = (window > 0).nonzero()[0]
         before = window[at] - 1
-        fits = rising[before] == want
+        fits = (rising[before] == want).nonzero()[0]
         at, before = at[fits], before[fits]
         symbol = t[before]
         if len(at):
             order = np.argsort(symbol, kind="stable")
             symbol, at, before = symbol[order], at[order], before[order]
-            new = np.empty(len(symbol), bool)
-            new[0] = True
-            np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
-            begin = np.flatnonzero(new)
-            number = np.arange(len(symbol)) - np.repeat(begin, np.diff(np.append(begin, len(symbol))))
-            place = head[symbol] + number
+            begin = _begins(symbol)
+            # Places in a section follow each other from its head.
+            shift = head[symbol[begin]] - begin
+            place = np.repeat(shift, _lengths(begin, len(symbol))) + _COUNT[: len(symbol)]
             nearest = int(place.min())
             if nearest < b:
                 # The window ends where its own tuples begin to fall.
                 b = nearest
-                stay = at < b - a
-                symbol, at, before, place, new = symbol[stay], at[stay], before[stay], place[stay], None
-                width = max(64, 2 * (b - a))
+                stay = np.flatnonzero(at < b - a)
+                symbol, at, before, place = symbol[stay], at[stay], before[stay], place[stay]
+                begin = _begins(symbol)
+                width = min(WINDOW, max(64, 2 * (b - a)))
             else:
                 width = min(WINDOW, 2 * width)
-        else:
-            width = min(WINDOW, 2 * width)
-        if len(at):
+            last = begin + _lengths(begin, len(symbol)) - 1
             sa[place] = before
-            if new is None:
-                new = np.empty(len(symbol), bool)
-                new[0] = True
-                np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
-                begin = np.flatnonzero(new)
-            last = np.append(begin[1:], len(symbol)) - 1
             head[symbol[begin]] = place[last] + 1
+        else:
+            width = min(WINDOW, 2 * width)
         if common is not None:
             values = np.ascontiguousarray(common[a:b])
             least = _Least(values)
@@ -218,8 +229,10 @@ def sort_suffixes(t: np.ndarray, most: int | None = None, levels: int = 64) -> t
         _scan(t, sa[::-1], common, rising, True, n - ends, stops, seam, most or 0)
 
     def clear_rising(sa):
-        for s in np.flatnonzero(falls_end < ends):
-            sa[falls_end[s] : ends[s]] = -1
+        # Where nothing stands, the index -1 is that of the end mark, which rises too.
+        for at in range(0, n, WINDOW):
+            part = sa[at : at + WINDOW]
+            part[rising[part]] = -1
         sa[0] = n - 1
 
     # Pieces in order: the star suffixes by first symbol alone, then induced.

@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from postern.llm.induced import sort_suffixes
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 40
 #: Levels of names after which names stand for LENGTH bytes at least.
 LEVELS = 7
 #: Bytes of text hashed at once, and of runs sorted at once (more if one key has more).
-BUFFER, SHARD = 1 << 20, 6 << 20
+BUFFER, SHARD = 1 << 20, 8 << 20
 
 #: An odd number, the base of the hash of a run.
 BASE = 0x9FB21C651E98DF25
