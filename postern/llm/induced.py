@@ -196,6 +196,42 @@ def _named(t: np.ndarray, starts: np.ndarray, ordered: np.ndarray) -> np.ndarray
     return np.cumsum(differ) - 1
 
 
+def _names_by_symbol(t: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Names in order of pieces with many different symbols: by two symbols at a time, as long as
+    pieces tie. A piece that has ended comes after those that go on."""
+    n, top = len(starts), int(t.max()) + 1
+    length = np.empty(n, np.int64)
+    length[:-1] = starts[1:] - starts[:-1] + 1
+    length[-1:] = len(t) - starts[-1:]
+
+    def symbol(of: np.ndarray, at: int) -> np.ndarray:
+        ended = at >= length[of]
+        place = np.where(ended, 0, starts[of] + at)
+        return np.where(ended, top, t[place].astype(np.int64))
+
+    name = np.zeros(n, np.int64)
+    tied, at = np.arange(n), 0
+    while len(tied):
+        key = symbol(tied, at) * (top + 1) + symbol(tied, at + 1)
+        order = np.lexsort((key, name[tied]))
+        tied, key = tied[order], key[order]
+        group = name[tied]
+        first = np.ones(len(tied), bool)
+        first[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+        whole = np.ones(len(tied), bool)
+        whole[1:] = group[1:] != group[:-1]
+        # A name is the number of pieces that are smaller.
+        count = np.arange(len(tied))
+        inside = np.maximum.accumulate(np.where(first, count, 0))
+        name[tied] = group + inside - np.maximum.accumulate(np.where(whole, count, 0))
+        size = np.diff(np.append(np.flatnonzero(first), len(tied)))
+        at += 2
+        tied = tied[np.repeat(size > 1, size)]
+        # Pieces that tie beyond their ends are equal.
+        tied = tied[length[tied] >= at]
+    return np.unique(name, return_inverse=True)[1]
+
+
 def sort_suffixes(t: np.ndarray, most: int | None = None, levels: int = 64) -> tuple[np.ndarray, np.ndarray | None]:
     """Suffixes of ``t`` in order, and with ``most`` the prefix each has in common with the one
     before, cut off there. t ends with its smallest symbol, 0, which occurs there alone.
@@ -235,21 +271,24 @@ def sort_suffixes(t: np.ndarray, most: int | None = None, levels: int = 64) -> t
             part[rising[part]] = -1
         sa[0] = n - 1
 
-    # Pieces in order: the star suffixes by first symbol alone, then induced.
-    by_symbol = star[np.argsort(t[star], kind="stable")]
-    sa = placed(by_symbol)
-    forward(sa)
-    clear_rising(sa)
-    backward(sa)
-    is_star = np.zeros(n, bool)
-    is_star[star] = True
-    ordered = sa[is_star[sa]]
-    names = _named(t, star, ordered)
-    if levels > 0 and len(names) and names[-1] + 1 < len(names):
-        reduced = np.empty(n, kind)
-        reduced[ordered] = names
-        inner, _ = sort_suffixes(reduced[star], None, levels - 1)
-        ordered = star[inner]
+    if t.itemsize < 4:
+        # Pieces in order: the star suffixes by first symbol alone, then induced.
+        sa = placed(star[np.argsort(t[star], kind="stable")])
+        forward(sa)
+        clear_rising(sa)
+        backward(sa)
+        is_star = np.zeros(n, bool)
+        is_star[star] = True
+        ordered = sa[is_star[sa]]
+        names = np.empty(n, kind)
+        names[ordered] = _named(t, star, ordered)
+        names = names[star]
+        del sa, is_star
+    else:
+        names = _names_by_symbol(t, star).astype(kind)
+        ordered = star[np.argsort(names, kind="stable")]
+    if levels > 0 and len(names) and int(names.max()) + 1 < len(names):
+        ordered = star[sort_suffixes(names, None, levels - 1)[0]]
     sa = placed(ordered)
     if most is None:
         forward(sa)
