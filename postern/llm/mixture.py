@@ -193,7 +193,8 @@ def mix(docs: DataFrame) -> DataFrame:
     times = slots(sources).groupBy("source_no", "block_no").agg(F.count("*").alias("times"))
     taken = (
         blocks(documents)
-        .join(times, ["source_no", "block_no"])
+        # Slots come from a table of a few rows, so Spark takes them for few too.
+        .join(times.hint("merge"), ["source_no", "block_no"])
         .groupBy("row")
         .agg(F.sum(F.expr("times * (word_to - word_from)")).alias("taken"))
     )
@@ -216,7 +217,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     documents = written(placed(sized, sources), "placed")
     parts = (
         blocks(documents)
-        .join(slots(sources), ["source_no", "block_no"])
+        .join(slots(sources).hint("merge"), ["source_no", "block_no"])
         .groupBy("row", "pass")
         .agg(F.array_sort(F.collect_list(F.struct("word_from", "word_to"))).alias("_parts"))
     )
