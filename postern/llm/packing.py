@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, length: int
         encoder = Encoder(tokenizer, kind)
         for batch in batches:
             rows = []
-            texts = encoder.encode(batch.column(1).to_pylist())
+            texts = encoder.encode(batch.column(1))
             for doc_id, raw in zip(batch.column(0).to_pylist(), texts, strict=True):
                 raw += end
                 for i, (start, n) in enumerate(cut(len(raw) // 4, length)):

@@ -58,7 +58,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id
                 out = new_file(f"{name}.bin")
                 sink = out.__enter__()
             ids += batch.column(0).to_pylist()
-            for raw in encoder.encode(batch.column(1).to_pylist()):
+            for raw in encoder.encode(batch.column(1)):
                 found = np.frombuffer(raw + end, "<u4")
                 sink.write(found.astype(f"<u{width}").tobytes())
                 lengths.append(len(found))

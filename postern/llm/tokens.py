@@ -1,36 +1,35 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded cache of pieces.
 
-Prose repeats its words, so a text is cut into pieces at places where the tokenizer itself always
-cuts, each distinct piece is encoded once, and ids of pieces are joined. Where a text holds what
-could make a piece depend on its surroundings, the whole text goes to the tokenizer instead; so the
-ids always equal those of ``Tokenizer.encode(text, add_special_tokens=False)``.
+Prose repeats its words, so texts are cut into pieces at places where the tokenizer itself always
+cuts; a batch's distinct pieces are found by Arrow's dictionary encoding, each new one is encoded
+once, and the ids of the pieces are put together in order. Where a text holds what could make a
+piece depend on its surroundings, the whole text goes to the tokenizer instead; so the ids always
+equal those of ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
-MAX_PIECES = 800_000
-#: Texts cut together, and plain pieces encoded as one string.
-TEXTS, JOINED = 256, 50
+MAX_PIECES = 1_500_000
+#: Characters of texts cut together, and words encoded as one string.
+CUT, JOINED = 4_000_000, 50
 
 # White space of Python that the tokenizers take as ordinary characters, and special tokens' start.
-_WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
-#: Pieces by tokenizer kind. "word": white space ends every token and is dropped. "byte": a token
-#: takes one space before it; of several, all but the last are a token of their own.
-PIECES = {
-    "word": re.compile(r"[^ \t\n\r]+"),
-    "byte": re.compile(r" ?\S+|\s+(?!\S)|\s+"),
-}
+_WHOLE = r"[\x1c-\x1f]|<\|"
+# White space before a space: the two may be part of one token.
+_RUN = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    """Encodes texts to little-endian unsigned 32-bit ids. Kinds of tokenizers: of "word", white
+    space ends every token and is dropped; of "byte", a token takes one space before it."""
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,58 +37,119 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.word = kind == "word"
-        self.pieces = PIECES[kind]
-        self.cache: dict[str, bytes] = {}
+        self.whole = _WHOLE if self.word else f"{_WHOLE}|{_RUN}"
+        self.cache: dict[str, bytes] = {"": b""}
         # The tokens that end a word (kind "word") or start with a space (kind "byte").
-        names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.border = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for name, i in names.items():
-            self.border[i] = name.endswith("</w>") if self.word else name.startswith("\u0120")
+        for name, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.border[i] = name.endswith("</w>") if self.word else name.startswith("Ġ")
 
-    def whole(self, text: str) -> bytes:
+    def one(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _plain(self, piece: str) -> int:
-        """The borders in a piece of letters, perhaps with full stops or commas at its end; 0 for
-        any other piece."""
-        if self.word:
-            return 1 if piece.isalpha() else 2 if piece.rstrip(".,").isalpha() else 0
-        return 1 if piece[0] == " " and piece[1:].rstrip(".,").isalpha() else 0
+    def _core(self, piece: str) -> str | None:
+        """The letters that a piece consists of but for full stops and commas at its end (and, of
+        kind "byte", a space before them); None if it's another piece. Letters and what follows
+        them are tokens of their own, so the ids of both parts join to those of the piece."""
+        core = piece.rstrip(".,")
+        if not self.word:
+            return core if core[1:].isalpha() and core[0] == " " else None
+        # Lower case of a sigma depends on its place, that of a dotted I has a mark.
+        if not core.isalpha() or "Σ" in core or "İ" in core:
+            return None
+        return core.lower()
+
+    def _lines(self, piece: str) -> list[str] | None:
+        """Of kind "byte": the parts of a piece around single line ends, with these."""
+        lines = piece.split("\n")
+        inner = [lines[0].removeprefix(" "), *lines[1:]]
+        if len(lines) == 1 or any(len(x.split()) != 1 or x != x.strip() for x in inner):
+            return None
+        return [x for line in lines for x in (line, "\n")][:-1]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces. Several plain ones make one string, whose ids are cut again at the
+        """Encode new pieces. Several words make one string, whose ids are cut again at the words'
         borders; if these don't count up, and for other pieces, each is encoded by itself."""
-        plain = [p for p in pieces if self._plain(p)]
-        other = [p for p in pieces if not self._plain(p)]
-        groups = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        known = self.cache
+        parts: dict[str, list[str]] = {}
+        if not self.word:
+            parts = {p: x for p in pieces if "\n" in p and (x := self._lines(p))}
+            inner = {x for own in parts.values() for x in own}
+            pieces = [p for p in pieces if p not in parts] + list(inner - known.keys())
+        cores = {p: c for p in pieces if (c := self._core(p))}
+        words = list(set(cores.values()) - known.keys())
+        tails = {p[len(p.rstrip(".,")) :] for p in cores} - known.keys()
+        other = list(({p for p in pieces if p not in cores} | tails) - known.keys())
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
         gap = " " if self.word else ""
         encode = lambda x: self.tokenizer.encode_batch_fast(x, add_special_tokens=False)
         for group, found in zip(groups, encode([gap.join(g) for g in groups]), strict=True):
             ids = np.array(found.ids, "<u4")
-            borders = np.flatnonzero(self.border[ids])
-            counts = np.cumsum([self._plain(p) for p in group])
-            if len(borders) != counts[-1]:
+            borders = self.border[ids].nonzero()[0]
+            if len(borders) != len(group):
                 other += group
                 continue
-            cuts = [0, *(borders[counts - 1] + 1)] if self.word else [*borders, len(ids)]
             raw = ids.tobytes()
-            for piece, start, end in zip(group, cuts, cuts[1:], strict=False):
-                self.cache[piece] = raw[4 * start : 4 * end]
+            cuts = [0, *(4 * borders + 4).tolist()] if self.word else [*(4 * borders).tolist(), len(raw)]
+            for word, start, end in zip(group, cuts, cuts[1:], strict=False):
+                known[word] = raw[start:end]
         for piece, found in zip(other, encode(other), strict=True):
-            self.cache[piece] = np.array(found.ids, "<u4").tobytes()
+            known[piece] = np.array(found.ids, "<u4").tobytes()
+        for piece, core in cores.items():
+            known[piece] = known[core] + known[piece[len(piece.rstrip(".,")) :]]
+        for piece, own in parts.items():
+            known[piece] = b"".join([known[x] for x in own])
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        new = [p for p in pieces if p not in self.cache]
+        if len(self.cache) + len(new) > MAX_PIECES:
+            self.cache = {"": b""}
+            new = pieces
+        if new:
+            self._learn(new)
+        return list(map(self.cache.__getitem__, pieces))
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Where each text's pieces begin, the distinct pieces, and each piece's number in them."""
+        lists = pc.ascii_split_whitespace(texts) if self.word else pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = coded.dictionary.to_pylist()
+        if not self.word:
+            # All but a text's first piece have a space before them.
+            first = offsets[:-1][offsets[:-1] < offsets[1:]]
+            bare, inverse = np.unique(numbers[first], return_inverse=True)
+            plain = [distinct[i] for i in bare.tolist()]
+            numbers[first] = len(distinct) + inverse
+            distinct = [" " + p for p in distinct] + plain
+            # Those that no text has with a space before them needn't be known.
+            used = np.zeros(len(distinct), bool)
+            used[numbers] = True
+            distinct = [p if u else "" for p, u in zip(distinct, used.tolist(), strict=True)]
+        return offsets, distinct, numbers
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; a null text is empty."""
-        for at in range(0, len(texts), TEXTS):
-            some = [t or "" for t in texts[at : at + TEXTS]]
-            cut = [None if _WHOLE.search(t) else self.pieces.findall(t) for t in some]
-            wanted = set().union(*[c for c in cut if c])
-            new = wanted - self.cache.keys()
-            if len(self.cache) + len(new) > MAX_PIECES:
-                self.cache.clear()
-                new = wanted
-            self._learn(list(new))
-            get = self.cache.__getitem__
-            for text, pieces in zip(some, cut, strict=True):
-                yield self.whole(text) if pieces is None else b"".join(map(get, pieces))
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = [*np.flatnonzero(np.diff(sizes // CUT)) + 1, len(texts)]
+        for start, end in zip([0, *ends], ends, strict=False):
+            some = texts.slice(start, end - start)
+            whole = pc.match_substring_regex(some, self.whole).to_numpy(zero_copy_only=False)
+            offsets, distinct, numbers = self._cut(pc.if_else(pa.array(whole), "", some))
+            raw = self._ids(distinct)
+            flat = np.frombuffer(b"".join(raw), "<u4")
+            sizes_of = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+            begin_of = np.cumsum(sizes_of) - sizes_of
+            n = sizes_of[numbers]
+            to = np.cumsum(n)
+            at = np.repeat(begin_of[numbers] - (to - n), n) + np.arange(int(to[-1]) if len(to) else 0)
+            ids = flat[at]
+            cuts = np.append(0, to)[offsets].tolist()
+            for i, by_itself in enumerate(whole.tolist()):
+                if by_itself:
+                    yield self.one(some[i].as_py())
+                else:
+                    yield ids[cuts[i] : cuts[i + 1]].tobytes()
