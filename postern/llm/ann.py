@@ -247,6 +247,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
     def rerank(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(ours) and len(theirs):
+            part = int(ours["part"].iloc[0])
             theirs = theirs.sort_values("entry")
             x, ids = _stack(theirs["vector"]), theirs["ids"].to_numpy()
             for at in range(0, len(ours), 512):
@@ -260,28 +261,31 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
                     near = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)))
                     exact = (x[near] * q[i]).sum(axis=1)
                     best = np.lexsort((theirs["entry"].to_numpy()[near], -exact))[: k + 1]
-                    out += [(query, exact[b], ids[near[b]].tolist()) for b in best]
-        return pd.DataFrame(out, columns=["query", "score", "ids"])
+                    hits = [(-exact[b], j) for b in best for j in ids[near[b]]][: k + 1]
+                    out.append((query, part, [h[0] for h in hits], [int(h[1]) for h in hits]))
+        return pd.DataFrame(out, columns=["query", "part", "away", "ids"])
 
     key = ["part", "block", "group"]
     found = (
         probes.groupBy(*key)
         .cogroup(stored.groupBy(*key))
-        .applyInPandas(rerank, "query long, score double, ids array<bigint>")
+        .applyInPandas(rerank, "query long, part long, away array<double>, ids array<bigint>")
     )
-    one = found.select("query", "score", F.explode("ids").alias("vec_id"))
-    nearest = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    # Lists of the best are merged twice, by partition and by query; none is longer than a query's
+    # blocks times k + 1.
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits")
     top = (
-        one.withColumn("_n", F.row_number().over(nearest))
-        .filter(F.col("_n") <= k + 1)
+        found.select("query", "part", F.arrays_zip("away", "ids").alias("hits"))
+        .groupBy("query", "part")
+        .agg(best)
         .groupBy("query")
-        .agg(F.array_sort(F.collect_list(F.struct("_n", "vec_id", "score"))).alias("near"))
+        .agg(best)
     )
     named = asked.join(distinct, "vector").select("query_id", "query").join(top, "query")
-    without = F.slice(F.filter("near", lambda s: s["vec_id"] != F.col("query_id")), 1, k)
+    without = F.slice(F.filter("hits", lambda s: s["ids"] != F.col("query_id")), 1, k)
     return named.select("query_id", F.posexplode(without).alias("pos", "hit")).select(
         "query_id",
         (F.col("pos") + 1).alias("rank"),
-        F.col("hit.vec_id").alias("vec_id"),
-        F.col("hit.score").alias("score"),
+        F.col("hit.ids").alias("vec_id"),
+        (-F.col("hit.away")).alias("score"),
     )
