@@ -261,7 +261,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
                     near = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)))
                     exact = (x[near] * q[i]).sum(axis=1)
                     best = np.lexsort((theirs["entry"].to_numpy()[near], -exact))[: k + 1]
-                    hits = [(-exact[b], j) for b in best for j in ids[near[b]]][: k + 1]
+                    hits = sorted((-exact[b], j) for b in best for j in ids[near[b]])[: k + 1]
                     out.append((query, part, [h[0] for h in hits], [int(h[1]) for h in hits]))
         return pd.DataFrame(out, columns=["query", "part", "away", "ids"])
 

@@ -46,6 +46,7 @@ class Encoder:
         self.plain = r"^[^\PLΣİ]+$" if self.word else r"^ \pL+$"
         self.whole = _WHOLE if self.word else f"{_WHOLE}|{_RUN}"
         self.cache: dict[str, bytes] = {"": b""}
+        self.line_end = self.tokenizer.token_to_id("Ċ")  # that of "\n"; unused by kind "word"
         # The tokens that end a word (kind "word") or start with a space (kind "byte").
         self.border = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for name, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -86,18 +87,26 @@ class Encoder:
         rest_of = [p[len(p.rstrip(".,")) :] for p in ending]
         words = list(set(core_of) - known.keys())
         other = list((set(_list(given.filter(pc.invert(is_plain)))) | set(rest_of)) - known.keys())
-        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
-        gap = " " if self.word else ""
         encode = lambda x: self.tokenizer.encode_batch_fast(x, add_special_tokens=False)
-        for group, found in zip(groups, encode([gap.join(g) for g in groups]), strict=True):
-            ids = np.array(found.ids, "<u4")
-            borders = self.border[ids].nonzero()[0]
-            if len(borders) != len(group):
-                other += group
-                continue
-            raw = ids.tobytes()
-            cuts = [0, *(4 * borders + 4).tolist()] if self.word else [*(4 * borders).tolist(), len(raw)]
-            known.update(zip(group, map(raw.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+        # Words without a space before them go with a line end after each, always one token.
+        bare = [] if self.word else [p for p in other if p.isalpha()]
+        other = [p for p in other if not p.isalpha()] if bare else other
+        for some, gap, after in ((words, " " if self.word else "", ""), (bare, "\n", "\n")):
+            groups = [some[at : at + JOINED] for at in range(0, len(some), JOINED)]
+            for group, found in zip(groups, encode([gap.join(g) + after for g in groups]), strict=True):
+                ids = np.array(found.ids, "<u4")
+                ends = (ids == self.line_end if after else self.border[ids]).nonzero()[0] * 4
+                if len(ends) != len(group):
+                    other += group
+                    continue
+                raw = ids.tobytes()
+                if after:
+                    starts, stops = [0, *(ends + 4).tolist()], ends.tolist()
+                elif self.word:
+                    starts, stops = [0, *(ends + 4).tolist()], (ends + 4).tolist()
+                else:
+                    starts, stops = ends.tolist(), [*ends[1:].tolist(), len(raw)]
+                known.update(zip(group, map(raw.__getitem__, map(slice, starts, stops)), strict=True))
         known.update(
             (piece, np.array(found.ids, "<u4").tobytes())
             for piece, found in zip(other, encode(other), strict=True)
@@ -109,13 +118,15 @@ class Encoder:
             known[piece] = b"".join([known[x] for x in own])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > MAX_PIECES:
+        raw = list(map(self.cache.get, pieces))
+        at = [i for i, r in enumerate(raw) if r is None]
+        if len(self.cache) + len(at) > MAX_PIECES:
             self.cache = {"": b""}
-            new = pieces
-        if new:
-            self._learn(new)
-        return list(map(self.cache.__getitem__, pieces))
+            at = list(range(len(pieces)))
+        self._learn([pieces[i] for i in at])
+        for i in at:
+            raw[i] = self.cache[pieces[i]]
+        return raw
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
         """Where each text's pieces begin, the distinct pieces, and each piece's number in them."""
