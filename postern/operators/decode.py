@@ -25,6 +25,13 @@ def parse_json_events(messages: DataFrame, schema: T.StructType = EVENT_WIRE) ->
     return messages.withColumn("_parsed", parsed).select(*kept, "value", "_parsed.*")
 
 
+def mark_unreadable(wire: DataFrame, raw: Column) -> DataFrame:
+    """Wire columns of a reader that turns a record it can't read into NULLs: such a record gets
+    its bytes as text in ``value`` and ``_corrupt``, like JSON that does not parse."""
+    nothing = F.coalesce(*[F.col(name).cast("string") for name in EVENT_WIRE.names]).isNull()
+    return wire.withColumn("value", raw).withColumn(_CORRUPT, F.when(nothing, raw))
+
+
 def missing_fields() -> Column:
     """Comma-separated names of absent required fields, '' if all are there."""
     return F.concat_ws(

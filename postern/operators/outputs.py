@@ -131,9 +131,11 @@ def finalizations(updates: DataFrame) -> DataFrame:
 
 
 def current_journal(journal: DataFrame, updates: DataFrame) -> DataFrame:
-    """The journal with the updates applied: an updated entry is replaced as a whole."""
+    """The journal with the updates applied: an updated entry is replaced as a whole. Of several
+    updates of an entry the one last by ``update_order`` counts, if there is such a column."""
     fields = ["unit", "title", "sender_id", "sender_id_type", "case_type", "handling_theme", "handling_type"]
-    updated = updates.select("entry_id", F.struct(*fields).alias("_new"))
+    order = ["update_order"] if "update_order" in updates.columns else []
+    updated = updates.groupBy("entry_id").agg(F.max(F.struct(*order, *fields)).alias("_new"))
     new = F.col("_new").isNotNull()
 
     def pick(updated_field: str, column: Column) -> Column:

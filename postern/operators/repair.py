@@ -37,15 +37,24 @@ def with_replies(rows: DataFrame, answers: DataFrame, id_column: str) -> DataFra
     its ``rejection`` class, the number of ``attempts`` (a classified rejection is repaired and
     sent once more) and whether the last one was ``accepted``."""
 
-    def attempt(n: int, *columns: Column) -> DataFrame:
-        return answers.where(F.col("attempt") == n).select(F.col("entry_id").alias(id_column), *columns)
-
-    first = attempt(1, F.col("http_status"), F.col("message"))
-    second = attempt(2, F.col("http_status").alias("_second"))
+    # Repeated replies to an attempt count as one: an accepted one if there is any.
+    reply = F.struct(~is_accepted(F.col("http_status")), "http_status", "message")
+    replies = (
+        answers.groupBy("entry_id")
+        .agg(
+            F.min(F.when(F.col("attempt") == 1, reply)).alias("_first"),
+            F.min(F.when(F.col("attempt") == 2, reply)).alias("_last"),
+        )
+        .select(
+            F.col("entry_id").alias(id_column),
+            F.col("_first.http_status").alias("http_status"),
+            F.col("_first.message").alias("message"),
+            F.col("_last.http_status").alias("_second"),
+        )
+    )
     repaired = F.col("rejection").isNotNull()
     return (
-        rows.join(first, id_column, "left")
-        .join(second, id_column, "left")
+        rows.join(replies, id_column, "left")
         .withColumn("rejection", rejection_class(F.col("http_status"), F.col("message")))
         .withColumn("attempts", F.when(repaired, 2).otherwise(1))
         .withColumn(

@@ -160,7 +160,7 @@ def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
 def cut_to(lookups: Lookups, ids: DataFrame) -> tuple[Lookups, bool]:
     """Lookups for a batch of events with these entry ids, and whether the batch is small enough
     to cut them (``MAX_BROADCAST_IDS``; counting stops there)."""
-    small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    small = ids.count() <= MAX_BROADCAST_IDS
     return (restricted(lookups, ids) if small else lookups), small
 
 

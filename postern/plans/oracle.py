@@ -442,6 +442,15 @@ FROM (SELECT *, CAST("journalpostId" AS BIGINT) % 13 AS kind FROM tr)""",
         ["ev", "g", "q"],
         f"SELECT key, due_ms FROM q WHERE due_ms <= {_EPOCH_MS.format(_RETRY_AS_OF)}",
     ),
+    "quarantine_retries": _sql(
+        ["ev", "g", "q"],
+        """SELECT key AS entry_id, due_ms,
+       CASE WHEN CAST(key AS BIGINT) % 101 = 0 THEN 'unreadable'
+         ELSE 'missing:hendelsesId,hendelsesType,temaNytt,mottaksKanal,journalpostStatus,temaGammelt,kanalReferanseId' END AS fault,
+       CASE WHEN CAST(key AS BIGINT) % 101 = 0 THEN '{broken'
+         ELSE '{"journalpostId":"' || key || '"}' END AS raw
+FROM q WHERE CAST(key AS BIGINT) % 101 = 0 OR CAST(key AS BIGINT) % 7 = 0""",
+    ),
     "retry_retained": _sql(
         ["ev", "g", "q"],
         f"SELECT key, due_ms FROM q WHERE as_of >= {_RETRY_AS_OF} - INTERVAL 336 HOUR",

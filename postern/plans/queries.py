@@ -440,6 +440,18 @@ def retry_due(spark, sf_dir):
     return due.select("key", "due_ms")
 
 
+@query
+def quarantine_retries(spark, sf_dir):
+    """Retry messages that can't be read or lack required fields."""
+    key = F.col("key").cast("bigint")
+    lacking = F.to_json(F.struct(F.col("key").alias("journalpostId")))
+    broken = tables.retries(spark, sf_dir).withColumn(
+        "value",
+        F.when(key % 101 == 0, "{broken").when(key % 7 == 0, lacking).otherwise(F.col("value")),
+    )
+    return retry.quarantined(broken)
+
+
 @query
 def retry_retained(spark, sf_dir):
     """Retry messages not yet past their retention."""

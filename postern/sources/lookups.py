@@ -146,9 +146,10 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it has at most ``max_rows`` rows; counting stops
-    there. A larger table is returned as it is and joined by shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """The table with a broadcast hint if it has at most ``max_rows`` rows. They are counted by all
+    tasks; a limit would send each task's rows to one. A larger table is returned as it is and
+    joined by shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def read_hierarchy(spark: SparkSession, path: str) -> DataFrame:

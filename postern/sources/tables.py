@@ -95,8 +95,9 @@ _CODES = """CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'N
             WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
             WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS form_code"""
 
-# A line number and a part key share one number, the line number in front.
-_PART_BITS = 40
+# A line number and a part key share one exact decimal, the line number in front of the 19 digits
+# that a part key can have.
+_PART = "CAST('10000000000000000000' AS DECIMAL(20, 0))"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,13 +127,12 @@ def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     parts = table(spark, sf_dir, "part")
     nameless = parts.where("p_name IS NULL OR p_name = ''").selectExpr("p_partkey AS l_partkey", "true AS nameless")
-    first_part = f"first_line & {(1 << _PART_BITS) - 1}L"
     return (
         table(spark, sf_dir, "lineitem")
         .join(nameless, "l_partkey", "left")
         .selectExpr(
             "CAST(l_orderkey AS STRING) AS entry_id",
-            f"shiftleft(CAST(l_linenumber AS BIGINT), {_PART_BITS}) | l_partkey AS line",
+            f"CAST(l_linenumber AS DECIMAL(10, 0)) * {_PART} + CAST(l_partkey AS DECIMAL(19, 0)) AS line",
             "l_discount <> 0 AND l_discount <> 0.1D AND nameless IS NULL AS titled",
         )
         .groupBy("entry_id")
@@ -141,7 +141,7 @@ def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min("line").alias("first_line"),
             F.every("titled").alias("titles_ok"),
         )
-        .withColumn("p_partkey", F.expr(first_part))
+        .withColumn("p_partkey", F.expr(f"CAST(first_line % {_PART} AS BIGINT)"))
         .join(parts.selectExpr("p_partkey", _CODES), "p_partkey", "left")
         .select("entry_id", "n_documents", "form_code", "titles_ok")
     )

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postern import rules
 from postern.operators.decode import checked, decode, split_faulty
-from postern.operators.retry import events_of
+from postern.operators.retry import read_events
 from postern.plans.intake import Lookups, run_batch, write_table
 from postern.streaming.retry import hold_until_due
 
@@ -72,18 +72,22 @@ def start(
     folder: str,
     with_retries: bool = False,
     lag: int | None = None,
+    handled_at: Column | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start the intake stream; outputs and the checkpoint go below ``folder``.
 
     ``with_retries`` reads the job's own retry table back as a second source, held until due
-    and not gated. Both sources share one query, so two batches never race for one entry.
+    and not gated. Both sources share one query, so two batches never race for one entry. Retries
+    are handled at ``handled_at``, by default the time of their batch, which the checkpoint keeps
+    for a replay; those that can't be read go to the quarantine table like events.
     """
     events = decode(checked(wire_events)).withColumn("is_retry", F.lit(False))
     if with_retries:
         prepare(spark, folder)
         waiting = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/retries")
-        due = events_of(hold_until_due(waiting.select("key", "value", "due_ms")))
+        now = F.localtimestamp() if handled_at is None else handled_at
+        due = read_events(hold_until_due(waiting.select("key", "value", "due_ms")), now)
         again = due.withColumn("is_retry", F.lit(True))
         events = events.unionByName(again, allowMissingColumns=True)
     return (
