@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postern.llm.common import written
-from postern.llm.tokens import Encoder
+from postern.llm.tokens import encoder
 
 LENGTH = 1024
 OPEN = 2048
@@ -78,16 +78,16 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, length: int
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, kind)
+        own = encoder(tokenizer, kind)
         for batch in batches:
             rows = []
-            texts = encoder.encode(batch.column(1))
+            texts = own.encode(batch.column(1))
             for doc_id, raw in zip(batch.column(0).to_pylist(), texts, strict=True):
                 raw += end
                 for i, (start, n) in enumerate(cut(len(raw) // 4, length)):
-                    own = raw[4 * start : 4 * (start + n)]
-                    row = [doc_id, i, start, n, zlib.crc32(own)]
-                    rows.append(row + [np.frombuffer(own, "<u4").tolist()] * with_ids)
+                    cut_out = raw[4 * start : 4 * (start + n)]
+                    row = [doc_id, i, start, n, zlib.crc32(cut_out)]
+                    rows.append(row + [np.frombuffer(cut_out, "<u4").tolist()] * with_ids)
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names

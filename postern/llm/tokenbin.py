@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from postern.llm.files import new_file, opened
-from postern.llm.tokens import Encoder
+from postern.llm.tokens import encoder
 
 MAGIC = b"TOKENIDX"
 FILE = "part int, file string, n_docs long, n_tokens long"
@@ -47,18 +47,17 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths, ids = None, [0], []
+        lengths, ids = [0], []
         name = f"{folder}/tokens-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}"
         out = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if encoder is None:
-                encoder = Encoder(tokenizer, kind)
+            if out is None:
                 out = new_file(f"{name}.bin")
                 sink = out.__enter__()
             ids += batch.column(0).to_pylist()
-            for raw in encoder.encode(batch.column(1)):
+            for raw in encoder(tokenizer, kind).encode(batch.column(1)):
                 found = np.frombuffer(raw + end, "<u4")
                 sink.write(found.astype(f"<u{width}").tobytes())
                 lengths.append(len(found))

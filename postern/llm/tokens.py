@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
-MAX_PIECES = 1_500_000
+MAX_PIECES = 800_000
 #: Characters of texts cut together, and words encoded as one string.
-CUT, JOINED = 8_000_000, 50
+CUT, JOINED = 4_000_000, 50
 
 # White space of Python that the tokenizers take as ordinary characters, and special tokens' start.
 _WHOLE = r"[\x1c-\x1f]|<\|"
@@ -171,3 +172,9 @@ class Encoder:
                     yield self.one(some[i].as_py())
                 else:
                     yield ids[cuts[i] : cuts[i + 1]].tobytes()
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, kind: str) -> Encoder:
+    """The worker's encoder: a worker that runs several tasks keeps its pieces."""
+    return Encoder(path, kind)
