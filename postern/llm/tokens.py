@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
-MAX_PIECES = 800_000
+MAX_PIECES = 400_000
 #: Characters of texts cut together, and words encoded as one string.
 CUT, JOINED = 4_000_000, 50
 
