@@ -1,4 +1,5 @@
-"""Task requests that were rejected: classify the text, repair once, give up to retry."""
+"""Requests that were refused: task requests are repaired once by the class of the text, what the
+archive refuses goes to retry."""
 
 from __future__ import annotations
 
@@ -7,12 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postern.operators.routing import RETRY, TASK_OUTCOMES
+from postern.operators.routing import AUTO, RETRY, TASK_OUTCOMES
 from postern.rules import REJECTION_TEXTS, REPAIRABLE_HTTP_STATUS
 
 BAD_UNIT = "bad_unit"
 BAD_ORG = "bad_org"
 REJECTED = "task_rejected"
+UPDATE_FAILED = "update_failed"
+FINALIZE_FAILED = "finalize_failed"
+
+# What a reply answers.
+TASK = "task"
+UPDATE = "update"
+FINALIZE = "finalize"
 
 
 def rejection_class(http_status: Column, message: Column) -> Column:
@@ -92,3 +100,35 @@ def settled_decisions(decisions: DataFrame, answers: DataFrame) -> DataFrame:
         .withColumn("outcome", F.when(refused, RETRY).otherwise(F.col("outcome")))
         .drop("http_status", "message", "accepted")
     )
+
+
+def after_archive(decisions: DataFrame, replies: DataFrame) -> DataFrame:
+    """Decisions after the archive's replies (``entry_id``, ``step``, ``http_status``): an automatic
+    entry whose update or finalization was not accepted becomes RETRY with the reason. Adds
+    ``update_sent`` and ``update_accepted``; without that, nothing is finalized. Repeated replies
+    count as one, and a reply that never came as a refusal."""
+
+    def accepted(step: str) -> Column:
+        return F.bool_or((F.col("step") == step) & is_accepted(F.col("http_status")))
+
+    replied = replies.groupBy("entry_id").agg(
+        accepted(UPDATE).alias("update_accepted"), accepted(FINALIZE).alias("_finalized")
+    )
+    sent = F.col("update_sent")
+    failure = (
+        F.when(sent & ~F.col("update_accepted"), UPDATE_FAILED)
+        .when(sent & ~F.col("_finalized"), FINALIZE_FAILED)
+    )
+    return (
+        decisions.join(replied, "entry_id", "left")
+        .fillna(False, ["update_accepted", "_finalized"])
+        .withColumn("update_sent", F.col("outcome") == AUTO)
+        .withColumn("reason", F.coalesce(failure, "reason"))
+        .withColumn("outcome", F.when(failure.isNotNull(), RETRY).otherwise(F.col("outcome")))
+        .drop("_finalized")
+    )
+
+
+def updates_sent(decisions: DataFrame) -> DataFrame:
+    """The automatic entries of ``after_archive`` as they were before the archive replied."""
+    return decisions.where("update_sent").withColumn("outcome", F.lit(AUTO))

@@ -26,6 +26,8 @@ class Lookups:
     tasks: DataFrame
     hierarchy: DataFrame
     rules: DataFrame
+    # Nested rows (``schemas.JOURNAL_ENTRY``), for the whole bodies of the updates.
+    snapshot: DataFrame | None = None
 
     @property
     def entries(self) -> DataFrame:
@@ -86,8 +88,8 @@ class BatchResult:
     decisions: DataFrame
     routed: DataFrame
     task_requests: DataFrame
-    journal_updates: DataFrame
-    finalizations: DataFrame
+    journal_updates: DataFrame | None
+    finalizations: DataFrame | None
     retries: DataFrame
 
 
@@ -111,13 +113,17 @@ def run_batch(
     earlier: DataFrame | None = None,
     answers: DataFrame | None = None,
     delay: Column | None = None,
+    archive: DataFrame | None = None,
+    await_replies: bool = False,
 ) -> BatchResult:
     """Route one set of gated events and write every output below ``folder``.
 
     ``part`` (such as ``batch_id=7``) names the sub-folder of this run in each table. A rerun
     replaces it, so a batch that is replayed after a failure adds nothing. The decisions are
     written first; all outputs are cheap projections of those files. ``earlier`` holds decisions
-    of earlier runs that the lookups do not show yet.
+    of earlier runs that the lookups do not show yet. ``answers`` and ``archive`` hold replies of the
+    task system and the archive where they are known; with ``await_replies`` updates and
+    finalizations are left to the replies (``streaming.settle``).
     """
 
     def write(df: DataFrame, name: str) -> DataFrame:
@@ -135,13 +141,25 @@ def run_batch(
     decisions = decide_events(events, lookups)
     if answers is not None:
         decisions = repair.settled_decisions(decisions, answers)
+    if archive is not None:
+        decisions = repair.after_archive(decisions, archive)
     decisions = write(decisions, "decisions")
-    requests = outputs.task_requests(decisions, keep=REJECTION if answers is not None else ())
+    sent = decisions
+    if archive is not None:
+        sent = repair.updates_sent(decisions).unionByName(decisions.where("NOT update_sent"))
+    requests = outputs.task_requests(sent, keep=REJECTION if answers is not None else ())
     if answers is not None:
         requests = repair.emptied(requests).drop(*REJECTION)
     task_requests = write(requests, "task_requests")
-    updates = write(outputs.journal_updates(decisions), "journal_updates")
-    finalizations = write(outputs.finalizations(updates), "finalizations")
+    updates = finalizations = None
+    if not await_replies:
+        updates = write(outputs.journal_updates(sent), "journal_updates")
+        if lookups.snapshot is not None:
+            write(outputs.update_bodies(updates, lookups.snapshot), "update_bodies")
+        final = updates
+        if archive is not None:
+            final = updates.join(decisions.where("update_accepted"), "entry_id", "left_semi")
+        finalizations = write(outputs.finalizations(final), "finalizations")
     narrow = events.select("event_order", "as_of", "entry_id")
     routed = write(routing.fan_out(narrow, decisions, keys=decisions), "routed")
     retries = write(retry.enqueue(failed_events(events, decisions), delay), "retries")

@@ -3,11 +3,30 @@ from the Spark code: rows are ranked by window functions, the decision is one CA
 
 from __future__ import annotations
 
-from postern.sources.tables import CODE_PREFIXES, CODE_TERMS, SINGLE_PREFIX_TERMS
-
-_CODES = [(p + n, t) for n, t in CODE_TERMS.items() for p in CODE_PREFIXES]
-_CODES += [(CODE_PREFIXES[0] + n, t) for n, t in SINGLE_PREFIX_TERMS.items()]
-_CODE_ROWS = ", ".join(f"('SYK', '{code}', '{term}')" for code, term in _CODES)
+# The code hierarchy once more, so that the queries share no table with this module.
+_CODE_ROWS = """
+    ('SYK', 'NAV 08-07.04 D', 'ab0434;'),
+    ('SYK', 'NAV 08-07.11', 'ab0421;'),
+    ('SYK', 'NAV 08-09.06', ';ae0106'),
+    ('SYK', 'NAV 08-09.07', 'ab0314;'),
+    ('SYK', 'NAV 08-09.08', ';ae0237'),
+    ('SYK', 'NAV 08-14.01', 'ab0237;ae0121'),
+    ('SYK', 'NAV 08-20.05', 'ab0200;'),
+    ('SYK', 'NAV 08-20.12', 'ab0200;ae0121'),
+    ('SYK', 'NAV 08-20.20', 'ab0200;'),
+    ('SYK', 'NAV 08-35.01', ';ae0004'),
+    ('SYK', 'NAV 08-47.05', ';ae0004'),
+    ('SYK', 'NAV 90-00.08', ';ae0058'),
+    ('SYK', 'NAVe 08-07.11', 'ab0421;'),
+    ('SYK', 'NAVe 08-09.06', ';ae0106'),
+    ('SYK', 'NAVe 08-09.07', 'ab0314;'),
+    ('SYK', 'NAVe 08-09.08', ';ae0237'),
+    ('SYK', 'NAVe 08-14.01', 'ab0237;ae0121'),
+    ('SYK', 'NAVe 08-20.05', 'ab0200;'),
+    ('SYK', 'NAVe 08-20.12', 'ab0200;ae0121'),
+    ('SYK', 'NAVe 08-20.20', 'ab0200;'),
+    ('SYK', 'NAVe 08-35.01', ';ae0004'),
+    ('SYK', 'NAVe 08-47.05', ';ae0004')"""
 
 # Common table expressions, each with the ones it needs before it.
 _CTES = {
@@ -148,14 +167,10 @@ _SETTLE = """
 
 
 def _deadline(ts: str, days: str) -> str:
-    day = f"CAST({ts} AS DATE)"
-    weekday = f"(isodow({day}) - 1)"
-    steps = f"({days} + CASE WHEN hour({ts}) > 12 THEN 1 ELSE 0 END)"
-    past = f"greatest({weekday} - 4, 0)"
-    return (
-        f"CASE WHEN {steps} = 0 THEN {day} ELSE {day} + CAST({steps} - {past} "
-        f"+ 2 * (({weekday} - {past} + {steps}) // 5) AS INTEGER) END"
-    )
+    """Day after day, those from Monday to Friday are counted."""
+    following = f"list_transform(range(1, 15), lambda n: CAST({ts} AS DATE) + CAST(n AS INTEGER))"
+    working = f"list_filter({following}, lambda d: isodow(d) < 6)"
+    return f"{working}[{days} + CASE WHEN hour({ts}) > 12 THEN 1 ELSE 0 END]"
 
 
 _TASKS = f"""
@@ -455,6 +470,38 @@ FROM q WHERE CAST(key AS BIGINT) % 101 = 0 OR CAST(key AS BIGINT) % 7 = 0""",
         ["ev", "g", "q"],
         f"SELECT key, due_ms FROM q WHERE as_of >= {_RETRY_AS_OF} - INTERVAL 336 HOUR",
     ),
+    "retry_waiting": _sql(
+        ["ev", "g", "q"],
+        f"""SELECT CASE WHEN as_of < {_RETRY_AS_OF} - INTERVAL 336 HOUR THEN 'expired'
+            WHEN due_ms <= {_EPOCH_MS.format(_RETRY_AS_OF)} THEN 'due' ELSE 'waiting' END AS state,
+       count(*) AS n_retries, min(as_of) AS oldest, max(due_ms) AS last_due_ms
+FROM q GROUP BY ALL""",
+    ),
+    "archive_failures": _sql(
+        _SETTLED_CHAIN,
+        """SELECT entry_id, 'RETRY' AS outcome,
+       CASE WHEN kind IN (0, 1) THEN 'update_failed' ELSE 'finalize_failed' END AS reason
+FROM (SELECT *, CAST(entry_id AS BIGINT) % 17 AS kind FROM y)
+WHERE outcome = 'AUTO' AND kind <= 2""",
+    ),
+    "stream_settle": _sql(
+        _EVENT_CHAIN,
+        """SELECT entry_id, step, attempt,
+       CASE WHEN step = 'task' AND attempt = 1 AND kind <= 3 THEN 'repair'
+            WHEN step = 'task' AND kind IN (2, 4, 5) THEN 'retry'
+            WHEN step = 'task' AND outcome = 'AUTO' THEN 'update'
+            WHEN step = 'update' AND archived <> 0 THEN 'finalize'
+            WHEN step = 'finalize' AND archived > 3 OR step = 'task' THEN 'done' ELSE 'retry' END AS action,
+       CASE WHEN step = 'task' AND kind IN (2, 4, 5) AND (attempt = 2 OR kind > 3) THEN 'task_rejected'
+            WHEN step = 'update' AND archived = 0 THEN 'update_failed'
+            WHEN step = 'finalize' AND archived <= 3 THEN 'finalize_failed' END AS reason
+FROM (SELECT *, CAST(entry_id AS BIGINT) % 13 AS kind, CAST(entry_id AS BIGINT) % 17 AS archived FROM x),
+     (VALUES ('task', 1), ('task', 2), ('update', 1), ('finalize', 1)) AS r(step, attempt)
+WHERE outcome IN ('AUTO', 'JFR', 'FDR')
+  AND CASE step WHEN 'task' THEN attempt = 1 OR kind <= 3
+      WHEN 'update' THEN outcome = 'AUTO' AND kind NOT IN (2, 4, 5) AND archived <> 1
+      ELSE outcome = 'AUTO' AND kind NOT IN (2, 4, 5) AND archived > 1 END""",
+    ),
     "retry_schedule": _sql(
         ["ev", "g", "q"],
         """SELECT key, attempt, due_ms + (attempt - 1) * 600000 AS due_ms

@@ -19,7 +19,7 @@ from postern.plans import intake
 from postern.schemas import JOURNAL_ENTRY, RETRY_MESSAGE
 from postern.session import STATE_STORE, session_settings, work_dir
 from postern.sources import lookups, streams, tables
-from postern.streaming import enrich, route
+from postern.streaming import enrich, route, settle
 from postern.streaming.retry import hold_until_due
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,6 +424,14 @@ def repair_rejections(spark, sf_dir):
     )
 
 
+@query
+def archive_failures(spark, sf_dir):
+    """Automatic entries whose update or finalization the archive refused, with the reason."""
+    decisions = repair.after_archive(_settled(spark, sf_dir), tables.archive_replies(spark, sf_dir))
+    failed = decisions.where(F.col("reason").isin(repair.UPDATE_FAILED, repair.FINALIZE_FAILED))
+    return failed.select("entry_id", "outcome", "reason")
+
+
 # -- retries --------------------------------------------------------------------------------
 
 
@@ -458,6 +466,12 @@ def retry_retained(spark, sf_dir):
     return retry.retained(tables.retries(spark, sf_dir), _retry_as_of()).select("key", "due_ms")
 
 
+@query
+def retry_waiting(spark, sf_dir):
+    """How many retry messages wait, since when, and until when."""
+    return retry.waiting_report(tables.retries(spark, sf_dir), _retry_as_of())
+
+
 @query
 def retry_schedule(spark, sf_dir):
     """Due times of the next three attempts of every retry message."""
@@ -513,6 +527,28 @@ def stream_route(spark, sf_dir):
     return spark.read.parquet(f"{folder}/routed").select(*_EVENT_OUTCOME)
 
 
+@query
+def stream_settle(spark, sf_dir):
+    """The job on the event stream up to its task requests, then a stream of replies to them: what
+    follows from each reply."""
+    folder = work_dir(spark, "settle")
+    route.start(
+        spark,
+        _event_stream(spark, sf_dir),
+        lambda session: intake.table_lookups(session, sf_dir),
+        folder,
+        await_replies=True,
+    ).awaitTermination()
+    decided = spark.read.parquet(f"{folder}/decisions").select("entry_id", "outcome")
+    automatic = F.col("step").isin(repair.UPDATE, repair.FINALIZE)
+    replies = tables.request_replies(spark, sf_dir).join(decided, "entry_id")
+    replies = replies.where(~automatic | (F.col("outcome") == routing.AUTO))
+    replies.drop("outcome").write.parquet(f"{folder}/replies")
+    stream = streams.file_stream(spark, folder, "replies", settle.REPLY_DDL)
+    settle.start(stream, folder).awaitTermination()
+    return spark.read.parquet(f"{folder}/steps").select("entry_id", "step", "attempt", "action", "reason")
+
+
 @query
 def stream_enrich(spark, sf_dir):
     """Gated events with their entry's codes, batch by batch."""

@@ -11,6 +11,7 @@ identities  party_id, identities array<struct<grp, ident, current>>
 tasks       task_id, entry_id, category, task_type
 hierarchy   theme, form_code, term
 answers     entry_id, attempt, http_status, message
+archive     entry_id, step (update, finalize), http_status
 """
 
 from __future__ import annotations

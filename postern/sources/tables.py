@@ -35,23 +35,31 @@ SCHEMAS = {
     ),
 }
 
-# Code hierarchy of theme SYK, number -> "handling theme;handling type".
-# Every number below is used with both prefixes.
-CODE_PREFIXES = ["NAV ", "NAVe "]
+# Code hierarchy of theme SYK, form code -> "handling theme;handling type".
 CODE_TERMS = {
-    "08-07.11": "ab0421;",
-    "08-09.06": ";ae0106",
-    "08-09.07": "ab0314;",
-    "08-09.08": ";ae0237",
-    "08-14.01": "ab0237;ae0121",
-    "08-20.05": "ab0200;",
-    "08-20.12": "ab0200;ae0121",
-    "08-20.20": "ab0200;",
-    "08-35.01": ";ae0004",
-    "08-47.05": ";ae0004",
+    "NAV 08-07.04 D": "ab0434;",
+    "NAV 08-07.11": "ab0421;",
+    "NAV 08-09.06": ";ae0106",
+    "NAV 08-09.07": "ab0314;",
+    "NAV 08-09.08": ";ae0237",
+    "NAV 08-14.01": "ab0237;ae0121",
+    "NAV 08-20.05": "ab0200;",
+    "NAV 08-20.12": "ab0200;ae0121",
+    "NAV 08-20.20": "ab0200;",
+    "NAV 08-35.01": ";ae0004",
+    "NAV 08-47.05": ";ae0004",
+    "NAV 90-00.08": ";ae0058",
+    "NAVe 08-07.11": "ab0421;",
+    "NAVe 08-09.06": ";ae0106",
+    "NAVe 08-09.07": "ab0314;",
+    "NAVe 08-09.08": ";ae0237",
+    "NAVe 08-14.01": "ab0237;ae0121",
+    "NAVe 08-20.05": "ab0200;",
+    "NAVe 08-20.12": "ab0200;ae0121",
+    "NAVe 08-20.20": "ab0200;",
+    "NAVe 08-35.01": ";ae0004",
+    "NAVe 08-47.05": ";ae0004",
 }
-# These occur with the first prefix only.
-SINGLE_PREFIX_TERMS = {"90-00.08": ";ae0058", "08-07.04 D": "ab0434;"}
 
 # Point in time at which retry messages of the test tables are looked at.
 RETRY_AS_OF = "TIMESTAMP_NTZ'2024-01-21 00:00:00'"
@@ -248,10 +256,8 @@ def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def code_tree(spark: SparkSession) -> DataFrame:
     """The hierarchy as one JSON tree."""
-    terms = {prefix + number: term for number, term in CODE_TERMS.items() for prefix in CODE_PREFIXES}
-    terms |= {CODE_PREFIXES[0] + number: term for number, term in SINGLE_PREFIX_TERMS.items()}
     leaves = {
-        code: {"kode": code, "termer": {rules.TERM_LANGUAGE: term}} for code, term in terms.items()
+        code: {"kode": code, "termer": {rules.TERM_LANGUAGE: term}} for code, term in CODE_TERMS.items()
     }
     tree = {
         "hierarkinivaaer": ["Tema", "TemaSkjemaGjelderverdier"],
@@ -290,6 +296,46 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of the archive to the update and the finalization, for every entry; some updates got
+    none, some finalizations were refused at first."""
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr("CAST(o_orderkey AS STRING) AS entry_id", "o_orderkey % 17 AS kind")
+        .selectExpr(
+            "entry_id",
+            """inline(array_compact(array(
+                 CASE WHEN kind <> 1 THEN
+                   struct('update' AS step, CASE WHEN kind = 0 THEN 500 ELSE 200 END AS http_status) END,
+                 CASE WHEN kind > 1 THEN
+                   struct('finalize' AS step, CASE WHEN kind IN (2, 3) THEN 500 ELSE 200 END AS http_status) END,
+                 CASE WHEN kind = 3 THEN struct('finalize' AS step, 200 AS http_status) END)))""",
+        )
+    )
+
+
+def request_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All replies as one table that names the request: those of the task system to the requests
+    that are sent, and those of the archive, the first to each, where the task was accepted."""
+    kind = F.col("entry_id").cast("bigint") % 13
+    task = (
+        answers(spark, sf_dir)
+        .where((F.col("attempt") == 1) | (kind <= 3))
+        .withColumn("step", F.lit("task"))
+    )
+    first = F.struct((F.col("http_status") < 300).alias("_accepted"), "http_status")
+    archive = (
+        archive_replies(spark, sf_dir)
+        .where(~kind.isin(2, 4, 5))
+        .groupBy("entry_id", "step")
+        .agg(F.min(first)["http_status"].alias("http_status"))
+        .withColumns({"attempt": F.lit(1), "message": F.lit(None).cast("string")})
+    )
+    return task.unionByName(archive).withColumns(
+        {"batch_id": F.lit(0).cast("bigint"), "replied_at": F.timestamp_seconds(F.lit(1704103200))}
+    )
+
+
 def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One broker message per event. The due time stands in the last header of its name, behind
     a stale one; every tenth message has no such header."""

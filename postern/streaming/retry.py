@@ -9,10 +9,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from postern.rules import RETRY_RETENTION
+
 # The processor travels to the executors by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RETENTION_MS = 336 * 60 * 60 * 1000
+RETENTION_MS = int(RETRY_RETENTION.split("'")[1]) * 60 * 60 * 1000
 
 
 class HoldUntilDue(StatefulProcessor):

@@ -14,6 +14,7 @@ from postern.operators.decode import checked, decode, split_faulty
 from postern.operators.retry import read_events
 from postern.plans.intake import Lookups, run_batch, write_table
 from postern.streaming.retry import hold_until_due
+from postern.streaming.settle import GIVE_UP
 
 RETRY_DDL = "key string, value string, due_ms bigint, enqueued_at timestamp_ntz"
 
@@ -23,21 +24,34 @@ def earlier_decisions(
 ) -> DataFrame | None:
     """Decisions of the batches before this one, at most ``lag`` batches back. Its own, left by
     a failed attempt, and any later ones do not count: a replay sees what the first attempt
-    saw. Only the folders of those batches are read."""
+    saw. Only the folders of those batches are read. Decisions whose requests were refused
+    (``streaming.settle``) left nothing behind and do not count either."""
+    written = _table_if_there(spark, f"{folder}/decisions", "entry_id string, outcome string, batch_id bigint")
+    if written is None:
+        return None
+    oldest = 0 if lag is None else batch_id - lag
+    earlier = written.where(F.col("batch_id").between(oldest, batch_id - 1))
+    steps = _table_if_there(spark, f"{folder}/steps", "entry_id string, batch_id bigint, action string")
+    if steps is not None:
+        refused = steps.where((F.col("action") == GIVE_UP) & (F.col("batch_id") >= oldest))
+        earlier = earlier.join(refused, ["entry_id", "batch_id"], "left_anti")
+    return earlier.select("entry_id", "outcome")
+
+
+def _table_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        written = spark.read.schema("entry_id string, outcome string, batch_id bigint").parquet(
-            f"{folder}/decisions"
-        )
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    oldest = 0 if lag is None else batch_id - lag
-    return written.where(F.col("batch_id").between(oldest, batch_id - 1)).select("entry_id", "outcome")
 
 
 def handle_batch(
-    folder: str, read_lookups: Callable[[SparkSession], Lookups], lag: int | None = None
+    folder: str,
+    read_lookups: Callable[[SparkSession], Lookups],
+    lag: int | None = None,
+    await_replies: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function. The lookups are read anew for every batch.
 
@@ -55,14 +69,25 @@ def handle_batch(
         delay = F.when(F.col("is_retry"), F.expr(rules.NEXT_RETRY_DELAY)).otherwise(
             F.expr(rules.FIRST_RETRY_DELAY)
         )
-        run_batch(spark, events, read_lookups(spark), folder, part, earlier=earlier, delay=delay)
+        run_batch(
+            spark,
+            events,
+            read_lookups(spark),
+            folder,
+            part,
+            earlier=earlier,
+            delay=delay,
+            await_replies=await_replies,
+        )
 
     return handle
 
 
 def prepare(spark: SparkSession, folder: str) -> None:
-    """The retry table must be there before it is read as a stream."""
-    spark.createDataFrame([], RETRY_DDL).write.mode("ignore").parquet(f"{folder}/retries/batch_id=-1")
+    """The retry tables must be there before they are read as streams."""
+    none = spark.createDataFrame([], RETRY_DDL)
+    none.write.mode("ignore").parquet(f"{folder}/retries/batch_id=-1")
+    none.write.mode("ignore").parquet(f"{folder}/reply_retries/reply_batch=-1")
 
 
 def start(
@@ -73,6 +98,7 @@ def start(
     with_retries: bool = False,
     lag: int | None = None,
     handled_at: Column | None = None,
+    await_replies: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Start the intake stream; outputs and the checkpoint go below ``folder``.
@@ -80,18 +106,23 @@ def start(
     ``with_retries`` reads the job's own retry table back as a second source, held until due
     and not gated. Both sources share one query, so two batches never race for one entry. Retries
     are handled at ``handled_at``, by default the time of their batch, which the checkpoint keeps
-    for a replay; those that can't be read go to the quarantine table like events.
+    for a replay; those that can't be read go to the quarantine table like events. With
+    ``await_replies`` the job only requests tasks; ``streaming.settle`` follows up the replies, and
+    what it gives up comes back as a retry too.
     """
     events = decode(checked(wire_events)).withColumn("is_retry", F.lit(False))
     if with_retries:
         prepare(spark, folder)
         waiting = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/retries")
         now = F.localtimestamp() if handled_at is None else handled_at
+        if await_replies:
+            refused = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/reply_retries")
+            waiting = waiting.union(refused)
         due = read_events(hold_until_due(waiting.select("key", "value", "due_ms")), now)
         again = due.withColumn("is_retry", F.lit(True))
         events = events.unionByName(again, allowMissingColumns=True)
     return (
-        events.writeStream.foreachBatch(handle_batch(folder, read_lookups, lag))
+        events.writeStream.foreachBatch(handle_batch(folder, read_lookups, lag, await_replies))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
