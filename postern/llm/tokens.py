@@ -10,6 +10,7 @@ equal those of ``Tokenizer.encode(text, add_special_tokens=False)``.
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +26,14 @@ CUT, JOINED = 4_000_000, 50
 # White space of Python that the tokenizers take as ordinary characters, and special tokens' start.
 _WHOLE = r"[\x1c-\x1f]|<\|"
 # White space before a space: the two may be part of one token.
-_RUN = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+_SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_RUN = f"{_SPACE} "
+# A line end next to white space, which may change how either is cut.
+_TOUCHED = rf"{_SPACE}\n|\n{_SPACE}"
+# Punctuation that is cut from the word before it. An apostrophe may begin a token with letters.
+_ENDINGS = string.punctuation.replace("'", "")
+# Marks cuts; texts that hold it are encoded whole.
+_MARK = "\x1f"
 
 
 def _list(column: pa.Array) -> list:
@@ -35,7 +43,8 @@ def _list(column: pa.Array) -> list:
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids. Kinds of tokenizers: of "word", white
-    space ends every token and is dropped; of "byte", a token takes one space before it."""
+    space ends every token and is dropped; of "byte", a token takes one space before it,
+    and a line end that no white space touches is one."""
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,7 +53,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.word = kind == "word"
         # Lower case of a sigma depends on its place, that of a dotted I has a mark.
-        self.plain = r"^[^\PLΣİ]+$" if self.word else r"^ \pL+$"
+        self.plain = r"^[^\PLΣİ]+$" if self.word else r"^ ?\pL+$"
         self.whole = _WHOLE if self.word else f"{_WHOLE}|{_RUN}"
         self.cache: dict[str, bytes] = {"": b""}
         self.line_end = self.tokenizer.token_to_id("Ċ")  # that of "\n"; unused by kind "word"
@@ -57,41 +66,29 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _lines(self, piece: str) -> list[str] | None:
-        """Of kind "byte": the parts of a piece around single line ends, with these."""
-        lines = piece.split("\n")
-        inner = [lines[0].removeprefix(" "), *lines[1:]]
-        if len(lines) == 1 or any(len(x.split()) != 1 or x != x.strip() for x in inner):
-            return None
-        return [x for line in lines for x in (line, "\n")][:-1]
-
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces. A plain piece is a word (letters; of kind "byte", a space before
-        them), perhaps with full stops and commas after it, which are tokens of their own; its ids
+        """Encode new pieces. A plain piece is a word (letters; of kind "byte", perhaps a space
+        before them), perhaps with punctuation after it, which makes tokens of its own; its ids
         are those of the word, of kind "word" in lower case, and of the rest. Several words make
         one string, whose ids are cut again at the words' borders; if these don't count up, and
         for other pieces, each is encoded by itself."""
         known = self.cache
-        parts: dict[str, list[str]] = {}
-        if not self.word:
-            parts = {p: x for p in pieces if "\n" in p and (x := self._lines(p))}
-            inner = {x for own in parts.values() for x in own}
-            pieces = list((set(pieces) - parts.keys()) | (inner - known.keys()))
         given = pa.array(pieces, pa.string())
-        cores = pc.utf8_rtrim(given, characters=".,")
+        cores = pc.utf8_rtrim(given, characters=_ENDINGS)
         is_plain = pc.match_substring_regex(cores, self.plain)
         ends = pc.not_equal(pc.binary_length(cores), pc.binary_length(given))
         if self.word:
             cores = pc.utf8_lower(cores)
         plain, core_of = _list(given.filter(is_plain)), _list(cores.filter(is_plain))
         ending = [p for p, e in zip(plain, _list(ends.filter(is_plain)), strict=True) if e]
-        rest_of = [p[len(p.rstrip(".,")) :] for p in ending]
+        rest_of = [p[len(p.rstrip(_ENDINGS)) :] for p in ending]
         words = list(set(core_of) - known.keys())
         other = list((set(_list(given.filter(pc.invert(is_plain)))) | set(rest_of)) - known.keys())
         encode = lambda x: self.tokenizer.encode_batch_fast(x, add_special_tokens=False)
         # Words without a space before them go with a line end after each, always one token.
-        bare = [] if self.word else [p for p in other if p.isalpha()]
-        other = [p for p in other if not p.isalpha()] if bare else other
+        bare = [] if self.word else [w for w in words if w[0] != " "]
+        if bare:
+            words = [w for w in words if w[0] == " "]
         for some, gap, after in ((words, " " if self.word else "", ""), (bare, "\n", "\n")):
             groups = [some[at : at + JOINED] for at in range(0, len(some), JOINED)]
             for group, found in zip(groups, encode([gap.join(g) + after for g in groups]), strict=True):
@@ -115,8 +112,6 @@ class Encoder:
         known.update(zip(plain, list(map(known.__getitem__, core_of)), strict=True))
         for piece, rest in zip(ending, rest_of, strict=True):
             known[piece] += known[rest]
-        for piece, own in parts.items():
-            known[piece] = b"".join([known[x] for x in own])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         raw = list(map(self.cache.get, pieces))
@@ -131,22 +126,18 @@ class Encoder:
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
         """Where each text's pieces begin, the distinct pieces, and each piece's number in them."""
-        lists = pc.ascii_split_whitespace(texts) if self.word else pc.split_pattern(texts, " ")
+        if self.word:
+            lists = pc.ascii_split_whitespace(texts)
+        else:
+            # Cuts stand before each space and around each line end that no white space touches.
+            marked = pc.replace_substring(texts, " ", f"{_MARK} ")
+            lines = pc.replace_substring(marked, "\n", f"{_MARK}\n{_MARK}")
+            touched = pc.match_substring_regex(texts, _TOUCHED)
+            lists = pc.split_pattern(pc.if_else(touched, marked, lines), _MARK)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.dictionary_encode()
         numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         distinct = _list(coded.dictionary)
-        if not self.word:
-            # All but a text's first piece have a space before them.
-            first = offsets[:-1][offsets[:-1] < offsets[1:]]
-            bare, inverse = np.unique(numbers[first], return_inverse=True)
-            plain = [distinct[i] for i in bare.tolist()]
-            numbers[first] = len(distinct) + inverse
-            distinct = [" " + p for p in distinct] + plain
-            # Those that no text has with a space before them needn't be known.
-            used = np.zeros(len(distinct), bool)
-            used[numbers] = True
-            distinct = [p if u else "" for p, u in zip(distinct, used.tolist(), strict=True)]
         return offsets, distinct, numbers
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:

@@ -18,6 +18,7 @@ from postern.llm.queries import BYTE_TOKENIZER, WORD_TOKENIZER
 from postern.llm.tokens import Encoder
 
 ODD = ["", " ", "  a", "a  b", "a   b ", "\n\n a\nb\n", "x\x1cy z", "  b", "a  b", "İ. Σa. aΣ,", "don't stop.", "<|endoftext|> a <|endoftext|>", "é é J̌", "１２ 3.4, 5"]
+ODD += ["a\nb\nc", "a\n", "\na", "a \nb", "a\n b", "a\n\nb", "a\t\nb.\nc!!", "w$$$ x.%%% it's. a'.s", "a-b (c) d_e <\u0338 =\u0338", "x\x1fy\nz", ".,$ !", "Ab,\nCd."]
 
 
 @pytest.mark.parametrize("path,kind", [(WORD_TOKENIZER, "word"), (BYTE_TOKENIZER, "byte")])
