@@ -2,9 +2,10 @@
 
 A text is reduced to its words (runs of ASCII letters, digits and all characters beyond ASCII, A-Z
 in lower case), joined by single spaces. A few keywords, looked for as plain substrings, gate the
-rules: a rule runs only if its keyword occurs. Rules are ordered by priority; where matches
-overlap, a match that lies inside the interval of one with better priority (or of equal priority
-and longer) is suppressed. The base phrases are counted beside the rules and never suppressed.
+rules: a rule runs only if one of its keywords occurs, and whatever it matches holds one of them.
+Rules are ordered by priority; where matches overlap, a match that lies inside the interval of one
+with better priority (or of equal priority and longer) is suppressed. The base phrases are counted
+beside the rules and never suppressed.
 
 Defined cases: a null or empty text has no words, no labels and score 0; invalid or repeated rows
 are each scanned by themselves; other columns are ignored; a rule's match starts and ends at word
@@ -52,6 +53,11 @@ FAMILIES = [
     ("zlib", r"(?:zlib|libpng|zlib libpng)", ()),
     ("unlicense", r"unlicense", ()),
 ]
+#: Short names that stand for nothing but a license, so that a "v" and a version make a title.
+SHORT = {"fdl": ("gfdl", "fdl")} | {
+    x: (x,)
+    for x in "gpl lgpl agpl mpl epl cddl cpl eupl osl afl cecill odbl ofl zpl wtfpl".split()
+}
 #: Creative Commons elements: label and words.
 COMMONS = [
     ("cc-by", r"(?:by|attribution)"),
@@ -89,7 +95,7 @@ NOTICES = [
 class Rule:
     priority: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     confidence: float
 
@@ -97,33 +103,39 @@ class Rule:
 def rules() -> list[Rule]:
     """All rules, best priority first: notices as written above, and for each family and version
     an SPDX identifier, a grant ("licensed under ..."), a title with version and a bare title."""
-    out = [Rule(*x) for x in NOTICES]
+    out = [Rule(p, label, (keyword,), *rest) for p, label, keyword, *rest in NOTICES]
     licence = r"licen[cs]e"
-    versions = r"(?: version| v)?"
+    licen, under, commons = ("licen",), ("under",), ("creative commons ", "cc ")
+    # "2", "version 2", "v 2", "v2" and, as one word with the name, "gplv2".
+    versions = r"(?:(?: version| v)? |(?: version)? ?v)"
     for label, name, known in FAMILIES:
         for version in known:
             dotted = f"{label}-{version.replace(' ', '.')}"
-            sure = rf"{name}(?: {licence})?{versions} {version}"
+            sure = rf"{name}(?: {licence})?{versions}{version}"
+            short = "|".join(SHORT.get(label, ()))
             later = rf"{sure}(?: {licence})? (?:or (?:any )?later|or newer|or at your option any later)"
             out += [
-                Rule(1, f"{dotted}+", "licen", rf"spdx {licence} identifier {label} {version} or later", 1.0),
-                Rule(2, dotted, "licen", rf"spdx {licence} identifier {label} {version}(?: only)?", 1.0),
-                Rule(2, f"{dotted}+", "later", later, 0.95),
-                Rule(3, dotted, "under", rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?{sure}", 0.95),
-                Rule(4, dotted, "licen", rf"{name} {licence}{versions} {version}", 0.9),
+                Rule(1, f"{dotted}+", licen, rf"spdx {licence} identifier {label} {version} or later", 1.0),
+                Rule(2, dotted, licen, rf"spdx {licence} identifier {label} {version}(?: only)?", 1.0),
+                Rule(2, f"{dotted}+", ("later", "newer"), later, 0.95),
+                Rule(3, dotted, under, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?{sure}", 0.95),
+                Rule(4, dotted, licen, rf"{name} {licence}{versions}{version}", 0.9),
             ]
+            if short:
+                starts = tuple(f"{x}{v}" for x in SHORT[label] for v in (" v", "v"))
+                out.append(Rule(4, dotted, starts, rf"(?:gnu )?(?:{short})(?: version | v | ?v){version}", 0.9))
         out += [
-            Rule(3, label, "licen", rf"spdx {licence} identifier {label}", 1.0),
-            Rule(4, label, "under", rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?(?:[0-9] clause )?{name}(?: style)? {licence}", 0.9),
-            Rule(5, label, "licen", rf"(?:the )?{name} {licence}", 0.8),
+            Rule(3, label, licen, rf"spdx {licence} identifier {label}", 1.0),
+            Rule(4, label, under, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?(?:[0-9] clause )?{name}(?: style)? {licence}", 0.9),
+            Rule(5, label, licen, rf"(?:the )?{name} {licence}", 0.8),
         ]
     for label, words in COMMONS:
         out += [
-            Rule(2, f"{label}-{version.replace(' ', '.')}", "cc", rf"(?:creative commons|cc) {words} {version}", 1.0)
+            Rule(2, f"{label}-{version.replace(' ', '.')}", commons, rf"(?:creative commons|cc) {words}{versions}{version}", 1.0)
             for version in ("1 0", "2 0", "2 5", "3 0", "4 0")
         ]
-        out.append(Rule(3, label, "cc", rf"(?:creative commons|cc) {words}(?: {licence})?", 0.9))
-        out.append(Rule(3, label, "creative commons", rf"creative commons {words}", 0.9))
+        out.append(Rule(3, label, commons, rf"(?:creative commons|cc) {words}(?: {licence})?", 0.9))
+        out.append(Rule(3, label, commons[:1], rf"creative commons {words}", 0.9))
     return sorted(out, key=lambda r: r.priority)
 
 
@@ -135,12 +147,12 @@ _WORDS = bytes(
 
 
 @lru_cache(maxsize=1)
-def _compiled() -> list[tuple[str, list[tuple[Rule, re.Pattern]]]]:
-    by_keyword: dict[str, list[tuple[Rule, re.Pattern]]] = {}
+def _compiled() -> list[tuple[tuple[str, ...], list[tuple[Rule, re.Pattern]]]]:
+    by_keywords: dict[tuple[str, ...], list[tuple[Rule, re.Pattern]]] = {}
     for rule in rules():
         pattern = re.compile(rf"(?<![^ ])(?:{rule.pattern})(?![^ ])")
-        by_keyword.setdefault(rule.keyword, []).append((rule, pattern))
-    return list(by_keyword.items())
+        by_keywords.setdefault(rule.keywords, []).append((rule, pattern))
+    return list(by_keywords.items())
 
 
 def _suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
@@ -165,8 +177,8 @@ def scan(text: str | None) -> dict:
     ]
     found = [
         (*m.span(), rule)
-        for keyword, own in _compiled()
-        if keyword in joined
+        for keywords, own in _compiled()
+        if any(k in joined for k in keywords)
         for rule, pattern in own
         for m in pattern.finditer(joined)
     ]

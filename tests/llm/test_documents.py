@@ -50,6 +50,61 @@ def test_license_rules():
     assert licenses.scan(None)["n_words"] == 0 and licenses.scan("")["score"] == 0.0
 
 
+def _spelled(parsed) -> list[str]:
+    """Strings that a rule's pattern matches, each alternative and option among them."""
+    out = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            ways = [chr(value)]
+        elif kind == "IN":
+            ways = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+        elif kind == "BRANCH":
+            ways = [x for branch in value[1] for x in _spelled(branch)]
+        elif kind == "SUBPATTERN":
+            ways = _spelled(value[-1])
+        else:
+            assert kind == "MAX_REPEAT", kind
+            least, most, inner = value
+            ways = [x * n for n in {least, most} for x in _spelled(inner)]
+        out = [a + b for a in out for b in ways]
+    return out
+
+
+def test_license_gates_lose_nothing(monkeypatch):
+    from re import _parser
+
+    spelled = {r: _spelled(_parser.parse(r.pattern)) for r in licenses.rules()}
+    lost = [(r.label, x) for r, texts in spelled.items() for x in texts if not any(k in x for k in r.keywords)]
+    assert lost == []
+    corpus = [x for texts in spelled.values() for x in texts[:: max(1, len(texts) // 4)]]
+    corpus += [f"see {a} or {b}." for a, b in zip(corpus, corpus[7:], strict=False)] + [r[1] for r in awkward()]
+    gated = [licenses.scan(x) for x in corpus]
+    free = [(("",), own) for _, own in licenses._compiled()]
+    monkeypatch.setattr(licenses, "_compiled", lambda: free)
+    assert gated == [licenses.scan(x) for x in corpus]
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Creative Commons Attribution 4.0 International", "cc-by-4.0"),
+        ("Creative Commons Attribution-ShareAlike v3.0", "cc-by-sa-3.0"),
+        ("GPL version 2 or newer", "gpl-2+"),
+        ("GPLv2 or later", "gpl-2+"),
+        ("It has the GPL v2.", "gpl-2"),
+        ("(GPLv3)", "gpl-3"),
+        ("available under the GPLv3", "gpl-3"),
+        ("LGPL v2.1", "lgpl-2.1"),
+        ("GNU General Public License v3", "gpl-3"),
+        ("GNU General Public License version v3.0", "gpl-3.0"),
+        ("Apache License v2.0", "apache-2.0"),
+    ],
+)
+def test_license_versions(text, label):
+    assert label in licenses.scan(text)["labels"].split(",")
+
+
 def test_license_base(spark, docs):
     def want(text):
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
