@@ -10,8 +10,9 @@ is taken off at once. With each tuple goes the prefix it has in common with the
 predecessors in a section have one symbol more in common than the least value between their
 origins. Values are cut off at ``most``, as only the question "that much or less" is asked.
 
-Arrays of a shard beyond MEMORY bytes each lie in unnamed scratch files that are mapped into
-memory, so the queue is disk-backed, and a shard may be far larger than memory.
+The queue and the common prefixes lie in unnamed scratch files that are mapped into memory when
+they are beyond MEMORY bytes each; the symbols and their directions are in memory always, so the
+caller bounds the size of a shard.
 """
 
 from __future__ import annotations

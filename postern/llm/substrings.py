@@ -12,12 +12,15 @@ document, has all its bytes removed. Steps:
 3. Of a key's different runs, one of each goes on to the key's shard, which sorts all their
    suffixes by induced sorting (``induced.py``). This also gives the prefix that each suffix has in
    common with the one before; suffixes that share LENGTH bytes stand together, and all but the
-   earliest of them are removed. Keys are sorted a bounded number of bytes at a time; one key with
-   more than that is a larger shard, whose arrays lie on disk.
+   earliest of them are removed. Keys are sorted a bounded number of bytes at a time.
+4. A key with more than SPLIT bytes is split: each of its windows goes on by itself, keyed by its
+   own hash, which equal windows share, and of equal windows only the earliest stays. Each task does
+   this for the windows it has first; then a window's rows pass by with one of them in memory.
 
 Defined cases: a null text is empty; texts shorter than LENGTH keep everything; a null doc_id comes
 after all others; rows that share a doc_id are documents of their own, ordered by the hash of their
-texts; an empty table gives an empty result; other columns are ignored.
+texts, as are rows with a null doc_id, each of which is spread by itself (copies by their place in
+the input); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +38,13 @@ from postern.llm.induced import sort_suffixes
 LENGTH, GRAM = 100, 40
 #: Levels of names after which names stand for LENGTH bytes at least.
 LEVELS = 7
-#: Bytes of text hashed at once, and of runs sorted at once (more if one key has more).
-BUFFER, SHARD = 1 << 20, 8 << 20
+#: Bytes of text hashed at once, of runs sorted at once (and one key's more), and of a key's runs
+#: above which it is split into windows.
+BUFFER, SHARD, SPLIT = 1 << 20, 8 << 20, 2 << 20
+#: Windows of split keys compared at once in a task.
+WINDOWS = 1 << 16
+#: Low bits of the number of a row with a null doc_id that tell copies of a text apart.
+COPIES = (1 << 20) - 1
 
 #: An odd number, the base of the hash of a run.
 BASE = 0x9FB21C651E98DF25
@@ -183,6 +191,14 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+#: What becomes of a run: it goes as a whole, it is sorted, its windows are compared one by one.
+REPEAT, SORTED, APART = range(3)
+
+
+def _key(window: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
+
+
 _CUT = pa.schema(
     [
         ("key", pa.int64()),
@@ -197,8 +213,26 @@ _CUT = pa.schema(
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (PLACE, text, runs): the bytes of the runs to sort; whole repeats go along without bytes,
-    those that overlap as one."""
+    """Of (PLACE, text, runs): the bytes of the runs to sort; of runs to split, each window (size 0);
+    whole repeats go along without bytes, those that overlap as one."""
+    windows: dict[bytes, tuple] = {}
+    again: dict[tuple, list[tuple[int, int]]] = {}
+
+    def kept() -> list[tuple]:
+        """The windows so far, the earliest of equal ones; the others are repeats."""
+        rows = [(_key(w), *place, 0, w) for w, place in windows.items()]
+        for place, own in again.items():
+            rows += passed(list(place), own)
+        windows.clear()
+        again.clear()
+        return rows
+
+    def passed(place: list, own: list[tuple[int, int]]) -> list[tuple]:
+        return [
+            (int(_spread(np.array([place[1]]), np.array([s]))[0]), *place, s, e - s, None)
+            for s, e in joined(own)
+        ]
+
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
@@ -214,14 +248,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = batch.column(3)[r].as_py()
                 own = np.arange(offsets[r], offsets[r + 1])
                 own = own[sub[own] == place[2]]
-                for k in own[sort[own]].tolist():
+                for k in own[sort[own] == SORTED].tolist():
                     s, n = int(start[k]), int(size[k])
                     rows.append((int(key[k]), *place, s, n, text[s : s + n]))
-                repeats = own[~sort[own]]
-                spans = joined(list(zip(start[repeats].tolist(), size[repeats].tolist(), strict=True)))
-                for s, e in spans:
-                    away = int(_spread(np.array([place[1]]), np.array([s]))[0])
-                    rows.append((away, *place, s, e - s, None))
+                for k in own[sort[own] == APART].tolist():
+                    for s in range(int(start[k]), int(start[k] + size[k]) - LENGTH + 1):
+                        new = (*place, s)
+                        first = windows.setdefault(text[s : s + LENGTH], new)
+                        if first != new:
+                            if new < first:
+                                windows[text[s : s + LENGTH]] = new
+                            later = max(first, new)
+                            again.setdefault(later[:3], []).append((later[3], LENGTH))
+                    if len(windows) >= WINDOWS:
+                        rows += kept()
+                repeats = own[sort[own] == REPEAT]
+                rows += passed(place, list(zip(start[repeats].tolist(), size[repeats].tolist(), strict=True)))
+            rows += kept()
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, _CUT.types, strict=True)], _CUT.names
@@ -267,10 +310,12 @@ def repeated(places: list[tuple], data: list[bytes]) -> list[tuple]:
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of runs in order of their keys: the stretches to remove. Repeats pass through."""
+    """Of runs in order of their keys: the stretches to remove. Repeats pass through; of the windows
+    of split keys, those with one hash stand together."""
     places: list[tuple] = []
     data: list[bytes] = []
     key = total = 0
+    hashed, windows = None, {}
 
     def sort() -> pa.RecordBatch:
         found = repeated(places, data)
@@ -284,6 +329,14 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if own is None:
                 passed.append((*place, n))
                 continue
+            if n == 0:
+                if k != hashed:
+                    hashed, windows = k, {}
+                first = windows.setdefault(own, place)
+                if first != place:
+                    windows[own] = min(first, place)
+                    passed.append((*max(first, place), LENGTH))
+                continue
             if k != key and total >= SHARD:
                 yield sort()
                 places, data, total = [], [], 0
@@ -316,7 +369,10 @@ def joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """PLACE and text (bytes) of every row; _sub numbers the rows that share a doc_id."""
+    """PLACE and text (bytes) of every row; _sub numbers the rows that share a doc_id. Rows without
+    one are numbered by the hash of their text and, in its last bits, their place in the input."""
+    copy = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(COPIES))
+    unnamed = F.xxhash64("text").bitwiseAND(F.lit(~COPIES)).bitwiseOR(copy)
     order = Window.partitionBy("_null", "_id").orderBy("_hash")
     return (
         docs.select(
@@ -324,16 +380,15 @@ def _numbered(docs: DataFrame) -> DataFrame:
             F.coalesce(F.col("doc_id"), F.lit(0)).cast("long").alias("_id"),
             F.coalesce("text", F.lit("")).cast("binary").alias("text"),
         )
+        .withColumn("_id", F.when(F.col("_null"), unnamed).otherwise(F.col("_id")))
         .withColumn("_hash", F.xxhash64("text"))
         .withColumn("_sub", F.row_number().over(order))
         .select("_null", "_id", "_sub", "text")
     )
 
 
-def with_stretches(docs: DataFrame) -> DataFrame:
-    """PLACE, text (bytes) and _stretches: array of (_sub, start, size) to remove from the rows of
-    a doc_id. The texts are shuffled once, by doc_id; all that needs them reads that shuffle."""
-    texts = _numbered(docs)
+def _to_compare(texts: DataFrame) -> DataFrame:
+    """The rows of _CUT: runs to sort, windows of split keys, and repeats, of PLACE and text."""
     located = texts.mapInArrow(
         _located,
         f"{PLACE}, key long, what long, start int, size int, twice boolean, again boolean",
@@ -346,22 +401,30 @@ def with_stretches(docs: DataFrame) -> DataFrame:
             != F.min("what").over(Window.partitionBy("key")),
             "sizes": F.max("size").over(Window.partitionBy("key"))
             != F.min("size").over(Window.partitionBy("key")),
+            "bytes": F.sum(F.when(~F.col("again"), F.col("size"))).over(Window.partitionBy("key")),
         }
     )
     whole = F.col("again") | (F.col("rank") > 1)
+    compared = F.col("twice") | F.col("kinds") | F.col("sizes")
+    way = F.when(whole, REPEAT).when(F.col("bytes") > SPLIT, APART).otherwise(SORTED)
     lists = (
-        ranked.withColumn("sort", ~whole & (F.col("twice") | F.col("kinds") | F.col("sizes")))
-        .filter(whole | F.col("sort"))
+        ranked.filter(whole | compared)
+        .withColumn("sort", way.cast("tinyint"))
         .groupBy("_null", "_id")
         .agg(F.collect_list(F.struct("_sub", "key", "start", "size", "sort")).alias("_runs"))
     )
-    cut = (
+    return (
         texts.join(lists, ["_null", "_id"])
         .select("_null", "_id", "_sub", "text", "_runs")
         .mapInArrow(_cut, f"key long, {PLACE}, start int, size int, data binary")
-        .repartition("key")
-        .sortWithinPartitions("key")
     )
+
+
+def with_stretches(docs: DataFrame) -> DataFrame:
+    """PLACE, text (bytes) and _stretches: array of (_sub, start, size) to remove from the rows of
+    a doc_id. The texts are shuffled once, by doc_id; all that needs them reads that shuffle."""
+    texts = _numbered(docs)
+    cut = _to_compare(texts).repartition("key").sortWithinPartitions("key")
     found = cut.mapInArrow(_shard, f"{PLACE}, start int, size int")
     removed = found.groupBy("_null", "_id").agg(
         F.collect_list(F.struct("_sub", "start", "size")).alias("_stretches")

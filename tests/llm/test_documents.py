@@ -268,6 +268,37 @@ def test_repeated_substrings(spark, docs):
     assert substrings.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeated_substrings_of_a_hot_key(spark, monkeypatch):
+    """A passage in many documents, with other text around it, or the same in a few."""
+    import random
+
+    monkeypatch.setattr(substrings, "SPLIT", 1000)
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage, around = word(160), [word(70) for _ in range(4)]
+    texts = [word(90) + passage + word(90) for _ in range(60)]
+    texts += [word(30) + rng.choice(around) + passage[:130] + rng.choice(around) + word(30) for _ in range(60)]
+    texts += ["ab" * 200, "x" + "ab" * 150]
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate(texts)]
+    docs = table(spark, rows)
+    keys = substrings._to_compare(substrings._numbered(docs)).filter("data is not null").groupBy("key")
+    assert max(r["sum(size)"] for r in keys.sum("size").collect()) <= 1000
+    raw = [t.encode() for t in texts]
+    want = [(i, *helpers.repeats_digest(t, f)) for i, (t, f) in enumerate(zip(raw, helpers.covered(raw), strict=True))]
+    assert as_rows(substrings.remove_repeats(docs).drop("spans")) == sorted(want, key=repr)
+
+
+def test_rows_without_doc_id_are_spread(spark):
+    same = "a text that is long enough to be compared with its copies, word by word, " * 2
+    texts = [same] * 40 + [None] * 40 + [f"{i} {same}" for i in range(20)]
+    docs = table(spark, [(None, t, None, None, None, None, None) for t in texts])
+    assert substrings._numbered(docs).groupBy("_null", "_id").count().agg({"count": "max"}).first()[0] < 5
+    out = substrings.remove_repeats(docs).collect()
+    assert len(out) == 100 and all(r.doc_id is None for r in out)
+    # What is left of all copies is less than one text and what the numbers make of others.
+    assert sum(r.n_bytes == len(same) and r.n_removed == 0 for r in out) <= 1
+
+
 def test_induced_sorting():
     import random
 
