@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +13,7 @@ from postern.operators.decode import checked, decode, split_faulty
 from postern.operators.retry import read_events
 from postern.plans.intake import Lookups, run_batch, write_table
 from postern.streaming.retry import hold_until_due
-from postern.streaming.settle import GIVE_UP
+from postern.streaming.settle import GIVE_UP, table_if_there
 
 RETRY_DDL = "key string, value string, due_ms bigint, enqueued_at timestamp_ntz"
 
@@ -26,27 +25,18 @@ def earlier_decisions(
     a failed attempt, and any later ones do not count: a replay sees what the first attempt
     saw. Only the folders of those batches are read. Decisions whose requests were refused
     (``streaming.settle``) left nothing behind and do not count either."""
-    written = _table_if_there(spark, f"{folder}/decisions", "entry_id string, outcome string, batch_id bigint")
+    written = table_if_there(spark, f"{folder}/decisions", "entry_id string, outcome string, batch_id bigint")
     if written is None:
         return None
     oldest = 0 if lag is None else batch_id - lag
     earlier = written.where(F.col("batch_id").between(oldest, batch_id - 1))
-    steps = _table_if_there(spark, f"{folder}/steps", "entry_id string, batch_id bigint, action string")
+    steps = table_if_there(spark, f"{folder}/steps", "entry_id string, batch_id bigint, action string")
     if steps is not None:
         refused = steps.where((F.col("action") == GIVE_UP) & (F.col("batch_id") >= oldest))
         earlier = earlier.join(refused, ["entry_id", "batch_id"], "left_anti")
     return earlier.select("entry_id", "outcome")
 
 
-def _table_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def handle_batch(
     folder: str,
     read_lookups: Callable[[SparkSession], Lookups],

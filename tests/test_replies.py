@@ -136,6 +136,29 @@ def test_refused_update_is_retried_after_the_reply(job):
     assert ids("reply_retries", "due_ms") == [int(LATER.replace(tzinfo=dt.UTC).timestamp() * 1000) + 1000]
 
 
+def test_late_first_replies_count(spark):
+    """One source of replies goes on while another is two days behind."""
+    out = work_dir(spark, "late")
+    lookups = X.make_lookups(spark, ENTRIES, [X.person("100")])
+    route.prepare(spark, out)
+    route.handle_batch(out, lambda s: lookups, await_replies=True)(_events(spark, [(1, 1), (2, 2), (4, 4)]), 0)
+
+    def reply(*rows):
+        full = [(e, 0, "task", 1, status, None, at) for e, status, at in rows]
+        spark.createDataFrame(full, settle.REPLY_DDL).coalesce(1).write.mode("append").parquet(f"{out}/told")
+        stream = streams.file_stream(spark, out, "told", settle.REPLY_DDL)
+        settle.start(stream, out).awaitTermination()
+
+    day = dt.timedelta(days=1)
+    reply(("4", 201, LATER))
+    reply(("4", 201, LATER + day / 24))
+    reply(("2", 201, LATER - 2 * day), ("2", 500, LATER), ("1", 500, LATER - 2 * day))
+    reply(("2", 500, LATER), ("4", 500, LATER - 3 * day))
+    steps = spark.read.parquet(f"{out}/steps").select("entry_id", "action").collect()
+    assert sorted(map(tuple, steps)) == [("1", "retry"), ("2", "update"), ("4", "update")]
+    assert [r.key for r in spark.read.parquet(f"{out}/reply_retries").collect()] == ["1"]
+
+
 def test_waiting_retries_are_reported(spark):
     from postern.operators import retry
 
