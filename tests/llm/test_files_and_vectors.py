@@ -86,6 +86,17 @@ def test_packing(spark, docs):
     assert packing.pack_documents(docs.limit(0), BYTE_TOKENIZER, "byte", 2).count() == 0
 
 
+def test_equal_rows_are_packed_in_all_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET", 1)
+    rows = [(None, None)] * 3000 + [(None, "the same")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = packing.pack_documents(docs, BYTE_TOKENIZER, "byte", 2)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    per = collections.Counter(r.sequence_id >> 32 for r in out.collect())
+    assert len(per) > 3 and sum(per.values()) == 4500
+    assert max(per.values()) < 2 * 4500 / len(per)
+
+
 PAGES = "page_id long, url string, html string, length int, first string"
 
 
