@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,14 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows from a table in the shared folder: cuts the lineage, survives lost executors, and
     makes values that depend on the partitioning (partition ids) the same for every later read."""
     folder = work_dir(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def table_of(columns: Sequence[tuple[str, pa.DataType]]) -> str:
+    """The schema of Arrow columns in Spark's words."""
+    names = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean"}
+    return ", ".join(f"{name} {names[kind]}" for name, kind in columns)
+
+
 def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``docs`` with all columns but the needed ones under names that clash with nothing, and a
     function that brings a result with these columns back to the columns of ``docs``."""

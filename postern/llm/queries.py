@@ -7,12 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from postern.llm import (
+    align,
     ann,
     licenses,
     mixture,
     packing,
     quality,
     secret_scan,
+    sentencepieces,
     simhash,
     substrings,
     tokenbin,
@@ -23,6 +25,7 @@ from postern.session import work_dir
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +84,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, "byte", end_id=2)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.count_links(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +105,8 @@ QUERIES = {
         op8_quality_rules,
         op9_token_files,
         op10_best_fit_packing,
+        op11_token_alignment,
+        op12_sentencepiece,
     )
 }
 
