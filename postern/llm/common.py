@@ -28,7 +28,13 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 def table_of(columns: Sequence[tuple[str, pa.DataType]]) -> str:
     """The schema of Arrow columns in Spark's words."""
-    names = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary", pa.bool_(): "boolean"}
+    names = {
+        pa.int64(): "long",
+        pa.string(): "string",
+        pa.binary(): "binary",
+        pa.list_(pa.int64()): "array<long>",
+        pa.list_(pa.string()): "array<string>",
+    }
     return ", ".join(f"{name} {names[kind]}" for name, kind in columns)
 
 

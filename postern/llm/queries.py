@@ -18,6 +18,7 @@ from postern.llm import (
     simhash,
     substrings,
     tokenbin,
+    turns,
     warc,
 )
 from postern.llm.common import table
@@ -92,6 +93,10 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,6 +112,7 @@ QUERIES = {
         op10_best_fit_packing,
         op11_token_alignment,
         op12_sentencepiece,
+        op13_conversation_repair,
     )
 }
 
