@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import as_rows, awkward
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from postern.llm import ann, packing, tokenbin, warc
@@ -102,9 +103,10 @@ PAGES = "page_id long, url string, html string, length int, first string"
 
 def pages(spark):
     nested = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\n" * 3
-    htmls = ["<p>a</p>", "<p>a</p>", None, "", nested, "é" * 5000, nested + "x", "WARC/1.0\r\n", "b\r\n\r\n"]
+    hostile = [f"WARC/1.0\r\nContent-Length: {n}\r\n\r\n" for n in ("²", "9" * 20, "9" * 18, "٣", "-1", "", "1_0")]
+    htmls = [*hostile, hostile[0], "<p>a</p>", "<p>a</p>", None, "", nested, "é" * 5000, nested + "x", "WARC/1.0\r\n", "b\r\n\r\n"]
     rows = [(i, f"http://x/{i}\r\nEvil: 1" if i % 2 else None, h, 1, "q") for i, h in enumerate(htmls)]
-    rows += [rows[5], (None, None, "<p>a</p>", None, None), (None, None, "only", None, None)]
+    rows += [rows[13], rows[13], rows[13], (None, None, "<p>a</p>", None, None), (None, None, "only", None, None)]
     rows += [(100 + i, "u", f"page {i} " * (i * 7 % 90), 1, "q") for i in range(60)]
     return rows
 
@@ -136,7 +138,34 @@ def test_warc_empty_and_least_size(spark, tmp_path):
     assert warc.read_archives(spark, f"file://{tmp_path}/none").count() == 0
     warc.write_archives(df, f"file://{tmp_path}/big", min_bytes=10_000)
     kinds = warc.read_archives(spark, f"file://{tmp_path}/big").filter("record_type = 'revisit'")
-    assert {r.page_id for r in kinds.collect()} == {5}
+    assert [r.page_id for r in kinds.collect()] == [13] * 3
+
+
+def test_ann_answers_every_length_and_size_of_vectors(spark, monkeypatch):
+    """Two lengths, both with several partitions, and components whose products overflow."""
+    monkeypatch.setattr(ann, "PART", 150)
+    monkeypatch.setattr(ann, "QUERIES", 16)
+    rng = np.random.default_rng(5)
+    sets = [rng.standard_normal((600, 8)), rng.standard_normal((500, 16)), np.array([[1e200] * 8, [-1e200] * 8, [1e200, -1e200] * 4, [1e-200] * 8])]
+    vectors = [v for some in sets for v in some] + [np.array([3.0])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    asked = [*range(0, 1100, 20), 1100, 1101, 1102, 1103, 1104]
+    out = ann.search(df, df.filter(F.col("vec_id").isin(asked)), 20).collect()
+    got = collections.defaultdict(list)
+    for r in sorted(out, key=lambda r: r["rank"]):
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == set(asked) - {1104}  # the only one of its length finds nothing
+    hits = wanted = 0
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q, found in got.items():
+            alike = [i for i, v in enumerate(vectors) if len(v) == len(vectors[q]) and i != q]
+            score = {i: (vectors[i] * vectors[q]).sum() for i in alike}
+            score = {i: -np.inf if np.isnan(v) else v for i, v in score.items()}
+            assert len(found) == 20 and found == sorted(found, key=lambda f: (-f[1], f[0]))
+            assert all(s == pytest.approx(score[v], rel=1e-12) for v, s in found)
+            true = sorted(alike, key=lambda i: (-score[i], i))[:20]
+            hits, wanted = hits + len(set(true) & {v for v, _ in found}), wanted + 20
+    assert hits >= 0.9 * wanted
 
 
 def test_ann_matches_brute_force(spark):
@@ -154,6 +183,7 @@ def test_ann_matches_brute_force(spark):
     got = collections.defaultdict(list)
     for r in sorted(out, key=lambda r: r["rank"]):
         got[r.query_id].append((r.vec_id, r.score))
+    # The one vector of two components, a query too, has no candidate.
     assert set(got) == set(range(0, 4000, 20))
     hits = 0
     for q, found in got.items():
