@@ -9,12 +9,16 @@ reranked by the exact measure. How many partitions a query probes is set on the
 recall of held-out queries against brute force.
 
 Copies of a vector are one entry with the smallest ids that a query can need, and equal queries are
-searched once. A partition is searched in blocks of bounded size, so a hot one is shared by tasks.
-
-Defined cases: vectors that are null, empty, all zero, of another length than most of the sample, or
-with null or non-finite components take no part, neither as queries nor as candidates; a null id
-takes no part; rows that repeat an id are one; an empty table gives an empty result; with fewer
-candidates than k all are returned; other columns are ignored.
+searched once. A partition is searched in blocks of bounded size by groups of the queries that probe
+it, so a hot one is shared by tasks.
+
+Defined cases: vectors that are null, empty, all zero, or with null or non-finite components take no
+part, neither as queries nor as candidates; vectors of different lengths have no inner product, so
+each length is a search of its own, with its own router; products beyond the largest double are
+infinite, and one that is no number (infinities of both signs) counts as minus infinity; ties go to
+the smaller id; a null id takes no part; rows that repeat an id are one; very long vectors are rows
+like any others; an empty table gives an empty result; with fewer candidates than k all are returned;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +42,12 @@ GRAPH = 16
 RECALL = 0.94
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; first scaled by their largest component, whose square may overflow."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 @dataclass
 class Router:
     """The classifier: probabilities rise with x @ weights + bias; probes: partitions per query."""
@@ -47,8 +57,7 @@ class Router:
     probes: int
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
-        return unit @ self.weights + self.bias
+        return _unit(x) @ self.weights + self.bias
 
     def best(self, x: np.ndarray, n: int) -> np.ndarray:
         """The n most probable partitions of each row, best first."""
@@ -111,7 +120,7 @@ def partition_graph(x: np.ndarray, graph: np.ndarray, depth: int) -> np.ndarray:
 
 def fit_classifier(x: np.ndarray, part: np.ndarray, n_parts: int, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Softmax regression by gradient steps with momentum on all rows of the sample."""
-    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+    unit = _unit(x)
     weights, bias = np.zeros((x.shape[1], n_parts)), np.zeros(n_parts)
     moved_w, moved_b = np.zeros_like(weights), np.zeros_like(bias)
     rng = np.random.default_rng(7)
@@ -135,7 +144,12 @@ def fit(sample: np.ndarray, n_vectors: int, k: int = 20, recall: float = RECALL)
     depth = int(np.ceil(np.log2(max(1, min(n_vectors / PART, MOST_PARTS, len(sample) / 32)))))
     n_parts = 1 << depth
     if n_parts == 1:
-        return Router(np.zeros((sample.shape[1], 1)), np.zeros(1), 1)
+        return one_part(sample.shape[1])
+    # Products keep their order, but can't overflow.
+    with np.errstate(over="ignore"):
+        unit = _unit(sample)
+        norms = np.abs(sample).max(axis=1) / np.abs(unit).max(axis=1)
+        sample = unit * np.minimum(norms / np.median(norms), 1e100)[:, None]
     held = np.arange(len(sample)) % HELD == 0
     train = sample[~held]
     part = partition_graph(train, neighbour_graph(train), depth)
@@ -152,6 +166,43 @@ def fit(sample: np.ndarray, n_vectors: int, k: int = 20, recall: float = RECALL)
     return router
 
 
+def one_part(width: int) -> Router:
+    return Router(np.zeros((width, 1)), np.zeros(1), 1)
+
+
+def fit_widths(entries: DataFrame, k: int) -> dict[int, Router]:
+    """A router for each length of the distinct vectors. Only lengths with more vectors than one
+    partition holds are sampled."""
+    routers = {}
+    for width, n in entries.groupBy(F.size("vector")).count().collect():
+        if n <= PART:
+            routers[width] = one_part(width)
+            continue
+        alike = entries.filter(F.size("vector") == width)
+        sample = alike.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("vector").toArrow()
+        routers[width] = fit(_stack(sample.column("vector").combine_chunks()), n, k)
+    return routers
+
+
+def _routed(routers: dict[int, Router], vectors: pa.Array, probes: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, partition) of each vector, its best or all that it probes. A partition's number has the
+    vectors' length in its upper half."""
+    lists = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    widths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    rows, parts = [], []
+    for width in np.unique(widths).tolist():
+        if width not in routers:  # a query without candidates of its length
+            continue
+        at = np.flatnonzero(widths == width)
+        router = routers[width]
+        best = router.best(_stack(lists.take(pa.array(at))), router.probes if probes else 1)
+        rows.append(np.repeat(at, best.shape[1]))
+        parts.append(best.ravel() + (width << 32))
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.concatenate(parts)
+
+
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id and vector (doubles) of the rows that take part."""
     rows = vectors.select(
@@ -188,78 +239,83 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "v
     entries = written(
         _least_ids(rows, k + 1).withColumn("entry", F.element_at("ids", 1)), "entries"
     )
-    n_entries = entries.count()
-    sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("vector").toArrow()
-    lists = sample.column("vector").combine_chunks()
-    lengths = pd.Series(lists.value_lengths().to_numpy(zero_copy_only=False), dtype="int64")
-    width = int(lengths.mode().iloc[0]) if len(lengths) else 0
-    fitted = _stack(lists.filter(pa.array(lengths == width)))
-    router = fit(fitted, n_entries, k)
-    alike = lambda df: df.filter(F.size("vector") == width)
+    routers = fit_widths(entries, k)
 
     def indexing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                part = router.best(_stack(batch.column(2)), 1)[:, 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.astype(np.int64)), *batch.columns], ["part", "entry", "ids", "vector"]
-                )
+            at, part = _routed(routers, batch.column(2), probes=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), *batch.take(pa.array(at)).columns], ["part", "entry", "ids", "vector"]
+            )
 
     def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                parts = router.best(_stack(batch.column(1)), router.probes)
-                again = np.repeat(np.arange(batch.num_rows), parts.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(parts.ravel().astype(np.int64)), *batch.take(pa.array(again)).columns],
-                    ["part", "query", "vector"],
-                )
+            at, part = _routed(routers, batch.column(1), probes=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), *batch.take(pa.array(at)).columns], ["part", "query", "vector"]
+            )
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, n = np.unique(_routed(routers, batch.column(0), probes=True)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(n)], ["part", "n"])
 
     index = written(
-        alike(entries).select("entry", "ids", "vector").mapInArrow(
+        entries.select("entry", "ids", "vector").mapInArrow(
             indexing, "part long, entry long, ids array<bigint>, vector array<double>"
         ),
         "index",
     )
-    # A partition's number of blocks follows its size; a row per partition.
-    sizes = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    blocks = F.broadcast(sizes)  # at most MOST_PARTS rows
     asked = usable(queries, vec_id, vector).withColumnRenamed("vec_id", "query_id").distinct()
     distinct = written(asked.groupBy("vector").agg(F.min("query_id").alias("query")), "queries")
-    n_groups = max(1, -(-distinct.count() // QUERIES))
-    group = F.expr(f"pmod(xxhash64(query), {n_groups})")
+    # A partition's blocks follow its size, its groups the queries that probe it.
+    probed = distinct.select("vector").mapInArrow(counting, "part long, n long").groupBy("part")
+    sizes = (
+        index.groupBy("part")
+        .agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+        .join(probed.agg(F.ceil(F.sum("n") / QUERIES).cast("long").alias("groups")), "part")
+    )
+    sizes = F.broadcast(sizes)  # at most MOST_PARTS rows for each length of vectors
     probes = (
-        alike(distinct).select("query", "vector")
+        distinct.select("query", "vector")
         .mapInArrow(probing, "part long, query long, vector array<double>")
-        .join(blocks, "part")
+        .join(sizes, "part")
         .withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        .select("part", "block", group.alias("group"), "query", "vector")
+        .select("part", "block", F.expr("pmod(xxhash64(query), groups)").alias("group"), "query", "vector")
     )
-    stored = index.join(blocks, "part").select(
+    stored = index.join(sizes, "part").select(
         "part",
         F.expr("pmod(xxhash64(entry), blocks)").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)).cast("array<bigint>")).alias("group"),
+        F.explode(F.expr("sequence(0L, groups - 1)")).alias("group"),
         "entry",
         "ids",
         "vector",
     )
 
     def rerank(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        with np.errstate(over="ignore", invalid="ignore"):
+            return ranked(ours, theirs)
+
+    def ranked(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(ours) and len(theirs):
             part = int(ours["part"].iloc[0])
             theirs = theirs.sort_values("entry")
             x, ids = _stack(theirs["vector"]), theirs["ids"].to_numpy()
+            longest = np.linalg.norm(x, axis=1).max()
             for at in range(0, len(ours), 512):
                 some = ours.iloc[at : at + 512]
                 q = _stack(some["vector"])
                 score = q @ x.T
+                margins = 1e-12 * np.linalg.norm(q, axis=1) * longest
                 for i, query in enumerate(some["query"]):
                     row, n = score[i], min(k + 1, len(x))
                     # All that may be among the best in exact arithmetic, ties included.
-                    least = np.partition(row, len(row) - n)[len(row) - n]
-                    near = np.flatnonzero(row >= least - 1e-9 * max(1.0, abs(least)))
+                    known = np.where(np.isnan(row), -np.inf, row)
+                    least = np.partition(known, len(row) - n)[len(row) - n]
+                    near = np.flatnonzero(~(row < least - margins[i]))
                     exact = (x[near] * q[i]).sum(axis=1)
+                    exact[np.isnan(exact)] = -np.inf
                     best = np.lexsort((theirs["entry"].to_numpy()[near], -exact))[: k + 1]
                     hits = sorted((-exact[b], j) for b in best for j in ids[near[b]])[: k + 1]
                     out.append((query, part, [h[0] for h in hits], [int(h[1]) for h in hits]))
