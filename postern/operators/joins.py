@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postern.functions.text import term_malformed, term_part
@@ -16,12 +16,31 @@ from postern.rules import PARTY_ORGANISATION
 from postern.sources.lookups import entries_with_open_task, identity_facts
 
 
+def with_tie(events: DataFrame) -> DataFrame:
+    """Add ``event_tie``: what tells events of one ``event_order`` apart. The streams number the rows
+    of a batch as they are written; elsewhere it is a hash of the whole event."""
+    if "event_tie" in events.columns:
+        return events
+    return events.withColumn("event_tie", F.xxhash64(*sorted(events.columns)))
+
+
+def event_rank() -> Column:
+    """Order and tie of an event as one exact number, which is compared without sorting rows. Orders
+    come from several sources (offsets, due times), so two events of an entry may share one."""
+    return F.expr(
+        "CAST(event_order AS DECIMAL(38, 0)) * 1000000000000000000BD"
+        " + CAST(pmod(event_tie, 1000000000000000000L) AS DECIMAL(18, 0))"
+    ).cast("decimal(38,0)")
+
+
 def keys_of(events: DataFrame) -> DataFrame:
     """One row per entry id of a set of events: the event that comes first, its time, and how
     many events there are. Combined on the map side."""
-    return events.groupBy("entry_id").agg(
+    ranked = with_tie(events).withColumn("_rank", event_rank())
+    return ranked.groupBy("entry_id").agg(
         F.min("event_order").alias("first_event"),
-        F.min_by("as_of", "event_order").alias("as_of"),
+        F.min("_rank").alias("first_rank"),
+        F.min_by("as_of", "_rank").alias("as_of"),
         F.count("*").alias("n_events"),
     )
 

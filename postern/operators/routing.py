@@ -136,15 +136,15 @@ def fan_out(
     hot = hot_entries(joins.keys_of(events) if keys is None else keys, per_task)
     lookup = decisions.select(
         "entry_id",
-        "first_event",
+        "first_rank",
         "outcome",
         "reason",
         salts_for(F.col("n_events"), per_task).alias("salts"),
     )
-    joined = salted_left_join(events, lookup, hot)
-    first = F.col("event_order") == F.col("first_event")
+    joined = salted_left_join(joins.with_tie(events), lookup, hot)
+    first = joins.event_rank() == F.col("first_rank")
     return (
         joined.withColumn("first_in_set", first)
         .withColumn("outcome", F.when(first, F.col("outcome")).otherwise(inherited(F.col("outcome"))))
-        .drop("first_event")
+        .drop("first_rank", "event_tie")
     )

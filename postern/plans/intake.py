@@ -129,14 +129,14 @@ def run_batch(
     def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(spark, df, f"{folder}/{name}/{part}")
 
+    events = joins.with_tie(events)
     ids = joins.keys_of(events).select("entry_id")
     lookups, small = cut_to(lookups, ids)
     if earlier is not None:
         if small:
             earlier = earlier.join(F.broadcast(ids), "entry_id", "left_semi")
         lookups = after_earlier(lookups, earlier)
-    if small:
-        lookups = with_entries(lookups, write(lookups.entries, "entries"))
+    lookups = with_entries(lookups, write(lookups.entries, "entries"), small)
 
     decisions = decide_events(events, lookups)
     if answers is not None:
@@ -160,7 +160,7 @@ def run_batch(
         if archive is not None:
             final = updates.join(decisions.where("update_accepted"), "entry_id", "left_semi")
         finalizations = write(outputs.finalizations(final), "finalizations")
-    narrow = events.select("event_order", "as_of", "entry_id")
+    narrow = events.select("event_order", "event_tie", "as_of", "entry_id")
     routed = write(routing.fan_out(narrow, decisions, keys=decisions), "routed")
     retries = write(retry.enqueue(failed_events(events, decisions), delay), "retries")
     return BatchResult(decisions, routed, task_requests, updates, finalizations, retries)
@@ -176,19 +176,21 @@ def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def cut_to(lookups: Lookups, ids: DataFrame) -> tuple[Lookups, bool]:
-    """Lookups for a batch of events with these entry ids, and whether the batch is small enough
-    to cut them (``MAX_BROADCAST_IDS``; counting stops there)."""
+    """Lookups for a batch of events with these entry ids, and whether the ids are few enough to be
+    broadcast for it (``MAX_BROADCAST_IDS``)."""
     small = ids.count() <= MAX_BROADCAST_IDS
-    return (restricted(lookups, ids) if small else lookups), small
+    return restricted(lookups, ids, small), small
 
 
-def restricted(lookups: Lookups, ids: DataFrame) -> Lookups:
-    """Lookups cut to the entry ids of a small batch before anything is shuffled.
+def restricted(lookups: Lookups, ids: DataFrame, small: bool = True) -> Lookups:
+    """Lookups cut to the entry ids of a batch.
 
-    The caller has checked the number of ids; they are broadcast. The optimizer moves the semi
-    join below the document aggregate, to the scan.
+    ``small`` ids, whose number the caller has checked, are broadcast, and the optimizer moves the
+    semi join below the document aggregate, to the scan; others meet the tables in the shuffle that
+    the joins by entry need anyway.
     """
-    ids = F.broadcast(ids.select("entry_id"))
+    ids = ids.select("entry_id").distinct()
+    ids = F.broadcast(ids) if small else ids
 
     def cut(df: DataFrame | None) -> DataFrame | None:
         return None if df is None else df.join(ids, "entry_id", "left_semi")
@@ -201,18 +203,35 @@ def restricted(lookups: Lookups, ids: DataFrame) -> Lookups:
     )
 
 
-def with_entries(lookups: Lookups, entries: DataFrame) -> Lookups:
-    """Lookups around the written entries of a small batch: only the identities of their parties
-    are shuffled. There are at most as many parties as entries, so they are broadcast."""
-    parties = F.broadcast(entries.select("party_id").where("party_id IS NOT NULL").distinct())
+def with_entries(lookups: Lookups, entries: DataFrame, small: bool) -> Lookups:
+    """Lookups around the written entries of a batch: only the identities of their parties are
+    looked up. There are at most as many parties as entries, so those of a small batch are
+    broadcast."""
+    parties = entries.select("party_id").where("party_id IS NOT NULL").distinct()
+    parties = F.broadcast(parties) if small else parties
     identities = lookups.identities.join(parties, "party_id", "left_semi")
     return replace(lookups, journal=entries, documents=None, identities=identities)
 
 
 def after_earlier(lookups: Lookups, earlier: DataFrame) -> Lookups:
-    """Lookups as they stand after earlier decisions (``entry_id``, ``outcome``): a manual task
-    is an open task, an automatically handled entry is no longer open for handling."""
-    made = earlier.where(F.col("outcome").isin(routing.JOURNALING, routing.DISTRIBUTION)).select(
+    """Lookups as they stand after earlier requests (``entry_id``, ``outcome``, ``as_of``): a manual
+    task is an open task, an automatically handled entry is no longer open for handling.
+
+    Once the live table shows a task of the entry and kind opened since the request, that task stands
+    for the request, so when it is closed the entry is free again. Without ``opened_at`` in the live
+    table a request can't be told from an older task and holds its entry."""
+    made = earlier.where(F.col("outcome").isin(routing.JOURNALING, routing.DISTRIBUTION))
+    if "opened_at" in lookups.tasks.columns:
+        live = lookups.tasks.select(
+            F.col("entry_id").alias("_entry"), F.col("task_type").alias("_type"), "opened_at"
+        )
+        shown = (
+            (F.col("entry_id") == F.col("_entry"))
+            & (F.col("outcome") == F.col("_type"))
+            & (F.col("opened_at") >= F.col("as_of"))
+        )
+        made = made.join(live, shown, "left_anti")
+    made = made.select(
         F.concat(F.lit("made-"), "entry_id").alias("task_id"),
         "entry_id",
         F.lit(rules.TASK_OPEN).alias("category"),

@@ -78,6 +78,15 @@ _CTES = {
                CASE l_returnflag WHEN 'A' THEN 'JFR' WHEN 'R' THEN 'FDR' END AS task_type
         FROM lineitem
         WHERE l_partkey % 10 = 0 AND l_linestatus = 'O' AND l_returnflag IN ('A', 'R')""",
+    "v": """
+        SELECT *, CASE WHEN l_linestatus <> 'O' THEN opened_at + to_days(CAST(l_suppkey % 10 AS INTEGER)) END
+                 AS closed_at
+        FROM (SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS task_id,
+                     CAST(l_orderkey AS VARCHAR) AS entry_id, l_linestatus, l_suppkey,
+                     CASE l_returnflag WHEN 'A' THEN 'JFR' WHEN 'R' THEN 'FDR' ELSE 'SOK' END AS task_type,
+                     TIMESTAMP '2024-01-01' + to_days(CAST((l_partkey + l_linenumber) % 40 AS INTEGER))
+                       AS opened_at
+              FROM lineitem WHERE l_partkey % 10 = 0)""",
     "ev": """
         SELECT event_id AS event_order, ts AS as_of, user_id,
                CASE WHEN event_id % 97 = 0 THEN '-1'
@@ -200,6 +209,7 @@ _UPDATES = """
 _EPOCH_MS = "epoch_us({}) // 1000"
 _DUE = _EPOCH_MS.format("as_of + INTERVAL 1 SECOND")
 _RETRY_AS_OF = "TIMESTAMP '2024-01-21 00:00:00'"
+_FIRST_MS, _LATER_MS = "CAST(1704931200000 AS BIGINT)", "CAST(1705795200000 AS BIGINT)"
 _RETRIES = f"""
         SELECT entry_id AS key, {_DUE} AS due_ms, as_of, event_order, event_type, theme, user_id
         FROM (SELECT *, row_number() OVER (PARTITION BY entry_id
@@ -526,4 +536,51 @@ FROM g LEFT JOIN en ON en.entry_id = g.entry_id
 LEFT JOIN c ON c.theme = en.theme AND c.form_code = en.form_code""",
     ),
     "stream_retry": _sql(["ev", "g", "q"], "SELECT key, due_ms FROM q"),
+    "stream_route_batches": _sql(
+        [*_EVENT_CHAIN, "r"], "SELECT event_order, entry_id, outcome, reason FROM r"
+    ),
+    "stream_retry_held": _sql(
+        ["ev", "g", "q"],
+        f"""SELECT key, due_ms, CASE WHEN state LIKE 'r%' THEN 'released' ELSE state END AS state,
+       CASE state WHEN 'r1' THEN {_FIRST_MS} WHEN 'r2' THEN {_LATER_MS} END AS released_ms
+FROM (SELECT key, due_ms,
+        CASE WHEN early AND expires_ms <= {_FIRST_MS} THEN 'expired'
+             WHEN early AND due_ms <= {_FIRST_MS} THEN 'r1'
+             WHEN expires_ms <= {_LATER_MS} THEN 'expired'
+             WHEN due_ms <= {_LATER_MS} THEN 'r2' ELSE 'waiting' END AS state
+      FROM (SELECT *, abs(CAST(key AS BIGINT)) % 2 = 0 AS early,
+              {_EPOCH_MS.format("as_of + INTERVAL 336 HOUR")} AS expires_ms FROM q))""",
+    ),
+    "stream_closed_tasks": _sql(
+        _EVENT_CHAIN,
+        """, cut AS (SELECT min(event_id) + (max(event_id) - min(event_id)) // 2 + 1 AS c FROM events),
+one AS (SELECT DISTINCT entry_id FROM g, cut WHERE event_order < c),
+two AS (SELECT g.*, one.entry_id IS NOT NULL AS again,
+          row_number() OVER (PARTITION BY g.entry_id ORDER BY event_order) = 1 AS first_in_set
+        FROM g CROSS JOIN cut LEFT JOIN one USING (entry_id) WHERE event_order >= c)
+SELECT event_order, two.entry_id, first_in_set, x.reason,
+       CASE WHEN again AND outcome = 'AUTO' THEN 'SKIP_STATUS'
+            WHEN again AND outcome IN ('JFR', 'FDR')
+                 AND (CAST(two.entry_id AS BIGINT) % 9 = 0 OR CAST(two.entry_id AS BIGINT) % 2 <> 0)
+              THEN 'SKIP_HAS_TASK'
+            WHEN first_in_set THEN outcome
+            WHEN outcome IN ('JFR', 'FDR') THEN 'SKIP_HAS_TASK'
+            WHEN outcome = 'AUTO' THEN 'SKIP_STATUS' ELSE outcome END AS outcome
+FROM two JOIN x ON x.entry_id = two.entry_id""",
+    ),
+    "events_with_task_at": _sql(
+        ["ev", "g", "v"],
+        """SELECT event_order, entry_id FROM g WHERE EXISTS (SELECT 1 FROM v
+  WHERE v.entry_id = g.entry_id AND task_type <> 'SOK' AND opened_at <= as_of
+    AND (closed_at IS NULL OR closed_at > as_of))""",
+    ),
+    "tasks_at": _sql(
+        ["v"],
+        f"""SELECT task_id, entry_id, task_type, opened_at,
+       CASE WHEN closed_at <= {_RETRY_AS_OF} THEN 'AVSLUTTET' ELSE 'AAPEN' END AS category
+FROM v WHERE opened_at <= {_RETRY_AS_OF}""",
+    ),
 }
+
+# What ``stream_settle`` does to accepted tasks is what known replies do.
+ORACLE["stream_settle_bodies"] = ORACLE["update_bodies"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +19,10 @@ from postern.operators import envelope, gates, joins, outputs, repair, retry, ro
 from postern.operators.decode import checked, decode, parse_json_events, split_faulty
 from postern.plans import intake
 from postern.schemas import JOURNAL_ENTRY, RETRY_MESSAGE
-from postern.session import STATE_STORE, session_settings, work_dir
+from postern.session import work_dir
 from postern.sources import lookups, streams, tables
 from postern.streaming import enrich, route, settle
-from postern.streaming.retry import hold_until_due
+from postern.streaming.due import DueStore, wall_clock
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -527,11 +529,8 @@ def stream_route(spark, sf_dir):
     return spark.read.parquet(f"{folder}/routed").select(*_EVENT_OUTCOME)
 
 
-@query
-def stream_settle(spark, sf_dir):
-    """The job on the event stream up to its task requests, then a stream of replies to them: what
-    follows from each reply."""
-    folder = work_dir(spark, "settle")
+def _settle(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The job on the event stream up to its task requests, then a stream of replies to them."""
     route.start(
         spark,
         _event_stream(spark, sf_dir),
@@ -543,12 +542,27 @@ def stream_settle(spark, sf_dir):
     automatic = F.col("step").isin(repair.UPDATE, repair.FINALIZE)
     replies = tables.request_replies(spark, sf_dir).join(decided, "entry_id")
     replies = replies.where(~automatic | (F.col("outcome") == routing.AUTO))
-    replies.drop("outcome").write.parquet(f"{folder}/replies")
-    stream = streams.file_stream(spark, folder, "replies", settle.REPLY_DDL)
+    replies.drop("outcome").write.parquet(f"{folder}/told")
+    stream = streams.file_stream(spark, folder, "told", settle.REPLY_DDL)
     settle.start(stream, folder).awaitTermination()
+
+
+@query
+def stream_settle(spark, sf_dir):
+    """What follows from each reply."""
+    folder = work_dir(spark, "settle")
+    _settle(spark, sf_dir, folder)
     return spark.read.parquet(f"{folder}/steps").select("entry_id", "step", "attempt", "action", "reason")
 
 
+@query
+def stream_settle_bodies(spark, sf_dir):
+    """The whole bodies of the updates that follow from accepted tasks."""
+    folder = work_dir(spark, "bodies")
+    _settle(spark, sf_dir, folder)
+    return spark.read.parquet(f"{folder}/update_bodies").select("entry_id", "body")
+
+
 @query
 def stream_enrich(spark, sf_dir):
     """Gated events with their entry's codes, batch by batch."""
@@ -561,14 +575,108 @@ def stream_enrich(spark, sf_dir):
     )
 
 
+def _due_stream(spark: SparkSession, folder: str, store: DueStore, clock: Callable[[], int]) -> DataFrame:
+    """Run the files of ``folder``/retries through a store, a batch each; the messages that were
+    handed out, with the batch and its time."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        due, now_ms = store.turn(batch.sparkSession, batch, batch_id, clock)
+        rows = due.withColumn("released_ms", F.lit(now_ms).cast("bigint"))
+        intake.write_table(batch.sparkSession, rows, f"{folder}/released/batch_id={batch_id}")
+
+    waiting = streams.file_stream(spark, folder, "retries", route.RETRY_DDL, files_per_batch=1)
+    (
+        waiting.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{folder}/released")
+
+
 @query
 def stream_retry(spark, sf_dir):
-    """Retry messages held until due; all of the test tables' are."""
+    """Retry messages held until due, without a retention; all of the test tables' are due."""
     folder = work_dir(spark, "retry")
     tables.retries(spark, sf_dir).write.parquet(f"{folder}/retries")
-    # Without batches for timers alone, the stream ends once its source is read through.
-    settings = dict([STATE_STORE, ("spark.sql.streaming.noDataMicroBatches.enabled", "false")])
-    with session_settings(spark, settings):
-        waiting = streams.file_stream(spark, folder, "retries", route.RETRY_DDL)
-        rows = hold_until_due(waiting.select("key", "value", "due_ms")).select("key", "due_ms")
-        return _written_stream(spark, rows, folder)
+    return _due_stream(spark, folder, DueStore(folder, None), wall_clock).select("key", "due_ms")
+
+
+@query
+def stream_retry_held(spark, sf_dir):
+    """Messages that come in two batches at two points in time: handed out at which of them, expired,
+    or still waiting."""
+    folder = work_dir(spark, "held")
+    rows = tables.retries(spark, sf_dir)
+    odd = F.abs(F.col("key").cast("bigint")) % 2 == 1
+    for n, some in enumerate((~odd, odd)):
+        rows.where(some).coalesce(1).write.mode("append").parquet(f"{folder}/retries")
+        time.sleep(0.05)  # files are taken in the order of their times
+    times = iter([tables.RETRY_FIRST_MS, tables.RETRY_AS_OF_MS])
+    store = DueStore(folder)
+    released = _due_stream(spark, folder, store, lambda: next(times))
+    expired = spark.read.parquet(f"{folder}/expired")
+    none = F.lit(None).cast("bigint").alias("released_ms")
+    state = lambda name: F.lit(name).alias("state")
+    return (
+        released.select("key", "due_ms", state("released"), "released_ms")
+        .unionByName(expired.select("key", "due_ms", state("expired"), none))
+        .unionByName(store.waiting(spark, 1).select("key", "due_ms", state("waiting"), none))
+    )
+
+
+def _sliced(spark: SparkSession, sf_dir: str, folder: str, slices: int, only: int | None = None) -> None:
+    """The events in files, by event id; one file if ``only`` says which."""
+    events = tables.table(spark, sf_dir, "events")
+    least, most = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = ((most or 0) - (least or 0)) // slices + 1
+    for n in range(slices) if only is None else [only]:
+        begin = (least or 0) + n * step
+        part = events.where((F.col("event_id") >= begin) & (F.col("event_id") < begin + step))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        time.sleep(0.05)
+
+
+def _route_files(spark: SparkSession, folder: str, read_lookups) -> None:
+    rows = streams.file_stream(spark, folder, "in", tables.SCHEMAS["events"], files_per_batch=1)
+    route.start(spark, rows.selectExpr(*tables.EVENT_COLUMNS), read_lookups, folder).awaitTermination()
+
+
+@query
+def stream_route_batches(spark, sf_dir):
+    """The whole job in nine batches, of which the first eight are merged into one run of earlier
+    decisions: what one batch gives."""
+    folder = work_dir(spark, "batches")
+    _sliced(spark, sf_dir, folder, 9)
+    _route_files(spark, folder, lambda session: intake.table_lookups(session, sf_dir))
+    return spark.read.parquet(f"{folder}/routed").select("event_order", "entry_id", "outcome", "reason")
+
+
+@query
+def stream_closed_tasks(spark, sf_dir):
+    """The job on the first half of the events, then on the second, when the live table shows most
+    of the tasks that the first half asked for, half of them closed: closed ones free their entry."""
+    folder = work_dir(spark, "closed")
+    base = intake.table_lookups(spark, sf_dir)
+    dated = base.tasks.withColumn("opened_at", F.lit(None).cast("timestamp_ntz"))
+    _sliced(spark, sf_dir, folder, 2, only=0)
+    _route_files(spark, folder, lambda _: replace(base, tasks=dated))
+    made = tables.tasks_of(spark.read.parquet(f"{folder}/decisions"))
+    _sliced(spark, sf_dir, folder, 2, only=1)
+    _route_files(spark, folder, lambda _: replace(base, tasks=dated.unionByName(made)))
+    routed = spark.read.parquet(f"{folder}/routed").where("batch_id = 1")
+    return routed.select(*_EVENT_OUTCOME)
+
+
+@query
+def events_with_task_at(spark, sf_dir):
+    """Gated events whose entry had an open task at the event's time."""
+    found = lookups.events_with_task_at(_gated(spark, sf_dir), tables.task_versions(spark, sf_dir))
+    return found.select("event_order", "entry_id")
+
+
+@query
+def tasks_at(spark, sf_dir):
+    """Tasks as a search at one time finds them."""
+    return lookups.tasks_at(tables.task_versions(spark, sf_dir), _retry_as_of())

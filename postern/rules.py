@@ -43,6 +43,7 @@ GROUP_NATIONAL = "FOLKEREGISTERIDENT"
 TASK_JOURNALING = "JFR"
 TASK_DISTRIBUTION = "FDR"
 TASK_OPEN = "AAPEN"
+TASK_CLOSED = "AVSLUTTET"
 BLOCKING_TASK_TYPES = [TASK_JOURNALING, TASK_DISTRIBUTION]
 MANUAL_DEADLINE_DAYS = 1
 PRIORITY = "NORM"

@@ -8,7 +8,7 @@ entries     entry_id, status, theme, unit, title, preset_theme, sender_id, sende
             party_id, party_type, n_documents, form_code, titles_ok, entry_ok
 documents   entry_id, doc_order (any orderable type), form_code, title
 identities  party_id, identities array<struct<grp, ident, current>>
-tasks       task_id, entry_id, category, task_type
+tasks       task_id, entry_id, category, task_type, opened_at timestamp_ntz (may be absent)
 hierarchy   theme, form_code, term
 answers     entry_id, attempt, http_status, message
 archive     entry_id, step (update, finalize), http_status

@@ -9,13 +9,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Stateful streaming needs a state store that supports timers.
-STATE_STORE = (
-    "spark.sql.streaming.stateStore.providerClass",
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-)
-
-
 def local_session(cores: int | str = "*", app: str = "postern", **settings: str) -> SparkSession:
     """Session for tests and the benchmark. On a cluster the submitter's settings apply; the
     package relies on adaptive execution, which is on by default."""
@@ -27,7 +20,6 @@ def local_session(cores: int | str = "*", app: str = "postern", **settings: str)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config(*STATE_STORE)
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postern.functions import documents as D
 from postern.functions import parties as P
 from postern.functions.text import is_empty
-from postern.rules import BLOCKING_TASK_TYPES, TASK_OPEN, TERM_LANGUAGE
+from postern.rules import BLOCKING_TASK_TYPES, TASK_CLOSED, TASK_OPEN, TERM_LANGUAGE
 from postern.schemas import CODE_TREE
 
 ENTRY_COLUMNS = [
@@ -125,6 +125,31 @@ def open_tasks(tasks: DataFrame) -> DataFrame:
     )
 
 
+def tasks_at(versions: DataFrame, as_of: Column) -> DataFrame:
+    """The tasks as a search at a time finds them, from their times (``task_id``, ``entry_id``,
+    ``task_type``, ``opened_at``, ``closed_at``): plain comparisons, so they reach the scan."""
+    closed = F.coalesce(F.col("closed_at") <= as_of, F.lit(False))
+    return versions.where(F.col("opened_at") <= as_of).select(
+        "task_id",
+        "entry_id",
+        F.when(closed, TASK_CLOSED).otherwise(TASK_OPEN).alias("category"),
+        "task_type",
+        "opened_at",
+    )
+
+
+def events_with_task_at(events: DataFrame, versions: DataFrame) -> DataFrame:
+    """The events whose entry had an open task at the event's own time. A semi join by entry, with
+    the times tested per pair; an event is never repeated."""
+    tasks = versions.where(F.col("task_type").isin(*BLOCKING_TASK_TYPES)).select(
+        F.col("entry_id").alias("_entry"), "opened_at", "closed_at"
+    )
+    was_open = (F.col("opened_at") <= F.col("as_of")) & (
+        F.col("closed_at").isNull() | (F.col("closed_at") > F.col("as_of"))
+    )
+    return events.join(tasks, (F.col("entry_id") == F.col("_entry")) & was_open, "left_semi")
+
+
 def entries_with_open_task(tasks: DataFrame) -> DataFrame:
     """Distinct entry ids, reduced on the map side before any join."""
     return open_tasks(tasks).where(F.col("task_id").isNotNull()).select("entry_id").distinct()

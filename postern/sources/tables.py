@@ -63,6 +63,9 @@ CODE_TERMS = {
 
 # Point in time at which retry messages of the test tables are looked at.
 RETRY_AS_OF = "TIMESTAMP_NTZ'2024-01-21 00:00:00'"
+# The same in ms, and ten days earlier.
+RETRY_AS_OF_MS = 1705795200000
+RETRY_FIRST_MS = 1704931200000
 
 # Unit of an entry in the test tables.
 _UNIT = """CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  '
@@ -195,6 +198,37 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def task_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tasks with the times between which they are open; those not finished have no end."""
+    opened = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(CAST((l_partkey + l_linenumber) % 40 AS INT))"
+    return (
+        table(spark, sf_dir, "lineitem")
+        .where("l_partkey % 10 = 0")
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS task_id",
+            "CAST(l_orderkey AS STRING) AS entry_id",
+            "CASE l_returnflag WHEN 'A' THEN 'JFR' WHEN 'R' THEN 'FDR' ELSE 'SOK' END AS task_type",
+            f"{opened} AS opened_at",
+            f"""CASE WHEN l_linestatus <> 'O'
+                THEN {opened} + make_dt_interval(CAST(l_suppkey % 10 AS INT)) END AS closed_at""",
+        )
+    )
+
+
+def tasks_of(decisions: DataFrame) -> DataFrame:
+    """What the live table shows of the tasks that decisions asked for, an hour after: every ninth
+    entry's not yet, those of even entries closed."""
+    entry = F.col("entry_id").cast("bigint")
+    made = decisions.where(F.col("outcome").isin(*rules.BLOCKING_TASK_TYPES) & (entry % 9 != 0))
+    return made.select(
+        F.concat(F.lit("new-"), "entry_id").alias("task_id"),
+        "entry_id",
+        F.when(entry % 2 == 0, rules.TASK_CLOSED).otherwise(rules.TASK_OPEN).alias("category"),
+        F.col("outcome").alias("task_type"),
+        (F.col("as_of") + F.expr("INTERVAL '1' HOUR")).alias("opened_at"),
+    )
+
+
 # What the event types of the test tables stand for.
 EVENT_TYPES = {
     "click": "Mottatt",

@@ -4,58 +4,103 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postern import rules
+from postern.functions.dates import from_epoch_ms
+from postern.operators import joins, routing
 from postern.operators.decode import checked, decode, split_faulty
 from postern.operators.retry import read_events
+from postern.plans import intake
 from postern.plans.intake import Lookups, run_batch, write_table
-from postern.streaming.retry import hold_until_due
-from postern.streaming.settle import GIVE_UP, table_if_there
+from postern.streaming.due import MESSAGE, DueStore, wall_clock
+from postern.streaming.settle import GIVE_UP, step_log
+from postern.streaming.state import RunLog, buckets_of, table_if_there
 
-RETRY_DDL = "key string, value string, due_ms bigint, enqueued_at timestamp_ntz"
+RETRY_DDL = MESSAGE
+MESSAGE_COLUMNS = [c.split()[0] for c in MESSAGE.split(", ")]
+# What a row of the stream is.
+EVENT, RETRY_MESSAGE, TICK = "event", "retry", "tick"
+
+
+def made_log(folder: str) -> RunLog:
+    """What the batches decided to request, by entry."""
+    outcomes = rules.sql_list(routing.TASK_OUTCOMES)
+    columns = "entry_id string, outcome string, as_of timestamp_ntz, batch_id bigint"
+    return RunLog(folder, "decisions", "batch_id", columns, f"outcome IN ({outcomes})")
+
+
+def replies_seen(spark: SparkSession, folder: str, batch_id: int) -> int:
+    """How many reply batches were done when this batch was first handled. Written down, so that a
+    replay takes the same number; counted on from what the batch before saw."""
+
+    def told(batch: int) -> int | None:
+        table = table_if_there(spark, f"{folder}/seen/batch_id={batch}", "reply_batches bigint")
+        row = None if table is None else table.first()
+        return row and row.reply_batches
+
+    known = told(batch_id)
+    if known is not None:
+        return known
+    seen = told(batch_id - 1) or 0
+    while table_if_there(spark, f"{folder}/replies_done/reply_batch={seen}", "n_steps bigint") is not None:
+        seen += 1
+    one = spark.range(1).select(F.lit(seen).cast("bigint").alias("reply_batches"))
+    one.coalesce(1).write.mode("overwrite").parquet(f"{folder}/seen/batch_id={batch_id}")
+    return seen
 
 
 def earlier_decisions(
-    spark: SparkSession, folder: str, batch_id: int, lag: int | None = None
+    spark: SparkSession, folder: str, batch_id: int, ids: DataFrame | None = None
 ) -> DataFrame | None:
-    """Decisions of the batches before this one, at most ``lag`` batches back. Its own, left by
-    a failed attempt, and any later ones do not count: a replay sees what the first attempt
-    saw. Only the folders of those batches are read. Decisions whose requests were refused
-    (``streaming.settle``) left nothing behind and do not count either."""
-    written = table_if_there(spark, f"{folder}/decisions", "entry_id string, outcome string, batch_id bigint")
-    if written is None:
+    """Requests of the batches before this one (entry_id, outcome, as_of). Its own, left by a failed
+    attempt, and any later ones do not count: a replay sees what the first attempt saw. They lie in
+    few runs (``streaming.state``), of which a small batch, with the entries ``ids``, reads its
+    buckets only. Requests that were refused (``streaming.settle``) left nothing behind and do not
+    count either."""
+    buckets = None if ids is None else buckets_of(ids)
+    earlier = made_log(folder).read(spark, batch_id, buckets)
+    if earlier is None:
         return None
-    oldest = 0 if lag is None else batch_id - lag
-    earlier = written.where(F.col("batch_id").between(oldest, batch_id - 1))
-    steps = table_if_there(spark, f"{folder}/steps", "entry_id string, batch_id bigint, action string")
+    steps = step_log(folder).read(spark, replies_seen(spark, folder, batch_id), buckets)
     if steps is not None:
-        refused = steps.where((F.col("action") == GIVE_UP) & (F.col("batch_id") >= oldest))
+        refused = steps.where(F.col("action") == GIVE_UP)
         earlier = earlier.join(refused, ["entry_id", "batch_id"], "left_anti")
-    return earlier.select("entry_id", "outcome")
+    return earlier.select("entry_id", "outcome", "as_of")
 
 
 def handle_batch(
     folder: str,
     read_lookups: Callable[[SparkSession], Lookups],
-    lag: int | None = None,
     await_replies: bool = False,
+    clock: Callable[[], int] = wall_clock,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function. The lookups are read anew for every batch.
+    """``foreachBatch`` function. The lookups are read anew for every batch; where they do not show
+    yet what earlier batches requested, the earlier decisions are consulted.
 
-    ``lag`` is the number of batches after which the lookups themselves show what a batch did;
-    without it they are taken not to, and all earlier decisions are consulted.
-    """
+    Rows with a ``kind`` are told apart by it: events, and retry messages, which wait in a store
+    (``streaming.due``) until they are due. ``clock`` gives the time in ms of a batch that is handled
+    for the first time."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"batch_id={batch_id}"
-        received = write_table(spark, batch, f"{folder}/events/{part}")
+        if "kind" in batch.columns:
+            messages = batch.where(F.col("kind") == RETRY_MESSAGE)
+            due, now_ms = DueStore(f"{folder}/due").turn(spark, messages, batch_id, clock)
+            again = read_events(due, from_epoch_ms(F.lit(now_ms))).withColumn("is_retry", F.lit(True))
+            came = batch.where(F.col("kind") == EVENT).drop("kind", *MESSAGE_COLUMNS)
+            batch = came.unionByName(again, allowMissingColumns=True)
+        # The row's number makes the order of events unique; the written table fixes it.
+        numbered = batch.withColumn("event_tie", F.monotonically_increasing_id())
+        received = write_table(spark, numbered, f"{folder}/events/{part}")
         events, faulty = split_faulty(received)
         write_table(spark, faulty, f"{folder}/quarantine/{part}")
-        earlier = earlier_decisions(spark, folder, batch_id, lag)
+        ids = joins.keys_of(events).select("entry_id")
+        small = ids.count() <= intake.MAX_BROADCAST_IDS
+        earlier = earlier_decisions(spark, folder, batch_id, ids if small else None)
         delay = F.when(F.col("is_retry"), F.expr(rules.NEXT_RETRY_DELAY)).otherwise(
             F.expr(rules.FIRST_RETRY_DELAY)
         )
@@ -69,6 +114,7 @@ def handle_batch(
             delay=delay,
             await_replies=await_replies,
         )
+        made_log(folder).merge(spark, batch_id)
 
     return handle
 
@@ -86,36 +132,38 @@ def start(
     read_lookups: Callable[[SparkSession], Lookups],
     folder: str,
     with_retries: bool = False,
-    lag: int | None = None,
-    handled_at: Column | None = None,
     await_replies: bool = False,
+    clock: Callable[[], int] = wall_clock,
     **trigger,
 ) -> StreamingQuery:
     """Start the intake stream; outputs and the checkpoint go below ``folder``.
 
     ``with_retries`` reads the job's own retry table back as a second source, held until due
     and not gated. Both sources share one query, so two batches never race for one entry. Retries
-    are handled at ``handled_at``, by default the time of their batch, which the checkpoint keeps
-    for a replay; those that can't be read go to the quarantine table like events. With
-    ``await_replies`` the job only requests tasks; ``streaming.settle`` follows up the replies, and
-    what it gives up comes back as a retry too.
+    are handled at the time of their batch, which is written down for a replay; those that can't be
+    read go to the quarantine table like events, those past their retention to ``due/expired``. A
+    query that goes on by itself gets a tick a second, so that what is due need not wait for other
+    events: choose its trigger interval as the delay that retries may have. With ``await_replies``
+    the job only requests tasks; ``streaming.settle`` follows up the replies, and what it gives up
+    comes back as a retry too.
     """
+    trigger = trigger or {"availableNow": True}
     events = decode(checked(wire_events)).withColumn("is_retry", F.lit(False))
     if with_retries:
         prepare(spark, folder)
         waiting = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/retries")
-        now = F.localtimestamp() if handled_at is None else handled_at
         if await_replies:
             refused = spark.readStream.schema(RETRY_DDL).parquet(f"{folder}/reply_retries")
             waiting = waiting.union(refused)
-        due = read_events(hold_until_due(waiting.select("key", "value", "due_ms")), now)
-        again = due.withColumn("is_retry", F.lit(True))
-        events = events.unionByName(again, allowMissingColumns=True)
+        messages = waiting.select(*MESSAGE_COLUMNS).withColumn("kind", F.lit(RETRY_MESSAGE))
+        events = events.withColumn("kind", F.lit(EVENT)).unionByName(messages, allowMissingColumns=True)
+        if "processingTime" in trigger:
+            ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+            kinds = ticks.select(F.lit(TICK).alias("kind"))
+            events = events.unionByName(kinds, allowMissingColumns=True)
     return (
-        events.writeStream.foreachBatch(handle_batch(folder, read_lookups, lag, await_replies))
+        events.writeStream.foreachBatch(handle_batch(folder, read_lookups, await_replies, clock))
         .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**trigger)
         .start()
     )
-
-

@@ -26,3 +26,17 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_without_a_package_of_the_operators(monkeypatch):
+    import importlib
+    import sys
+
+    import __spark_entry__
+
+    with monkeypatch.context() as m:
+        for name in ("postern.llm.queries", "corpus_pipeline"):
+            m.delitem(sys.modules, name, raising=False)
+        m.setitem(sys.modules, "public_tokenizers", None)
+        assert set(importlib.reload(__spark_entry__).queries()) == set(QUERIES)
+    importlib.reload(__spark_entry__)

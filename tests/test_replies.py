@@ -112,6 +112,26 @@ def test_accepted_tasks_lead_to_updates_then_finalizations(job):
     assert ids("reply_retries", "key") == []
 
 
+def test_replies_open_their_batches_only(job, spark, monkeypatch):
+    run, reply, ids = job
+    run(0, [(1, 1)])
+    run(1, [(2, 2)])
+    opened = []
+    real = settle.in_batches
+
+    def watched(spark, path, rows):
+        out = real(spark, path, rows)
+        opened.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(settle, "in_batches", watched)
+    reply(("2", 1, "task", 1, 201, None))
+    plan = opened[0][opened[0].index("PartitionFilters") :].split("]")[0]
+    assert "batch_id" in plan and "1" in plan
+    (body,) = (json.loads(b) for b in ids("update_bodies", "body"))
+    assert body["journalpostId"] == "2" and body["sak"]["sakstype"] == "GENERELL_SAK"
+
+
 def test_refused_task_is_retried_and_leaves_nothing(job, spark):
     run, reply, ids = job
     run(0, [(1, 1), (2, 2)])

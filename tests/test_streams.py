@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import time
 import uuid
+from dataclasses import replace
 
 import fixtures as X
 import pytest
@@ -14,7 +15,8 @@ from postern.plans.queries import QUERIES
 from postern.session import work_dir
 from postern.sources import streams, tables
 from postern.streaming import route
-from postern.streaming.retry import hold_until_due
+from postern.streaming.due import DueStore
+from postern.streaming.state import FANOUT, RunLog
 from pyspark.sql import functions as F
 
 
@@ -86,6 +88,18 @@ def test_replayed_batch_changes_nothing(batches):
     assert table("journal_updates").count() == table("finalizations").count() == 1
 
 
+def test_events_of_one_order_give_one_first(batches, spark):
+    """Offsets of two sources may agree; even rows that are equal in everything are told apart."""
+    run, table = batches
+    run(0, [(1, 1), (1, 1), (1, 1), (2, 2), (2, 2)])
+    assert sorted(r.outcome for r in table("routed").collect()) == ["AUTO", "JFR", "SKIP_HAS_TASK", "SKIP_HAS_TASK", "SKIP_STATUS"]
+    assert table("task_requests").count() == 2
+    rows = [(1, X.WEDNESDAY_MORNING, 1, kind, "SYK") for kind in ("Mottatt", "JournalpostMottatt")]
+    source = X.make_lookups(spark, [X.entry("1", code=X.MANUAL_CODE)], [X.person("100")])
+    routed = intake.route_events(intake.gated_events(X.wire(spark, rows)), source)
+    assert sorted(r.outcome for r in routed.collect()) == ["JFR", "SKIP_HAS_TASK"]
+
+
 def test_large_batch_without_broadcast(batches, monkeypatch):
     run, table = batches
     monkeypatch.setattr(intake, "MAX_BROADCAST_IDS", 1)
@@ -104,31 +118,104 @@ def _wait(condition, seconds=90):
     return False
 
 
-def test_message_is_held_until_due(spark):
-    folder = work_dir(spark, "hold")
-    now = int(time.time() * 1000)
-    rows = [("past", "a", now - 1000), ("soon", "early", now + 1000), ("soon", "b", now + 15_000),
-            ("later", "c", now + 3_600_000)]
-    ddl = "key string, value string, due_ms bigint"
-    spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{folder}/in")
-    name = "held" + uuid.uuid4().hex
-    stream = (
-        hold_until_due(streams.file_stream(spark, folder, "in", spark.read.parquet(f"{folder}/in").schema))
-        .withColumn("seen_ms", F.unix_millis(F.current_timestamp()))
-        .writeStream.format("memory")
-        .queryName(name)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(processingTime="1 second")
-        .start()
-    )
-    try:
-        assert _wait(lambda: spark.table(name).where("key = 'soon'").count() == 1)
-        got = {r.key: r for r in spark.table(name).collect()}
-    finally:
-        stream.stop()
-    assert set(got) == {"past", "soon"}
-    assert got["soon"].value == "b"
-    assert got["soon"].seen_ms >= now + 15_000
+MINUTE = 60_000
+
+
+def test_messages_are_held_until_due(spark):
+    """Later ones of a key replace earlier ones, replays change nothing, what is past its retention is
+    recorded once."""
+    store = DueStore(work_dir(spark, "due"), "INTERVAL '2' HOUR")
+    start = dt.datetime(2024, 1, 10, 9, 30)
+    t0 = int(start.replace(tzinfo=dt.UTC).timestamp() * 1000)
+
+    def turn(batch_id, minute, *rows):
+        came = [(k, v, t0 + int(due * MINUTE), start + dt.timedelta(minutes=at)) for k, v, due, at in rows]
+        due, now_ms = store.turn(spark, spark.createDataFrame(came, route.RETRY_DDL), batch_id, lambda: t0 + minute * MINUTE)
+        return sorted((r.key, r.value) for r in due.collect()), (now_ms - t0) / MINUTE
+
+    def expired():
+        return sorted(r.key for r in spark.read.parquet(f"{store.folder}/expired").collect())
+
+    first = [("past", "a", -1, -1), ("soon", "early", 1, 0), ("soon", "b", 15, 0), ("later", "c", 110, 0), ("never", "d", 500, 0), ("far", "e", 10**12, 0)]
+    assert turn(0, 0, *first) == ([("past", "a")], 0)
+    assert turn(1, 10) == ([], 10)
+    assert turn(2, 16, ("later", "sooner", 17, 15)) == ([("soon", "b")], 16)
+    assert turn(2, 99, ("later", "sooner", 17, 15)) == ([("soon", "b")], 16)  # a replay keeps its time
+    assert turn(0, 99, *first) == ([("past", "a")], 0)
+    assert turn(3, 50) == ([], 50)
+    assert turn(4, 40, ("soon", "again", 45, 40)) == ([("soon", "again")], 50)  # the clock never goes back
+    assert {r.key for r in store.waiting(spark, 4).collect()} == {"later", "never", "far"}
+    assert expired() == []
+    restarted = DueStore(store.folder, store.retention)
+    assert restarted == store
+    assert turn(5, 111, ("late", "f", 60, -30)) == ([("later", "c")], 111)
+    assert expired() == ["late"]
+    assert turn(6, 300) == ([], 300)
+    assert turn(6, 300) == ([], 300)
+    assert expired() == ["far", "late", "never"]
+    assert turn(7, 400) == ([], 400) and expired() == ["far", "late", "never"]
+    assert store.waiting(spark, 7).count() == 0
+
+
+def test_due_store_plans_no_python_and_sorts_no_payload(spark):
+    store = DueStore(work_dir(spark, "due"))
+    rows = spark.createDataFrame([("k", "v", 1, dt.datetime(2024, 1, 10))], route.RETRY_DDL)
+    due, _ = store.turn(spark, rows, 0, lambda: 2)
+    plan = due._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "HashAggregate" in plan
+    assert "PartitionFilters" in plan
+
+
+def test_few_files_hold_many_batches(spark):
+    """Fifty batches; any batch, a replay too, reads what went before it from a bounded number of runs."""
+    folder = work_dir(spark, "log")
+    log = RunLog(folder, "made", "n", "entry_id string, outcome string, n bigint", "outcome <> 'SKIP'")
+    rows = lambda n: [(f"e{n}", "JFR"), (f"e{n % 7}", "AUTO"), (f"s{n}", "SKIP")]
+    for n in range(50):
+        made = spark.createDataFrame(rows(n), "entry_id string, outcome string").coalesce(1)
+        made.write.parquet(f"{folder}/made/n={n}")
+        log.merge(spark, n)
+        assert len(log.runs(n)) <= 2 * (FANOUT - 1)
+    want = lambda n: sorted((e, o, i) for i in range(n) for e, o in rows(i) if o != "SKIP")
+    for n in (1, 7, 8, 9, 37, 50):
+        assert sorted(map(tuple, log.read(spark, n).collect())) == want(n)
+    assert log.read(spark, 0) is None
+    log.merge(spark, 47)  # a replay writes the same run again
+    assert sorted(map(tuple, log.read(spark, 50).collect())) == want(50)
+    from postern.streaming.state import buckets_of
+
+    ids = spark.createDataFrame([("e3",)], "entry_id string")
+    found = log.read(spark, 48, buckets_of(ids))
+    assert {tuple(r) for r in found.where("entry_id = 'e3'").collect()} == {r for r in want(48) if r[0] == "e3"}
+    assert found.count() < len(want(48))
+    assert len(log.runs(10**6)) <= 7 * (FANOUT - 1)
+
+
+def test_a_closed_task_frees_its_entry(spark):
+    """An own request holds the entry until the live table shows it; then its task does, while open."""
+    wednesday = X.WEDNESDAY_MORNING
+    shown = wednesday + dt.timedelta(minutes=5)
+    tasks = [("t0", "1", "AVSLUTTET", "JFR", wednesday - dt.timedelta(days=1))]  # an older one
+    rows = [X.entry("1", code=X.MANUAL_CODE), X.entry("2", code=X.MANUAL_CODE)]
+    schema = f"{X.TASKS}, opened_at timestamp_ntz"
+    out = work_dir(spark, "closed")
+
+    def run(batch_id, orders):
+        source = X.make_lookups(spark, rows, [X.person("100")])
+        source = replace(source, tasks=spark.createDataFrame(tasks, schema))
+        now = wednesday + dt.timedelta(minutes=10 * batch_id)
+        wire = X.wire(spark, [(o, now, e, "Mottatt", "SYK") for o, e in orders])
+        route.handle_batch(out, lambda s: source)(decode(checked(wire)).withColumn("is_retry", F.lit(False)), batch_id)
+        routed = spark.read.parquet(f"{out}/routed").where(F.col("batch_id") == batch_id)
+        return {r.event_order: r.outcome for r in routed.collect()}
+
+    assert run(0, [(1, 1), (2, 2)]) == {1: "JFR", 2: "JFR"}
+    assert run(1, [(3, 1)]) == {3: "SKIP_HAS_TASK"}  # asked for, not shown yet
+    tasks.append(("t1", "1", "AAPEN", "JFR", shown))
+    assert run(2, [(4, 1)]) == {4: "SKIP_HAS_TASK"}
+    tasks[-1] = ("t1", "1", "AVSLUTTET", "JFR", shown)
+    assert run(3, [(5, 1), (6, 1), (7, 2)]) == {5: "JFR", 6: "SKIP_HAS_TASK", 7: "SKIP_HAS_TASK"}
+    assert run(4, [(8, 1)]) == {8: "SKIP_HAS_TASK"}  # the second task is not shown yet
 
 
 def test_failed_entry_is_retried_until_it_works(spark):
