@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from postern.functions.text import term_malformed, term_part
 from postern.operators.skew import (
     EVENTS_PER_TASK,
+    ROWS_PER_TASK,
     hot_entries,
+    hot_keys,
     salted_left_join,
     sparse_left_join,
 )
@@ -107,12 +109,18 @@ def with_codes(entries: DataFrame, hierarchy: DataFrame) -> DataFrame:
 LOOKUP_PARTY = f"coalesce(party_type <> '{PARTY_ORGANISATION}', false)"
 
 
+def hot_parties(entries: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, salts) of the parties that very many entries look up."""
+    return hot_keys(entries.where(LOOKUP_PARTY), F.col("party_id"), per_task)
+
+
 def with_identities(
-    entries: DataFrame, identities: DataFrame, wanted: str = "true"
+    entries: DataFrame, identities: DataFrame, wanted: str = "true", hot: DataFrame | None = None
 ) -> DataFrame:
     """Left join on the party, for entries that need it only. The others have no key and are
-    spread over all partitions. A party with very many entries is left to adaptive skew
-    handling, which applies here: both sides come out of a shuffle."""
+    spread over all partitions. Parties with very many entries are dealt out over several tasks if
+    the caller knows them (``hot_parties`` of a written table); without, adaptive skew handling
+    applies, as both sides come out of a shuffle."""
     joined = sparse_left_join(
         entries,
         identity_facts(identities),
@@ -120,5 +128,6 @@ def with_identities(
         key=F.col("party_id"),
         otherwise=F.col("entry_id"),
         lookup_key="party_id",
+        hot=hot,
     )
     return _flags(joined, person_found=False, identities_ok=True)

@@ -95,6 +95,7 @@ def decide(
     tasks: DataFrame,
     hierarchy: DataFrame,
     form_rules: DataFrame,
+    hot_parties: DataFrame | None = None,
 ) -> DataFrame:
     """One decided row per key. ``keys`` needs ``entry_id``; its other columns are kept.
 
@@ -105,7 +106,7 @@ def decide(
     facts = joins.with_open_task(facts, tasks)
     facts = joins.with_form_rules(facts, form_rules)
     facts = joins.with_codes(facts, hierarchy)
-    facts = joins.with_identities(facts, identities, NEEDS_IDENTITIES)
+    facts = joins.with_identities(facts, identities, NEEDS_IDENTITIES, hot_parties)
     return decided(facts)
 
 

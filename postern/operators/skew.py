@@ -52,15 +52,53 @@ def salted_left_join(events: DataFrame, lookup: DataFrame, hot: DataFrame) -> Da
     )
 
 
+#: Rows of one lookup key that one task takes, counters of the sketch in each task, and the most
+#: keys that are split; of a billion rows no more can be hot, and others are left to adaptive skew
+#: handling.
+ROWS_PER_TASK, MAX_TRACKED, MAX_HOT = 1_000_000, 10_000, 1000
+
+
+def hot_keys(rows: DataFrame, key: Column, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, salts) of the keys with more than ``per_task`` rows, by a mergeable sketch of frequent
+    items: each task keeps at most MAX_TRACKED counters, which are merged, so nothing is shuffled by
+    key. Its counts are bounds from above; a key that is none too hot only gets a salt too many."""
+    sketch = F.expr(f"approx_top_k(_key, {MAX_HOT}, {MAX_TRACKED})")
+    found = rows.select(key.alias("_key")).where("_key IS NOT NULL").agg(sketch.alias("top"))
+    items = found.select(F.explode("top").alias("x")).select(F.col("x.item").alias("key"), F.col("x.count").alias("n"))
+    return items.where(F.col("n") > per_task).select("key", salts_for(F.col("n"), per_task).alias("salts"))
+
+
 def sparse_left_join(
-    rows: DataFrame, lookup: DataFrame, wanted: Column, key: Column, otherwise: Column, lookup_key: str
+    rows: DataFrame,
+    lookup: DataFrame,
+    wanted: Column,
+    key: Column,
+    otherwise: Column,
+    lookup_key: str,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` left join ``lookup`` on ``key``, for the ``wanted`` rows only.
 
     The others would all share the partition of NULL; they take part under ``otherwise``, which
-    only has to spread them, and the join condition keeps them from matching.
+    only has to spread them, and the join condition keeps them from matching. Rows of the ``hot``
+    keys (``hot_keys``, at most MAX_HOT rows, so they are broadcast) are dealt out by
+    ``otherwise`` too, and their lookup row is repeated for each part.
     """
     left = rows.withColumns({"_wanted": wanted, "_key": F.when(wanted, key).otherwise(otherwise)})
     right = lookup.withColumnRenamed(lookup_key, "_lookup_key")
     match = F.col("_wanted") & (F.col("_key") == F.col("_lookup_key"))
-    return left.join(right, match, "left").drop("_wanted", "_key", "_lookup_key")
+    if hot is None:
+        return left.join(right, match, "left").drop("_wanted", "_key", "_lookup_key")
+    salts = F.broadcast(hot.select(F.col("key").alias("_hot"), F.col("salts").alias("_salts")))
+    part = F.when(
+        F.col("_wanted") & F.col("_salts").isNotNull(), F.pmod(F.xxhash64(otherwise), F.col("_salts").cast("bigint"))
+    ).otherwise(F.lit(0).cast("bigint"))
+    left = left.join(salts, F.col("_key") == F.col("_hot"), "left").withColumn("_part", part).drop("_hot", "_salts")
+    last = F.coalesce("_salts", F.lit(1)).cast("bigint") - 1
+    right = (
+        right.join(salts, F.col("_lookup_key") == F.col("_hot"), "left")
+        .withColumn("_lookup_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .drop("_hot", "_salts")
+    )
+    match = match & (F.col("_part") == F.col("_lookup_part"))
+    return left.join(right, match, "left").drop("_wanted", "_key", "_lookup_key", "_part", "_lookup_part")

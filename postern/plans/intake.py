@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postern import rules
-from postern.operators import joins, outputs, repair, retry, routing
+from postern.operators import bitmap, joins, outputs, repair, retry, routing
 from postern.operators.decode import checked, decode, split_faulty
 from postern.sources import tables
 from postern.sources.lookups import broadcast_if_small, entries_with_documents
@@ -28,6 +28,8 @@ class Lookups:
     rules: DataFrame
     # Nested rows (``schemas.JOURNAL_ENTRY``), for the whole bodies of the updates.
     snapshot: DataFrame | None = None
+    # Parties of very many entries (``joins.hot_parties``), where they are known.
+    hot_parties: DataFrame | None = None
 
     @property
     def entries(self) -> DataFrame:
@@ -66,6 +68,7 @@ def decide_keys(keys: DataFrame, lookups: Lookups) -> DataFrame:
         lookups.tasks,
         lookups.hierarchy,
         lookups.rules,
+        lookups.hot_parties,
     )
 
 
@@ -178,22 +181,32 @@ def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
 def cut_to(lookups: Lookups, ids: DataFrame) -> tuple[Lookups, bool]:
     """Lookups for a batch of events with these entry ids, and whether the ids are few enough to be
     broadcast for it (``MAX_BROADCAST_IDS``)."""
-    small = ids.count() <= MAX_BROADCAST_IDS
-    return restricted(lookups, ids, small), small
+    n = ids.count()
+    small = n <= MAX_BROADCAST_IDS
+    return restricted(lookups, ids, None if small else n), small
 
 
-def restricted(lookups: Lookups, ids: DataFrame, small: bool = True) -> Lookups:
+def restricted(lookups: Lookups, ids: DataFrame, many: int | None = None) -> Lookups:
     """Lookups cut to the entry ids of a batch.
 
-    ``small`` ids, whose number the caller has checked, are broadcast, and the optimizer moves the
-    semi join below the document aggregate, to the scan; others meet the tables in the shuffle that
-    the joins by entry need anyway.
+    Few ids, whose number the caller has checked, are broadcast, and the optimizer moves the semi
+    join below the document aggregate, to the scan. Of ``many`` ids a bitmap of bounded size is
+    broadcast: it drops the bulk of the tables where they are scanned, and the rest meets the ids in
+    the shuffle by entry that the joins need anyway.
     """
     ids = ids.select("entry_id").distinct()
-    ids = F.broadcast(ids) if small else ids
+    if many is None:
+        ids = F.broadcast(ids)
+    else:
+        bits = bitmap.bits_for(many)
+        maps = bitmap.bitmap(ids, F.col("entry_id"), bits)
 
     def cut(df: DataFrame | None) -> DataFrame | None:
-        return None if df is None else df.join(ids, "entry_id", "left_semi")
+        if df is None:
+            return None
+        if many is not None:
+            df = bitmap.with_maybe(df, F.col("entry_id"), maps, bits).where("maybe").drop("maybe")
+        return df.join(ids, "entry_id", "left_semi")
 
     return replace(
         lookups,
@@ -210,7 +223,8 @@ def with_entries(lookups: Lookups, entries: DataFrame, small: bool) -> Lookups:
     parties = entries.select("party_id").where("party_id IS NOT NULL").distinct()
     parties = F.broadcast(parties) if small else parties
     identities = lookups.identities.join(parties, "party_id", "left_semi")
-    return replace(lookups, journal=entries, documents=None, identities=identities)
+    hot = joins.hot_parties(entries)
+    return replace(lookups, journal=entries, documents=None, identities=identities, hot_parties=hot)
 
 
 def after_earlier(lookups: Lookups, earlier: DataFrame) -> Lookups:

@@ -584,3 +584,4 @@ FROM v WHERE opened_at <= {_RETRY_AS_OF}""",
 
 # What ``stream_settle`` does to accepted tasks is what known replies do.
 ORACLE["stream_settle_bodies"] = ORACLE["update_bodies"]
+ORACLE["published_requests"] = ORACLE["task_requests"]

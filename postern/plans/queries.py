@@ -21,7 +21,7 @@ from postern.plans import intake
 from postern.schemas import JOURNAL_ENTRY, RETRY_MESSAGE
 from postern.session import work_dir
 from postern.sources import lookups, streams, tables
-from postern.streaming import enrich, route, settle
+from postern.streaming import enrich, publish, route, settle
 from postern.streaming.due import DueStore, wall_clock
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -653,6 +653,15 @@ def stream_route_batches(spark, sf_dir):
     return spark.read.parquet(f"{folder}/routed").select("event_order", "entry_id", "outcome", "reason")
 
 
+@query
+def published_requests(spark, sf_dir):
+    """The task requests that consumers see after the job in two batches."""
+    folder = work_dir(spark, "published")
+    _sliced(spark, sf_dir, folder, 2)
+    _route_files(spark, folder, lambda session: intake.table_lookups(session, sf_dir))
+    return publish.published(spark, folder, "task_requests").drop("batch_id")
+
+
 @query
 def stream_closed_tasks(spark, sf_dir):
     """The job on the first half of the events, then on the second, when the live table shows most

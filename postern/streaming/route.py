@@ -16,11 +16,15 @@ from postern.operators.retry import read_events
 from postern.plans import intake
 from postern.plans.intake import Lookups, run_batch, write_table
 from postern.streaming.due import MESSAGE, DueStore, wall_clock
+from postern.streaming.publish import manifest, publish
 from postern.streaming.settle import GIVE_UP, step_log
 from postern.streaming.state import RunLog, buckets_of, table_if_there
 
 RETRY_DDL = MESSAGE
 MESSAGE_COLUMNS = [c.split()[0] for c in MESSAGE.split(", ")]
+# The tables of a batch that are published together.
+TABLES = ["events", "quarantine", "entries", "decisions", "task_requests", "journal_updates", "update_bodies",
+          "finalizations", "routed", "retries"]
 # What a row of the stream is.
 EVENT, RETRY_MESSAGE, TICK = "event", "retry", "tick"
 
@@ -87,6 +91,8 @@ def handle_batch(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"batch_id={batch_id}"
+        if manifest(spark, folder, batch_id) is not None:
+            return  # a replay of what consumers may be reading already
         if "kind" in batch.columns:
             messages = batch.where(F.col("kind") == RETRY_MESSAGE)
             due, now_ms = DueStore(f"{folder}/due").turn(spark, messages, batch_id, clock)
@@ -115,6 +121,7 @@ def handle_batch(
             await_replies=await_replies,
         )
         made_log(folder).merge(spark, batch_id)
+        publish(spark, folder, batch_id, TABLES)
 
     return handle
 
@@ -136,7 +143,8 @@ def start(
     clock: Callable[[], int] = wall_clock,
     **trigger,
 ) -> StreamingQuery:
-    """Start the intake stream; outputs and the checkpoint go below ``folder``.
+    """Start the intake stream; outputs and the checkpoint go below ``folder``. Consumers read the
+    outputs with ``publish.published``.
 
     ``with_retries`` reads the job's own retry table back as a second source, held until due
     and not gated. Both sources share one query, so two batches never race for one entry. Retries

@@ -5,10 +5,10 @@ import json
 
 import fixtures as X
 from postern.functions.dates import epoch_ms
-from postern.operators import decode, envelope, gates, joins, outputs, repair, retry, routing
+from postern.operators import bitmap, decode, envelope, gates, joins, outputs, repair, retry, routing
 from postern.plans import intake
 from postern.schemas import EVENT_DECODED, EVENT_WIRE, JOURNAL_ENTRY
-from postern.session import work_dir
+from postern.session import session_settings, work_dir
 from postern.sources import lookups, responses, tables
 from pyspark.sql import functions as F
 
@@ -341,3 +341,53 @@ def test_epoch_of_due_is_consistent(spark, sf_dir):
     rows = tables.retries(spark, sf_dir)
     late = rows.where(F.col("due_ms") != epoch_ms(F.col("enqueued_at") + F.expr("INTERVAL '1' SECOND")))
     assert late.count() == 0
+
+
+def test_hot_parties_are_dealt_out(spark):
+    """A third of the entries on one party; without adaptive handling no task has much more than others."""
+    rows = [(f"e{i}", "hot" if i % 3 == 0 else f"p{i % 500}", "FNR") for i in range(9000)]
+    rows += [("org", "hot", "ORGNR"), ("none", None, None)]
+    entries = spark.createDataFrame(rows, "entry_id string, party_id string, party_type string")
+    people = [X.person("hot")] + [X.person(f"p{i}") for i in range(0, 500, 2)]
+    identities = spark.createDataFrame(people, X.IDENTITIES)
+    hot = joins.hot_parties(entries, per_task=50)
+    assert {r.key: r.salts for r in hot.collect()} == {"hot": 60}
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with session_settings(spark, settings):
+        plain = joins.with_identities(entries, identities)
+        dealt = joins.with_identities(entries, identities, hot=hot)
+        sizes = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+        columns = plain.columns
+        assert sorted(map(str, dealt.select(columns).collect())) == sorted(map(str, plain.collect()))
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_large_batches_prune_the_lookups_by_a_bitmap(spark, sf_dir):
+    """Above the broadcast bound, a bitmap of the batch's ids cuts the tables as they are scanned."""
+    lookups = intake.table_lookups(spark, sf_dir)
+    ids = joins.keys_of(intake.gated_events(tables.events(spark, sf_dir))).where("n_events > 2")
+    n = ids.count()
+    few, many = intake.restricted(lookups, ids), intake.restricted(lookups, ids, n)
+    for name in ("journal", "documents", "tasks"):
+        rows = [sorted(map(str, getattr(x, name).collect())) for x in (few, many)]
+        assert rows[0] == rows[1]
+    bits = bitmap.bits_for(n)
+    maps = bitmap.bitmap(ids, F.col("entry_id"), bits)
+    left = bitmap.with_maybe(lookups.journal, F.col("entry_id"), maps, bits).where("maybe").count()
+    assert few.journal.count() <= left <= few.journal.count() + 0.1 * lookups.journal.count()
+    assert bitmap.bits_for(10**12) == 8 * bitmap.MOST
+
+
+def test_bitmap_forgets_no_key(spark):
+    keys = spark.range(0, 3000, 7).select(F.col("id").cast("string").alias("k"))
+    keys = keys.union(spark.createDataFrame([(None,)], "k string"))
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), "id").union(spark.createDataFrame([(None, -1)], "k string, id bigint"))
+    for bits in (1 << 15, 1 << 18):
+        marked = bitmap.with_maybe(rows, F.col("k"), bitmap.bitmap(keys, F.col("k"), bits), bits)
+        maybe = {r.id for r in marked.where("maybe").collect()}
+        assert {-1, *range(0, 3000, 7)} <= maybe and len(maybe) < 600
+        assert marked.count() == 3001

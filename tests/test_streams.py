@@ -14,7 +14,7 @@ from postern.plans import intake
 from postern.plans.queries import QUERIES
 from postern.session import work_dir
 from postern.sources import streams, tables
-from postern.streaming import route
+from postern.streaming import publish, route
 from postern.streaming.due import DueStore
 from postern.streaming.state import FANOUT, RunLog
 from pyspark.sql import functions as F
@@ -100,6 +100,44 @@ def test_events_of_one_order_give_one_first(batches, spark):
     assert sorted(r.outcome for r in routed.collect()) == ["JFR", "SKIP_HAS_TASK"]
 
 
+@pytest.mark.parametrize("broken", ["task_requests", "routed", "retries"])
+def test_a_killed_batch_shows_nothing(batches, monkeypatch, broken):
+    """The job dies after some of a batch's tables; consumers see them only after the replay, once."""
+    run, table = batches
+    run(0, [(1, 1)])
+    folder = next(c.cell_contents for c in run.__closure__[0].cell_contents.__closure__ if isinstance(c.cell_contents, str))
+    spark = table("routed").sparkSession
+    seen = lambda name: sorted(map(str, publish.published(spark, folder, name).collect()))
+    before = {name: seen(name) for name in ("routed", "task_requests", "decisions")}
+    real = intake.write_table
+
+    def dies(spark, df, path):
+        out = real(spark, df, path)
+        if f"/{broken}/" in path:
+            raise RuntimeError("killed")
+        return out
+
+    with monkeypatch.context() as m:
+        m.setattr(intake, "write_table", dies)
+        with pytest.raises(RuntimeError):
+            run(1, [(2, 2), (3, 1)])
+    assert {name: seen(name) for name in before} == before
+    assert publish.last_published(spark, folder) == 0
+    run(1, [(2, 2), (3, 1)])
+    after = {name: seen(name) for name in before}
+    assert {name: len(rows) for name, rows in after.items()} == {"routed": 3, "task_requests": 2, "decisions": 3}
+    run(1, [(2, 2)])  # published already
+    assert {name: seen(name) for name in before} == after
+    assert {r.table for r in publish.manifest(spark, folder, 1).collect()} >= {"decisions", "routed", "retries"}
+
+
+def test_last_published_opens_few_manifests(spark, monkeypatch):
+    for last in (-1, 0, 1, 2, 7, 8, 100, 1000):
+        opened = []
+        monkeypatch.setattr(publish, "manifest", lambda s, f, n, last=last, opened=opened: opened.append(n) or (n <= last or None))
+        assert publish.last_published(spark, "x") == last and len(opened) <= 22
+
+
 def test_large_batch_without_broadcast(batches, monkeypatch):
     run, table = batches
     monkeypatch.setattr(intake, "MAX_BROADCAST_IDS", 1)
