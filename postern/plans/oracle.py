@@ -585,3 +585,22 @@ FROM v WHERE opened_at <= {_RETRY_AS_OF}""",
 # What ``stream_settle`` does to accepted tasks is what known replies do.
 ORACLE["stream_settle_bodies"] = ORACLE["update_bodies"]
 ORACLE["published_requests"] = ORACLE["task_requests"]
+# Flat and nested rows hold the same entries.
+ORACLE["snapshot_entries"] = ORACLE["journal_snapshot"]
+_LISTED = """string_agg('{"brevkode":' || coalesce('"' || code || '"', 'null') || ',"tittel":'
+         || coalesce('"' || title || '"', 'null') || ',"dokumentInfoId":"' || number || '"}',
+       ',' ORDER BY l_linenumber, l_partkey, code, title NULLS FIRST)"""
+ORACLE["snapshot_bodies"] = f"""
+SELECT b.entry_id, left(body, length(body) - 1) || ',"dokumenter":[' || coalesce(listed, '')
+       || '],"relevanteDatoer":null}}' AS body
+FROM ({ORACLE["update_bodies"]}) AS b
+LEFT JOIN (
+  SELECT entry_id, {_LISTED} AS listed
+  FROM (SELECT CAST(l_orderkey AS VARCHAR) AS entry_id, l_linenumber, l_partkey,
+               l_linenumber || '-' || l_partkey AS number,
+               CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'NAV 08-07.04D'
+                    WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
+                    WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS code,
+               CASE WHEN l_discount = 0 THEN NULL WHEN l_discount = 0.1 THEN '' ELSE p_name END AS title
+        FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)
+  GROUP BY entry_id) AS d ON d.entry_id = b.entry_id"""

@@ -180,6 +180,19 @@ def journal_snapshot(spark, sf_dir):
     return tables.entries(spark, sf_dir).drop("entry_ok")
 
 
+@query
+def snapshot_entries(spark, sf_dir):
+    """The same from nested rows, as the archive gives them."""
+    return lookups.entries_from_snapshot(tables.snapshot(spark, sf_dir)).drop("entry_ok")
+
+
+@query
+def snapshot_bodies(spark, sf_dir):
+    """Bodies of the updates, with the lists of the nested rows."""
+    updates = outputs.journal_updates(_settled(spark, sf_dir))
+    return outputs.update_bodies(updates, tables.snapshot(spark, sf_dir))
+
+
 @query
 def identity_lists(spark, sf_dir):
     """Current identities per party, in order."""

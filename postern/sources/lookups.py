@@ -29,16 +29,36 @@ ENTRY_COLUMNS = [
 ]
 
 
-def document_facts(documents: DataFrame) -> DataFrame:
-    """Per entry: number of documents, form code of the first one, whether all have titles.
-
-    All three are combined on the map side, so an entry holding a large share of all documents
-    costs one small row per input task, and no list is ever built.
+def coded(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents (``entry_id``, ``doc_order`` bigint, ``form_code``, ``title``) with a number in place of
+    their code and a flag in place of their title, and the dictionary of the codes."""
+    code_id = F.xxhash64("form_code").alias("code_id")
+    rows = documents.select("entry_id", "doc_order", code_id, (~is_empty(F.col("title"))).alias("titled"))
+    return rows, documents.select(code_id, "form_code").distinct()
+
+
+def document_facts(documents: DataFrame, codes: DataFrame) -> DataFrame:
+    """Per entry: number of documents, form code of the first one, whether all have titles, from rows
+    (``entry_id``, ``doc_order``, ``code_id``, ``titled``) and a dictionary (``code_id``, ``form_code``).
+
+    Order and code of a document are packed into one exact number (an order below 10 ** 17 in front of
+    64 bits), so the first one is a minimum in a hash aggregate of fixed width: nothing is sorted, no
+    list is built, and an entry holding a large share of all documents costs one small row per input
+    task. The dictionary is joined once per entry, not per document.
     """
-    return documents.groupBy("entry_id").agg(
+    unsigned = "CAST(code_id AS DECIMAL(20, 0)) + 9223372036854775808BD"
+    order = "CAST(CAST(doc_order AS DECIMAL(17, 0)) * 100000000000000000000BD AS DECIMAL(37, 0))"
+    first = F.expr(f"CAST({order} + {unsigned} AS DECIMAL(38, 0))")
+    facts = documents.select("entry_id", "titled", first.alias("first")).groupBy("entry_id").agg(
         F.count("*").alias("n_documents"),
-        F.min(F.struct("doc_order", "form_code"))["form_code"].alias("form_code"),
-        F.every(~is_empty(F.col("title"))).alias("titles_ok"),
+        F.min("first").alias("first"),
+        F.every("titled").alias("titles_ok"),
+    )
+    code_id = F.expr("CAST(pmod(first, 100000000000000000000BD) - 9223372036854775808BD AS BIGINT)")
+    return (
+        facts.withColumn("code_id", code_id)
+        .join(codes, "code_id", "left")
+        .select("entry_id", "n_documents", "form_code", "titles_ok")
     )
 
 

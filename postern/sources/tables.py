@@ -106,11 +106,6 @@ _CODES = """CASE p_type WHEN 'MEDIUM' THEN 'NAV 08-07.04 D' WHEN 'SMALL' THEN 'N
             WHEN 'ECONOMY' THEN '4936' WHEN 'LARGE' THEN 'NAV 08-35.01'
             WHEN 'STANDARD' THEN 'NAV 90-00.08 K' END AS form_code"""
 
-# A line number and a part key share one exact decimal, the line number in front of the 19 digits
-# that a part key can have.
-_PART = "CAST('10000000000000000000' AS DECIMAL(20, 0))"
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document. (l_orderkey, l_linenumber) is not unique, but lines that also share
     the part have the same form code, so line number and part order the documents as far as any
@@ -128,14 +123,44 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lookups.document_facts`` of these documents, without a join of all lines with all parts.
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal in nested rows (``schemas.JOURNAL_ENTRY``), each with its documents in order."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name", _CODES)
+    lists = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_discount")
+        .join(parts, "l_partkey", "left")
+        .selectExpr(
+            "l_orderkey AS o_orderkey",
+            """struct(l_linenumber, l_partkey, form_code AS brevkode,
+                      CASE l_discount WHEN 0 THEN NULL WHEN 0.1D THEN '' ELSE p_name END AS tittel) AS line""",
+        )
+        .groupBy(F.col("o_orderkey").cast("string").alias("entry_id"))
+        .agg(F.collect_list("line").alias("lines"))
+    )
+    return (
+        journal(spark, sf_dir)
+        .join(lists, "entry_id", "left")
+        .selectExpr(
+            "CASE WHEN party_id IS NOT NULL THEN struct(party_id AS id, party_type AS type) END AS bruker",
+            "title AS tittel",
+            "entry_id AS journalpostId",
+            "status AS journalstatus",
+            """transform(array_sort(coalesce(lines, array())), x -> struct(x.brevkode, x.tittel,
+                   concat_ws('-', x.l_linenumber, x.l_partkey) AS dokumentInfoId)) AS dokumenter""",
+            "unit AS journalforendeEnhet",
+            "CAST(NULL AS ARRAY<STRUCT<dato: STRING, datotype: STRING>>) AS relevanteDatoer",
+            "theme AS tema",
+            "CASE WHEN sender_id IS NOT NULL THEN struct(sender_id AS id, sender_type AS type) END AS avsenderMottaker",
+            "preset_theme AS behandlingstema",
+        )
+    )
 
-    Per line, only parts without a name matter, and they are few; the form code is looked up
-    once per entry, for the part of its first line. The lines are thus reduced by entry as they
-    are scanned, in a hash aggregate, because line number and part are packed into one number.
-    Every line has a part.
-    """
+
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as ``lookups.document_facts`` takes them; a part stands for its code, so not all
+    lines are joined with all parts: only parts without a name matter, and they are few. Every line has
+    a part."""
     parts = table(spark, sf_dir, "part")
     nameless = parts.where("p_name IS NULL OR p_name = ''").selectExpr("p_partkey AS l_partkey", "true AS nameless")
     return (
@@ -143,21 +168,21 @@ def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nameless, "l_partkey", "left")
         .selectExpr(
             "CAST(l_orderkey AS STRING) AS entry_id",
-            f"CAST(l_linenumber AS DECIMAL(10, 0)) * {_PART} + CAST(l_partkey AS DECIMAL(19, 0)) AS line",
+            "CAST(l_linenumber AS BIGINT) AS doc_order",
+            "l_partkey AS code_id",
             "l_discount <> 0 AND l_discount <> 0.1D AND nameless IS NULL AS titled",
         )
-        .groupBy("entry_id")
-        .agg(
-            F.count("*").alias("n_documents"),
-            F.min("line").alias("first_line"),
-            F.every("titled").alias("titles_ok"),
-        )
-        .withColumn("p_partkey", F.expr(f"CAST(first_line % {_PART} AS BIGINT)"))
-        .join(parts.selectExpr("p_partkey", _CODES), "p_partkey", "left")
-        .select("entry_id", "n_documents", "form_code", "titles_ok")
     )
 
 
+def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr("p_partkey AS code_id", _CODES)
+
+
+def document_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.document_facts(document_rows(spark, sf_dir), codes(spark, sf_dir))
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.entries_with_documents(journal(spark, sf_dir), document_facts(spark, sf_dir))
 

@@ -327,10 +327,28 @@ def test_hot_entries_are_split_without_changing_results(spark):
 
 
 def test_document_facts_agree(spark, sf_dir):
-    general = lookups.document_facts(tables.documents(spark, sf_dir))
-    special = tables.document_facts(spark, sf_dir).select(*general.columns)
-    assert special.count() > 0
-    assert general.exceptAll(special).count() == 0 and special.exceptAll(general).count() == 0
+    """By parts as codes, by a dictionary of texts, and from nested rows; without sorting documents."""
+    texts = tables.documents(spark, sf_dir).withColumn(
+        "doc_order", F.col("doc_order.l_linenumber") * F.lit(10**9).cast("bigint") + F.col("doc_order.l_partkey")
+    )
+    facts = tables.document_facts(spark, sf_dir)
+    others = [
+        lookups.document_facts(*lookups.coded(texts)),
+        lookups.entries_from_snapshot(tables.snapshot(spark, sf_dir)).where("n_documents > 0"),
+    ]
+    assert facts.count() > 0
+    for other in others:
+        other = other.select(*facts.columns)
+        assert other.exceptAll(facts).count() == 0 and facts.exceptAll(other).count() == 0
+    for plan in (lookups.entries_with_documents(tables.journal(spark, sf_dir), facts), *others):
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_document_of_any_order_and_code(spark):
+    rows = [("a", 3, "x", "t"), ("a", -2, None, "t"), ("b", 10**16, "y", ""), ("b", 7, "z", "t"), ("c", 1, None, None)]
+    documents = spark.createDataFrame(rows, "entry_id string, doc_order bigint, form_code string, title string")
+    found = {r.entry_id: tuple(r)[1:] for r in lookups.document_facts(*lookups.coded(documents)).collect()}
+    assert found == {"a": (2, None, True), "b": (2, "z", False), "c": (1, None, False)}
 
 
 def test_wire_schema_covers_decoded_event():
