@@ -3,11 +3,16 @@
 Each document gets integer measures. Their distribution per language and source is kept in
 mergeable quantile sketches: counts of values rounded down to their six leading binary digits, so
 two sketches merge by adding counts and every quantile is at most 1/32 below the true one. The
-sketches give an upper fence per measure; documents beyond a fence of their own group, or failing
-the fixed base rules, are not kept. All arithmetic is on integers, so reruns agree.
+sketches give fences per measure, around the median and as wide as the half of the documents that
+junk does not reach: an upper fence by the lower quartile, a lower one by the upper quartile; so a
+third of junk hardly moves them. A group's fences are the narrowest of its own, its language's and
+the whole corpus's, so a group can't excuse what is far from all others by having much of it.
+Documents beyond a fence, or failing the fixed base rules, are not kept. All arithmetic is on
+integers, so reruns agree.
 
 Defined cases: a null text has no words; null languages and sources form groups of their own;
-repeated rows count each; an empty table gives an empty result; other columns are ignored.
+repeated rows count each; a value on a fence is inside; very long texts are counted whole, in memory
+of their own size; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,17 +33,18 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
-#: Measures per mille, or hundredths of a character, and the least spread that a group is taken to
-#: have, so that a group of documents that are all alike doesn't reject slight differences.
+#: Measures per mille, or hundredths of a character, and the least half-spreads above and below the
+#: median that a group is taken to have (None: no fence on that side), so that a group of documents
+#: that are all alike doesn't reject slight differences.
 MEASURES = {
-    "symbol_rate": ("1000 * n_symbols div greatest(word_chars, 1)", 20),
-    "dup_line_rate": ("1000 * n_dup_lines div greatest(n_lines, 1)", 90),
-    "repeat_rate": ("1000 * n_repeat_words div greatest(n_words, 1)", 90),
-    "word_length": ("100 * word_chars div greatest(n_words, 1)", 150),
+    "symbol_rate": ("1000 * n_symbols div greatest(word_chars, 1)", 20, None),
+    "dup_line_rate": ("1000 * n_dup_lines div greatest(n_lines, 1)", 90, None),
+    "repeat_rate": ("1000 * n_repeat_words div greatest(n_words, 1)", 90, None),
+    "word_length": ("100 * word_chars div greatest(n_words, 1)", 150, 60),
 }
-#: A fence lies this many spreads (third less first quartile) above the third quartile.
+#: A fence lies this many spreads (twice the distance of median and quartile) from the median.
 FENCE = 4
-#: Groups of fewer documents merge their sketches into their language's.
+#: Groups and languages of fewer documents have no fences of their own.
 MIN_GROUP = 50
 #: Leading binary digits that the sketch keeps.
 DIGITS = 6
@@ -91,7 +97,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def _measured(counted: DataFrame) -> DataFrame:
     """Columns of COUNTS and MEASURES, and whether the base rules fail."""
     out = counted.select("*", *[F.col(f"_counts.{c}").alias(c) for c in COUNTS]).drop("_counts")
-    for name, (measure, _) in MEASURES.items():
+    for name, (measure, *_) in MEASURES.items():
         out = out.withColumn(name, F.expr(measure))
     return out.withColumn(
         "base_failed",
@@ -118,8 +124,8 @@ def sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """First and third quartile and the number of documents per group and measure."""
+def _level(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """The fences (``most``, ``least``) of each group and measure from its merged sketch."""
     merged = sketch.groupBy(*group, "measure", "value").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*group, "measure")
     upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -131,34 +137,41 @@ def _quartiles(sketch: DataFrame, group: list[str]) -> DataFrame:
         F.sum("n").over(whole).alias("total"),
     )
     reached = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("total"), F.col("value")))
-    return ranked.groupBy(*group, "measure").agg(
-        reached(1).alias("q1"), reached(3).alias("q3"), F.max("total").alias("n")
+    quartiles = ranked.groupBy(*group, "measure").agg(
+        reached(1).alias("q1"), reached(2).alias("q2"), reached(3).alias("q3"), F.max("total").alias("n")
+    )
+    floors = lambda i: F.create_map(
+        *[x for m, spec in MEASURES.items() for x in (F.lit(m), F.lit(spec[i]).cast("long"))]
+    )[F.col("measure")]
+    above, below = F.col("q2") - F.col("q1"), F.col("q3") - F.col("q2")
+    known = F.lit(True) if not group else F.col("n") >= MIN_GROUP
+    most = F.col("q2") + FENCE * F.greatest(2 * above, floors(1))
+    least = F.when(floors(2).isNotNull(), F.col("q2") - FENCE * F.greatest(2 * below, floors(2)))
+    return quartiles.select(
+        *group, "measure", F.when(known, most).alias("most"), F.when(known, least).alias("least")
     )
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """A row for each lang and source, a column for each measure's upper fence.
-
-    A group with fewer than MIN_GROUP documents takes the quartiles of its language's merged
-    sketch. Groups whose documents all fail the base rules have no row."""
-    own = _quartiles(sketch, ["lang", "source"])
-    wide = _quartiles(sketch, ["lang"]).select(
-        F.col("lang").alias("_lang"),
-        F.col("measure").alias("_measure"),
-        F.col("q1").alias("_q1"),
-        F.col("q3").alias("_q3"),
-    )
-    both = own.join(
-        wide, own["lang"].eqNullSafe(wide["_lang"]) & (own["measure"] == wide["_measure"])
+    """A row for each lang and source, columns for each measure's upper (and lower) fence. Groups
+    whose documents all fail the base rules have no row."""
+    own = _level(sketch, ["lang", "source"])
+    named = lambda df, by: df.withColumnsRenamed({c: f"_{by}_{c}" for c in df.columns})
+    wide, all_ = named(_level(sketch, ["lang"]), "lang"), named(_level(sketch, []), "all")
+    levels = own.join(
+        wide, own["lang"].eqNullSafe(wide["_lang_lang"]) & (own["measure"] == wide["_lang_measure"])
+    ).join(all_, own["measure"] == all_["_all_measure"])
+    narrowest = levels.select(
+        "lang",
+        "source",
+        "measure",
+        F.least("most", "_lang_most", "_all_most").alias("most"),
+        F.greatest("least", "_lang_least", "_all_least").alias("least"),
     )
-    small = F.col("n") < MIN_GROUP
-    q1, q3 = (F.when(small, F.col(f"_{q}")).otherwise(F.col(q)) for q in ("q1", "q3"))
-    least = F.create_map(*[F.lit(x) for m, (_, s) in MEASURES.items() for x in (m, s)])
-    fence = q3 + FENCE * F.greatest(q3 - q1, least[F.col("measure")])
-    return (
-        both.select("lang", "source", "measure", fence.cast("long").alias("fence"))
-        .groupBy("lang", "source")
-        .agg(*[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"max_{m}") for m in MEASURES])
+    of = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
+    return narrowest.groupBy("lang", "source").agg(
+        *[of(m, "most").alias(f"max_{m}") for m in MEASURES],
+        *[of(m, "least").alias(f"min_{m}") for m, (*_, low) in MEASURES.items() if low is not None],
     )
 
 
@@ -174,8 +187,10 @@ def _judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
         "left",
     )
     inside = F.lit(True)
-    for m in MEASURES:
+    for m, (*_, low) in MEASURES.items():
         inside = inside & F.coalesce(F.col(m) <= F.col(f"max_{m}"), F.lit(True))
+        if low is not None:
+            inside = inside & F.coalesce(F.col(m) >= F.col(f"min_{m}"), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside)
 
 

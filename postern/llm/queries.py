@@ -229,34 +229,28 @@ sketch AS (
       FROM m WHERE NOT base_failed))
   GROUP BY ALL
 ),
-own AS (
-  SELECT lang, source, measure, min(value) FILTER (4 * upto >= total) AS q1,
-    min(value) FILTER (4 * upto >= 3 * total) AS q3, max(total) AS n
-  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY value) AS upto,
-    sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM sketch)
-  GROUP BY lang, source, measure
+levels AS (
+  SELECT grouping_id(lang, source) AS level, lang, source, measure, value, sum(n) AS n
+  FROM sketch GROUP BY GROUPING SETS ((lang, source, measure, value), (lang, measure, value), (measure, value))
 ),
-wide AS (
-  SELECT lang, measure, min(value) FILTER (4 * upto >= total) AS q1,
-    min(value) FILTER (4 * upto >= 3 * total) AS q3
-  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, measure ORDER BY value) AS upto,
-    sum(n) OVER (PARTITION BY lang, measure) AS total
-    FROM (SELECT lang, measure, value, sum(n) AS n FROM sketch GROUP BY ALL))
-  GROUP BY lang, measure
+quarters AS (
+  SELECT level, lang, source, measure, max(total) AS n, min(value) FILTER (4 * upto >= total) AS q1,
+    min(value) FILTER (2 * upto >= total) AS q2, min(value) FILTER (4 * upto >= 3 * total) AS q3
+  FROM (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY value) AS upto,
+    sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM levels)
+  GROUP BY level, lang, source, measure
 ),
 fence AS (
-  SELECT lang, source, measure, q3 + 4 * greatest(q3 - q1, [20, 90, 90, 150][measure]) AS most
-  FROM (SELECT own.lang, own.source, own.measure,
-      CASE WHEN n < 50 THEN wide.q1 ELSE own.q1 END AS q1,
-      CASE WHEN n < 50 THEN wide.q3 ELSE own.q3 END AS q3
-    FROM own JOIN wide ON own.lang IS NOT DISTINCT FROM wide.lang AND own.measure = wide.measure)
+  SELECT level, lang, source, measure, q2 + 4 * greatest(2 * (q2 - q1), [20, 90, 90, 150][measure]) AS most,
+    CASE WHEN measure = 4 THEN q2 - 4 * greatest(2 * (q3 - q2), 60) ELSE -1 END AS least
+  FROM quarters WHERE level = 3 OR n >= 50
 ),
 beyond AS (
   SELECT DISTINCT rid
   FROM (SELECT rid, lang, source, unnest([1, 2, 3, 4]) AS measure, unnest(v) AS value FROM m) AS x
-  JOIN fence ON x.lang IS NOT DISTINCT FROM fence.lang
-    AND x.source IS NOT DISTINCT FROM fence.source AND x.measure = fence.measure
-  WHERE value > most
+  JOIN fence ON x.measure = fence.measure AND (level = 3 OR x.lang IS NOT DISTINCT FROM fence.lang)
+    AND (level > 0 OR x.source IS NOT DISTINCT FROM fence.source)
+  WHERE value > most OR value < least
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND rid NOT IN (SELECT rid FROM beyond) AS kept

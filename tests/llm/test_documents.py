@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 import re
 
 import helpers
@@ -30,6 +31,67 @@ def test_quality_keeps_plain_and_drops_junk(spark):
     assert kept == {r[0] for r in plain}
 
 
+def plain_verdicts(rows: list[tuple]) -> dict:
+    """kept by the rules in plain Python, from exact sorted lists cut to the sketch's six digits."""
+    cut = lambda v: v >> max(v.bit_length() - 6, 0) << max(v.bit_length() - 6, 0)
+    floors = [20, 90, 90, 150]
+    measured = []
+    for doc_id, text, lang, source in rows:
+        words = helpers.WORD.findall(text or "")
+        n, chars, symbols, lines, dup, repeated = quality.text_counts(text)
+        assert n == len(words)
+        values = [1000 * symbols // max(chars, 1), 1000 * dup // max(lines, 1), 1000 * repeated // max(n, 1), 100 * chars // max(n, 1)]
+        measured.append((doc_id, lang, source, values, n < 50 or 100 * repeated > 50 * n))
+    good = [m for m in measured if not m[4]]
+
+    def fence(some, m, always):
+        values = sorted(cut(x[3][m]) for x in some)
+        if not values or (len(values) < 50 and not always):
+            return -1, 10**9
+        q1, q2, q3 = (values[-(-len(values) * q // 4) - 1] for q in (1, 2, 3))
+        low = q2 - 4 * max(2 * (q3 - q2), 60) if m == 3 else -1
+        return low, q2 + 4 * max(2 * (q2 - q1), floors[m])
+
+    out = {}
+    for doc_id, lang, source, values, failed in measured:
+        groups = [[x for x in good if x[1:3] == (lang, source)], [x for x in good if x[1] == lang], good]
+        limits = [(m, fence(g, m, g is good)) for m in range(4) for g in groups]
+        out[doc_id] = not failed and all(low <= values[m] <= high for m, (low, high) in limits)
+    return out
+
+
+def _quality_rows(junk: float) -> list[tuple]:
+    """Two languages; source "bad" has a share of junk of several kinds."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    plain = lambda: "\n".join(" ".join(word(rng.randrange(2, 9)) for _ in range(9)) for _ in range(rng.randrange(7, 20)))
+    kinds = [
+        lambda: (f"{word(9)} {word(7)} here\n") * 3 + "\n".join(f"{word(5)} {word(6)} {word(4)}\n" * 2 for _ in range(30)),
+        lambda: plain().replace(" ", " ##$$%% "),
+        lambda: " ".join(word(1) for _ in range(200)),
+        lambda: " ".join(word(40) for _ in range(80)),
+    ]
+    rows = []
+    for lang in ("en", None):
+        for source in ("good", "bad", "small", None):
+            for i in range(20 if source == "small" else 90):
+                bad = source == "bad" and i < 90 * junk
+                rows.append((len(rows), kinds[i % 4]() if bad else plain(), lang, source))
+    rows += [(10_000, None, "en", "good"), (10_001, "", None, None), (10_002, plain(), "xx", "other")]
+    return rows
+
+
+@pytest.mark.parametrize("junk", [0.0, 0.3, 0.6])
+def test_junk_does_not_judge_itself(spark, junk):
+    rows = _quality_rows(junk)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r.kept for r in quality.judge(df).collect()}
+    assert found == plain_verdicts(rows)
+    bad = {r[0] for r in rows if r[3] == "bad" and r[0] in [x[0] for x in rows if x[3] == "bad" and x[2] == r[2]][: int(90 * junk)]}
+    assert not any(found[i] for i in bad)
+    assert all(found[i] for i in found if i not in bad and i not in (10_000, 10_001))
+
+
 def test_quality_edges(spark, docs):
     judged = quality.judge(docs)
     assert judged.count() == docs.count()
