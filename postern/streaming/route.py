@@ -78,7 +78,7 @@ def earlier_decisions(
 def handle_batch(
     folder: str,
     read_lookups: Callable[[SparkSession], Lookups],
-    await_replies: bool = False,
+    await_replies: bool = True,
     clock: Callable[[], int] = wall_clock,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function. The lookups are read anew for every batch; where they do not show
@@ -139,7 +139,7 @@ def start(
     read_lookups: Callable[[SparkSession], Lookups],
     folder: str,
     with_retries: bool = False,
-    await_replies: bool = False,
+    await_replies: bool = True,
     clock: Callable[[], int] = wall_clock,
     **trigger,
 ) -> StreamingQuery:
@@ -151,9 +151,9 @@ def start(
     are handled at the time of their batch, which is written down for a replay; those that can't be
     read go to the quarantine table like events, those past their retention to ``due/expired``. A
     query that goes on by itself gets a tick a second, so that what is due need not wait for other
-    events: choose its trigger interval as the delay that retries may have. With ``await_replies``
-    the job only requests tasks; ``streaming.settle`` follows up the replies, and what it gives up
-    comes back as a retry too.
+    events: choose its trigger interval as the delay that retries may have. The job only requests
+    tasks; ``streaming.settle`` follows up the replies, and what it gives up comes back as a retry
+    too. Without ``await_replies`` every request is taken as accepted at once.
     """
     trigger = trigger or {"availableNow": True}
     events = decode(checked(wire_events)).withColumn("is_retry", F.lit(False))

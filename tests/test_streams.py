@@ -56,7 +56,7 @@ def batches(spark):
     rows = [X.entry("1", code=X.MANUAL_CODE), X.entry("2"), X.entry("3", code="4936")]
     source = X.make_lookups(spark, rows, [X.person("100")])
     out = work_dir(spark, "replay")
-    handle = route.handle_batch(out, lambda s: source)
+    handle = route.handle_batch(out, lambda s: source, await_replies=False)
 
     def run(batch_id, orders):
         wire = X.wire(spark, [(o, X.WEDNESDAY_MORNING, e, "Mottatt", "SYK") for o, e in orders])
