@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -156,11 +157,25 @@ def _compiled() -> list[tuple[tuple[str, ...], list[tuple[Rule, re.Pattern]]]]:
 
 
 def _suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Matches that lie in no interval of a match with better priority or of a longer one."""
+    """Matches that lie in no interval of a match with better priority or of a longer one. Taken in
+    that order; a binary indexed tree over the starts holds how far the matches that are kept and
+    start no later reach, so a text with many matches takes little more time than to sort them."""
+    starts = sorted({start for start, _, _ in found})
+    place = {start: i + 1 for i, start in enumerate(starts)}
+    reach = [-1] * (len(starts) + 1)
     kept: list[tuple[int, int, Rule]] = []
     for start, end, rule in sorted(found, key=lambda m: (m[2].priority, m[0] - m[1], m[0])):
-        if not any(s <= start and end <= e for s, e, _ in kept):
-            kept.append((start, end, rule))
+        i, furthest = place[start], -1
+        while i:
+            furthest = max(furthest, reach[i])
+            i &= i - 1
+        if end <= furthest:
+            continue
+        kept.append((start, end, rule))
+        i = place[start]
+        while i <= len(starts):
+            reach[i] = max(reach[i], end)
+            i += i & -i
     return kept
 
 
@@ -168,9 +183,8 @@ def scan(text: str | None) -> dict:
     """Digest of one whole text: counts, base places, detections as (label, first word, words)."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split()
     joined = b" ".join(words).decode("utf-8", "surrogatepass")
-    at = lambda place: joined.count(" ", 0, place)
     base = [
-        (at(m.start()), label)
+        (m.start(), label)
         for phrase, label in BASE.items()
         if phrase in joined
         for m in re.finditer(rf"(?<![^ ]){phrase}(?![^ ])", joined)
@@ -182,10 +196,15 @@ def scan(text: str | None) -> dict:
         for rule, pattern in own
         for m in pattern.finditer(joined)
     ]
-    detections = sorted(
-        (at(s), joined.count(" ", s, e) + 1, rule.label, rule.confidence)
-        for s, e, rule in _suppressed(found)
-    )
+    if base or found:
+        # Where each word begins; a match begins and ends with a word.
+        begins = np.cumsum([0, *(len(w) + 1 for w in joined.split(" "))])
+        at = lambda places: np.searchsorted(begins, places).tolist()
+        base = list(zip(at([place for place, _ in base]), (label for _, label in base), strict=True))
+        found = _suppressed(found)
+        first, after = at([s for s, _, _ in found]), at([e for _, e, _ in found])
+        found = [(s, e - s, r) for s, e, (_, _, r) in zip(first, after, found, strict=True)]
+    detections = sorted((s, n, rule.label, rule.confidence) for s, n, rule in found)
     labels = {label for _, label in base}
     return {
         "n_words": len(words),

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import helpers
 import pytest
@@ -167,6 +168,36 @@ def test_license_versions(text, label):
     assert label in licenses.scan(text)["labels"].split(",")
 
 
+def test_suppression_equals_comparing_all():
+    """Against each match held to all that are kept before it."""
+    rng = random.Random(4)
+    rules = licenses.rules()
+    for _ in range(300):
+        found = []
+        for _ in range(rng.randrange(30)):
+            start = rng.randrange(40)
+            found.append((start, start + rng.randrange(1, 15), rng.choice(rules)))
+        kept = []
+        for start, end, rule in sorted(found, key=lambda m: (m[2].priority, m[0] - m[1], m[0])):
+            if not any(s <= start and end <= e for s, e, _ in kept):
+                kept.append((start, end, rule))
+        assert licenses._suppressed(found) == kept
+
+
+def test_license_scan_of_a_text_full_of_matches():
+    """Time that grows with the text, and places of words in it, beyond ASCII too."""
+    phrase = "éß 日本 all rights reserved. Licensed under the MIT License; "
+    times = []
+    for n in (2_000, 16_000):
+        begin = time.process_time()
+        found = licenses.scan(phrase * n)
+        times.append(time.process_time() - begin)
+        assert found["n_words"] == 10 * n and found["n_base"] == n
+        assert (found["first_word"], found["last_word"]) == (2, 10 * (n - 1) + 2)
+        assert [d["word"] for d in found["detections"] if d["label"] == "mit"] == [10 * i + 8 - 3 for i in range(n)]
+    assert times[1] < 8 * 4 * times[0] + 1
+
+
 def test_license_base(spark, docs):
     def want(text):
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
@@ -295,6 +326,34 @@ def test_mixture(spark, docs):
     assert mixture.mix(docs.limit(0)).count() == 0
 
 
+def test_shards_hold_the_words_taken(spark, docs, tmp_path, monkeypatch):
+    """Blocks of every shard, rebuilt from the documents' streams, and multinomial counts per shard."""
+    monkeypatch.setattr(mixture, "SHARD", 64)
+    mixture.write_shards(docs, f"{tmp_path}/shards")
+    rows = spark.read.parquet(f"{tmp_path}/shards").collect()
+    streams = collections.defaultdict(list)
+    nulls_first = lambda r: (r[0] is not None, r[0] or 0)
+    for r in sorted(awkward(), key=nulls_first):
+        streams[r[3]] += helpers.WORD.findall(r[1] or "")
+    order = sorted(streams, key=lambda s: (s is None, s or ""))
+    words = collections.Counter(w for r in rows for w in r.words.split(" "))
+    taken = sum(r["taken"] for r in mixture.mix(docs).collect())
+    assert sum(words.values()) == taken and len({r.shard for r in rows}) > 3
+    for n, source in enumerate(order):
+        own, block = streams[source], min(64, max(1, len(streams[source]) // 64))
+        mine = [r for r in rows if r.source_no == n]
+        for r in mine:
+            # Documents of one id may take any order among themselves, so a block is a multiset at least.
+            assert len(r.words.split(" ")) == len(own[r.block_no * block : (r.block_no + 1) * block])
+        for p in (0, 1):
+            numbers = [r.block_no for r in mine if r["pass"] == p]
+            assert len(numbers) == len(set(numbers))  # no block twice in a pass
+        assert len({(r["pass"], r.slot) for r in mine}) == len(mine)
+    per = collections.Counter(r.shard for r in rows)
+    assert max(per.values()) < 3 * len(rows) / len(per)
+    assert mixture.shards(docs.limit(0)).count() == 0
+
+
 def test_permutation():
     import numpy as np
 

@@ -87,6 +87,45 @@ def test_packing(spark, docs):
     assert packing.pack_documents(docs.limit(0), BYTE_TOKENIZER, "byte", 2).count() == 0
 
 
+def test_sequences_rebuild_the_documents(spark, docs):
+    rows = awkward()
+    found = packing.sequences(docs, BYTE_TOKENIZER, "byte", end_id=2).collect()
+    library = Tokenizer.from_file(BYTE_TOKENIZER)
+    got = collections.defaultdict(list)
+    for r in found:
+        assert len(r.ids) <= packing.LENGTH and sum(p.length for p in r.pieces) == len(r.ids)
+        at = 0
+        for p in r.pieces:
+            assert p.offset == at
+            got[p.doc_id].append((p.piece, tuple(r.ids[at : at + p.length])))
+            at += p.length
+    want = collections.defaultdict(list)
+    for r in rows:
+        ids = [*library.encode(r[1] or "", add_special_tokens=False).ids, 2]
+        want[r[0]] += [(i, tuple(ids[s : s + n])) for i, (s, n) in enumerate(packing.cut(len(ids), packing.LENGTH))]
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_a_doc_id_of_many_rows_lies_in_several_files(spark, tmp_path):
+    rows = [(None, f"text {i % 3}") for i in range(4000)] + [(i, "x") for i in range(200)]
+    folder = f"file://{tmp_path}/tokens"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = tokenbin.write_tokens(
+            spark.createDataFrame(rows, "doc_id long, text string"), folder, WORD_TOKENIZER, "word", 1, 49_408
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files) == 8 and max(f.n_docs for f in files) < 1000
+    read = sorted(tokenbin.read_tokens(spark, folder).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in read]
+    assert ids == [None] * 4000 + list(range(200))
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(read, read[1:], strict=False))
+
+
 def test_equal_rows_are_packed_in_all_buckets(spark, monkeypatch):
     monkeypatch.setattr(packing, "BUCKET", 1)
     rows = [(None, None)] * 3000 + [(None, "the same")] * 1500
