@@ -17,8 +17,9 @@ prefix sum over files. Files are range partitions of doc_id, so no task sees mor
 A task names its files by its attempt, and the manifest lists those of the attempts that counted.
 
 Defined cases: a null or empty text has the end id alone; a null doc_id comes before all others;
-rows that share a doc_id follow each other in the order of their texts; an empty table gives a
-dataset without files; other columns are ignored.
+rows that share a doc_id follow each other in the order of their texts (from the 65th character on,
+of a hash of them) and may lie in several files; very long texts are encoded whole; an empty table gives a dataset without files; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postern.llm.files import new_file, opened
 from postern.llm.tokens import encoder
@@ -83,10 +85,21 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id
             ),
         )
 
+    # The text's beginning and hash and the row's number let rows of one doc_id, even equal ones, lie
+    # in several ranges, without whole texts in the sample that sets the ranges.
+    order = ["doc_id", "_start", "_hash", "_row"]
     ordered = (
         docs.select("doc_id", "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumns(
+            {
+                "_start": F.substring("text", 1, 64),
+                "_hash": F.xxhash64("text"),
+                "_row": F.monotonically_increasing_id(),
+            }
+        )
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
     )
     # A row per file comes to the driver, never a row per document.
     files = sorted(ordered.mapInArrow(write, FILE).collect(), key=lambda r: r["part"])
