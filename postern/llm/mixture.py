@@ -124,7 +124,8 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
-    """Every drawn slot: source_no, pass (0 or 1), block_no, shard."""
+    """Every drawn slot: its output shard, the slot (its number in a pass over the source), source_no,
+    pass (0 or 1) and the block_no that it takes."""
     n_blocks = F.ceil(F.col("source_size") / F.col("block"))
     drawn = F.least(
         F.round(F.col("target") * n_blocks / F.col("source_size")), MOST * n_blocks
@@ -157,12 +158,13 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
                         pa.array(np.full(len(at), r["pass"], np.int32)),
                         pa.array(permuted(at, r["n_blocks"], key)),
                         pa.array((falls % np.uint64(n_shards)).astype(np.int64)),
+                        pa.array(at),
                     ],
-                    ["source_no", "pass", "block_no", "shard"],
+                    ["source_no", "pass", "block_no", "shard", "slot"],
                 )
 
     return chunks.select("source_no", "n_blocks", "pass", "from", "to").mapInArrow(
-        draw, "source_no long, pass int, block_no long, shard long"
+        draw, "source_no long, pass int, block_no long, shard long, slot long"
     )
 
 
@@ -243,6 +245,50 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     return back(cut)
 
 
+def shards(docs: DataFrame) -> DataFrame:
+    """The mix as output shards: a row for each slot, with its shard, source_no, pass, slot, block_no and
+    the block's words, joined by spaces. Parts of documents are cut out where the texts are read and
+    meet by block, so a block, never a source or a shard, is what one group holds."""
+    rows = docs.select("doc_id", "source", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = written(rows, "numbered")
+    counted = numbered.select(
+        "doc_id",
+        "source",
+        F.expr(f"coalesce(regexp_count(text, r'{NOT_SPACE}'), 0)").cast("long").alias("size"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+        "row",
+    )
+    sources = written(targets(counted), "targets")
+    documents = placed(counted, sources).select("row", "source_no", "start", "block")
+    words = F.expr(f"regexp_extract_all(text, r'{NOT_SPACE}', 0)")
+    drawn = slots(sources)
+    cut = (
+        numbered.select("row", words.alias("words"))
+        .filter(F.size("words") > 0)
+        .join(documents, "row")
+        .withColumn("block_no", F.explode(F.expr("sequence(start div block, (start + size(words) - 1) div block)")))
+        .withColumn("from", F.greatest(F.lit(0), F.expr("block_no * block - start")))
+        .withColumn("n", F.least(F.size("words"), F.expr("(block_no + 1) * block - start")) - F.col("from"))
+        .select(
+            "source_no",
+            "block_no",
+            F.struct("start", "row", F.expr("slice(words, CAST(from + 1 AS INT), CAST(n AS INT))").alias("words")).alias("part"),
+        )
+    )
+    parts = cut.groupBy("source_no", "block_no").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    joined = F.array_join(F.flatten(F.transform("parts", lambda p: p["words"])), " ")
+    return drawn.hint("merge").join(parts, ["source_no", "block_no"]).select(
+        "shard", "source_no", "pass", "slot", "block_no", joined.alias("words")
+    )
+
+
+def write_shards(docs: DataFrame, folder: str) -> None:
+    """``shards`` as a table with a folder per shard, in the order of sources, passes and slots."""
+    order = ["shard", "source_no", "pass", "slot"]
+    ranged = shards(docs).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.partitionBy("shard").parquet(folder)
+
+
 def _cut_text():
     """The words of parts [(from, to)] of each text, as an Arrow function."""
 

@@ -133,3 +133,17 @@ def pack(cut_up: DataFrame, length: int = LENGTH, n_open: int = OPEN) -> DataFra
 def pack_documents(docs: DataFrame, tokenizer: str, kind: str, end_id: int) -> DataFrame:
     """All documents packed; pieces are written once, so that texts are encoded once."""
     return pack(written(pieces(docs, tokenizer, kind, end_id), "pieces"))
+
+
+def sequences(docs: DataFrame, tokenizer: str, kind: str, end_id: int) -> DataFrame:
+    """The packed sequences themselves: sequence_id, ids (at most LENGTH), and the pieces they hold as
+    (offset, length, doc_id, piece)."""
+    packed = pack(written(pieces(docs, tokenizer, kind, end_id, with_ids=True), "pieces"))
+    part = F.struct("offset", "length", "doc_id", "piece", "ids")
+    ordered = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    names = ("offset", "length", "doc_id", "piece")
+    return ordered.select(
+        "sequence_id",
+        F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"),
+        F.transform("parts", lambda p: F.struct(*[p[n].alias(n) for n in names])).alias("pieces"),
+    )
