@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postern.llm.common import written
-from postern.llm.tokens import encoder
+from postern.llm.tokens import encoder, give_back
 
 LENGTH = 1024
 OPEN = 2048
@@ -104,6 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, length: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
+            give_back()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, _copy long"
     return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<bigint>" * with_ids)

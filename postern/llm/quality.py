@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from postern.llm.common import NOT_SPACE, set_aside, written
+from postern.llm.tokens import give_back
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -89,6 +90,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 [pa.array(c, pa.int64()) for c in columns], fields=fields
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*kept, "_counts"])
+            give_back()
 
     counts = StructType([StructField(c, LongType()) for c in COUNTS])
     return docs.mapInArrow(count, StructType([*docs.schema.fields, StructField("_counts", counts)]))

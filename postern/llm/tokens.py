@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 #: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
 MAX_PIECES = 400_000
 #: Characters of texts cut together, and words encoded as one string.
-CUT, JOINED = 4_000_000, 50
+CUT, JOINED = 2_000_000, 50
 
 # White space of Python that the tokenizers take as ordinary characters, and special tokens' start.
 _WHOLE = r"[\x1c-\x1f]|<\|"
@@ -165,6 +165,11 @@ class Encoder:
                     yield ids[cuts[i] : cuts[i + 1]].tobytes()
 
 
+def give_back() -> None:
+    """Return Arrow's free memory to the system; a worker that goes on to another task keeps it else."""
+    pa.default_memory_pool().release_unused()
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str, kind: str) -> Encoder:
     """The worker's encoder: a worker that runs several tasks keeps its pieces."""
