@@ -34,6 +34,8 @@ OPEN = 2048
 BUCKET = 4096
 #: Pieces that a task remembers to find those equal to earlier ones.
 KNOWN = 1 << 16
+#: Characters that a task encodes at a time; the pipeline's executors have little memory left.
+CUT = 2_000_000
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -88,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, length: int
         known: set[tuple] = set()
         for batch in batches:
             rows = []
-            texts = own.encode(batch.column(1))
+            texts = own.encode(batch.column(1), CUT)
             for doc_id, raw in zip(batch.column(0).to_pylist(), texts, strict=True):
                 raw += end
                 for i, (start, n) in enumerate(cut(len(raw) // 4, length)):

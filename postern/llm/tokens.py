@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 #: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
 MAX_PIECES = 400_000
 #: Characters of texts cut together, and words encoded as one string.
-CUT, JOINED = 2_000_000, 50
+CUT, JOINED = 4_000_000, 50
 
 # White space of Python that the tokenizers take as ordinary characters, and special tokens' start.
 _WHOLE = r"[\x1c-\x1f]|<\|"
@@ -140,11 +140,11 @@ class Encoder:
         distinct = _list(coded.dictionary)
         return offsets, distinct, numbers
 
-    def encode(self, texts: pa.Array) -> Iterator[bytes]:
-        """The ids of each text; a null text is empty."""
+    def encode(self, texts: pa.Array, cut: int = CUT) -> Iterator[bytes]:
+        """The ids of each text; a null text is empty. Chunks of ``cut`` characters are held at a time."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-        ends = [*np.flatnonzero(np.diff(sizes // CUT)) + 1, len(texts)]
+        ends = [*np.flatnonzero(np.diff(sizes // cut)) + 1, len(texts)]
         for start, end in zip([0, *ends], ends, strict=False):
             some = texts.slice(start, end - start)
             whole = pc.match_substring_regex(some, self.whole).to_numpy(zero_copy_only=False)
