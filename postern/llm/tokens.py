@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces kept by one Python worker (some 200 bytes each); the cache starts anew when it is full.
+#: Words and other keys kept by one Python worker (some 200 bytes each), half of them of late.
 MAX_PIECES = 400_000
 #: Characters of texts cut together, and words encoded as one string.
 CUT, JOINED = 4_000_000, 50
@@ -41,6 +41,15 @@ def _list(column: pa.Array) -> list:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+def _gather(flat: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` with these numbers, one after the other, and where each ends; ``sizes``
+    are those of all runs in ``flat``."""
+    begins = np.cumsum(sizes) - sizes
+    n = sizes[numbers]
+    to = np.cumsum(n)
+    return flat[np.repeat(begins[numbers] - (to - n), n) + np.arange(int(to[-1]) if len(to) else 0)], to
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids. Kinds of tokenizers: of "word", white
     space ends every token and is dropped; of "byte", a token takes one space before it,
@@ -56,6 +65,7 @@ class Encoder:
         self.plain = r"^[^\PLΣİ]+$" if self.word else r"^ ?\pL+$"
         self.whole = _WHOLE if self.word else f"{_WHOLE}|{_RUN}"
         self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.line_end = self.tokenizer.token_to_id("Ċ")  # that of "\n"; unused by kind "word"
         # The tokens that end a word (kind "word") or start with a space (kind "byte").
         self.border = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -66,24 +76,33 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces. A plain piece is a word (letters; of kind "byte", perhaps a space
-        before them), perhaps with punctuation after it, which makes tokens of its own; its ids
-        are those of the word, of kind "word" in lower case, and of the rest. Several words make
-        one string, whose ids are cut again at the words' borders; if these don't count up, and
-        for other pieces, each is encoded by itself."""
+    def _split(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Plain pieces as a word and the punctuation after it, which makes tokens of its own: the
+        distinct keys of these, and the numbers of each piece's two (the second may be empty). A
+        plain piece's word is letters, of kind "byte" perhaps after a space, of kind "word" in lower
+        case; any other piece is a key as it is."""
+        words = pc.utf8_rtrim(pieces, characters=_ENDINGS)
+        is_plain = pc.match_substring_regex(words, self.plain)
+        n_bytes = pc.if_else(is_plain, pc.binary_length(words), pc.binary_length(pieces))
+        keys = pc.if_else(is_plain, pc.utf8_lower(words) if self.word else words, pieces)
+        # The rests lie in the pieces' own buffer, each from its word's end to its piece's end.
+        starts = np.frombuffer(pieces.buffers()[1], "<i4")[pieces.offset :][: len(pieces) + 1]
+        bounds = np.empty(2 * len(pieces) + 1, "<i4")
+        bounds[0::2] = starts
+        bounds[1::2] = starts[:-1] + n_bytes.to_numpy(zero_copy_only=False)
+        halves = pa.StringArray.from_buffers(2 * len(pieces), pa.py_buffer(bounds), pieces.buffers()[2])
+        rests = halves.take(pa.array(np.arange(1, 2 * len(pieces), 2)))
+        coded = pa.concat_arrays([keys, rests]).dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return coded.dictionary, numbers.reshape(2, -1).T
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new keys. Several words make one string, whose ids are cut again at the words'
+        borders; if these don't count up, and for keys that are no words, each is encoded by itself."""
         known = self.cache
-        given = pa.array(pieces, pa.string())
-        cores = pc.utf8_rtrim(given, characters=_ENDINGS)
-        is_plain = pc.match_substring_regex(cores, self.plain)
-        ends = pc.not_equal(pc.binary_length(cores), pc.binary_length(given))
-        if self.word:
-            cores = pc.utf8_lower(cores)
-        plain, core_of = _list(given.filter(is_plain)), _list(cores.filter(is_plain))
-        ending = [p for p, e in zip(plain, _list(ends.filter(is_plain)), strict=True) if e]
-        rest_of = [p[len(p.rstrip(_ENDINGS)) :] for p in ending]
-        words = list(set(core_of) - known.keys())
-        other = list((set(_list(given.filter(pc.invert(is_plain)))) | set(rest_of)) - known.keys())
+        given = pa.array(new, pa.string())
+        is_plain = pc.match_substring_regex(given, self.plain)
+        words, other = _list(given.filter(is_plain)), _list(given.filter(pc.invert(is_plain)))
         encode = lambda x: self.tokenizer.encode_batch_fast(x, add_special_tokens=False)
         # Words without a space before them go with a line end after each, always one token.
         bare = [] if self.word else [w for w in words if w[0] != " "]
@@ -106,25 +125,26 @@ class Encoder:
                     starts, stops = ends.tolist(), [*ends[1:].tolist(), len(raw)]
                 known.update(zip(group, map(raw.__getitem__, map(slice, starts, stops)), strict=True))
         known.update(
-            (piece, np.array(found.ids, "<u4").tobytes())
-            for piece, found in zip(other, encode(other), strict=True)
+            (key, np.array(found.ids, "<u4").tobytes())
+            for key, found in zip(other, encode(other), strict=True)
         )
-        known.update(zip(plain, list(map(known.__getitem__, core_of)), strict=True))
-        for piece, rest in zip(ending, rest_of, strict=True):
-            known[piece] += known[rest]
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        raw = list(map(self.cache.get, pieces))
+    def _ids(self, keys: list[str]) -> list[bytes]:
+        """The ids of distinct keys. Keys used since the older half was set aside make the newer one;
+        the older one goes when the newer is full, so frequent keys stay."""
+        raw = list(map(self.cache.get, keys))
         at = [i for i, r in enumerate(raw) if r is None]
-        if len(self.cache) + len(at) > MAX_PIECES:
-            self.cache = {"": b""}
-            at = list(range(len(pieces)))
-        self._learn([pieces[i] for i in at])
-        for i in at:
-            raw[i] = self.cache[pieces[i]]
+        missed = [keys[i] for i in at]
+        found = list(map(self.older.get, missed))
+        self.cache.update((k, r) for k, r in zip(missed, found, strict=True) if r is not None)
+        self._learn([k for k, r in zip(missed, found, strict=True) if r is None])
+        for i, key in zip(at, missed, strict=True):
+            raw[i] = self.cache[key]
+        if 2 * len(self.cache) > MAX_PIECES:
+            self.older, self.cache = self.cache, {"": b""}
         return raw
 
-    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """Where each text's pieces begin, the distinct pieces, and each piece's number in them."""
         if self.word:
             lists = pc.ascii_split_whitespace(texts)
@@ -137,8 +157,7 @@ class Encoder:
         offsets = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.dictionary_encode()
         numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = _list(coded.dictionary)
-        return offsets, distinct, numbers
+        return offsets, coded.dictionary, numbers
 
     def encode(self, texts: pa.Array, cut: int = CUT) -> Iterator[bytes]:
         """The ids of each text; a null text is empty. Chunks of ``cut`` characters are held at a time."""
@@ -149,14 +168,13 @@ class Encoder:
             some = texts.slice(start, end - start)
             whole = pc.match_substring_regex(some, self.whole).to_numpy(zero_copy_only=False)
             offsets, distinct, numbers = self._cut(pc.if_else(pa.array(whole), "", some))
-            raw = self._ids(distinct)
+            keys, halves = self._split(distinct)
+            raw = self._ids(_list(keys))
             flat = np.frombuffer(b"".join(raw), "<u4")
             sizes_of = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-            begin_of = np.cumsum(sizes_of) - sizes_of
-            n = sizes_of[numbers]
-            to = np.cumsum(n)
-            at = np.repeat(begin_of[numbers] - (to - n), n) + np.arange(int(to[-1]) if len(to) else 0)
-            ids = flat[at]
+            # First the ids of the distinct pieces from their halves', then those of the texts.
+            flat, _ = _gather(flat, sizes_of, halves.ravel())
+            ids, to = _gather(flat, sizes_of[halves].sum(axis=1), numbers)
             cuts = np.append(0, to)[offsets].tolist()
             for i, by_itself in enumerate(whole.tolist()):
                 if by_itself:

@@ -30,9 +30,13 @@ def test_encoder_equals_tokenizer(path, kind, monkeypatch):
     got = [np.frombuffer(x, "<u4").tolist() for x in Encoder(path, kind).encode(pa.array(texts))]
     assert got == want
     monkeypatch.setattr("postern.llm.tokens.MAX_PIECES", 5)
-    monkeypatch.setattr("postern.llm.tokens.CUT", 50)
-    again = [np.frombuffer(x, "<u4").tolist() for x in Encoder(path, kind).encode(pa.array(texts))]
-    assert again == want
+    # The same encoder over small chunks several times: words come from both halves of its memory.
+    small = Encoder(path, kind)
+    for _ in range(3):
+        again = [np.frombuffer(x, "<u4").tolist() for x in small.encode(pa.array(texts), 50)]
+        assert again == want
+    for none in ([], [None, ""], ["..."]):
+        assert len(list(small.encode(pa.array(none, pa.string())))) == len(none)
 
 
 def test_token_files(spark, docs, tmp_path):
