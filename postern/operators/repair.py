@@ -40,35 +40,48 @@ def is_accepted(http_status: Column) -> Column:
     return F.coalesce(http_status.between(200, 299), F.lit(False))
 
 
-def with_replies(rows: DataFrame, answers: DataFrame, id_column: str) -> DataFrame:
-    """Add what the task system replied: ``http_status`` and ``message`` of the first attempt,
-    its ``rejection`` class, the number of ``attempts`` (a classified rejection is repaired and
-    sent once more) and whether the last one was ``accepted``."""
+_KINDS = [BAD_UNIT, BAD_ORG]
+# A packed reply: accepted or not, HTTP status (one more than it is, zero if unknown), class.
+_REFUSED, _KIND = 1 << 40, 1 << 3
+
+
+def _packed_reply() -> Column:
+    """What counts of a reply as one number, so the least one is found without sorting texts."""
+    kind = rejection_class(F.col("http_status"), F.col("message"))
+    number = F.array_position(F.array(*map(F.lit, _KINDS)), kind)
+    status = F.coalesce(F.col("http_status").cast("bigint") + 1, F.lit(0))
+    refused = F.when(is_accepted(F.col("http_status")), 0).otherwise(F.lit(_REFUSED))
+    return refused + status * _KIND + F.coalesce(number, F.lit(_KIND - 1))
+
+
+def _status_of(packed: Column) -> Column:
+    status = F.shiftright(F.pmod(packed, F.lit(_REFUSED)), 3)
+    return F.when(status > 0, (status - 1).cast("int"))
+
 
-    # Repeated replies to an attempt count as one: an accepted one if there is any.
-    reply = F.struct(~is_accepted(F.col("http_status")), "http_status", "message")
+def with_replies(rows: DataFrame, answers: DataFrame, id_column: str) -> DataFrame:
+    """Add what the task system replied: ``http_status`` of the first attempt, its ``rejection``
+    class, the number of ``attempts`` (a classified rejection is repaired and sent once more) and
+    whether the last one was ``accepted``. Repeated replies to an attempt count as one: an accepted
+    one if there is any, then that of the least status and of the class tested first."""
     replies = (
-        answers.groupBy("entry_id")
+        answers.select("entry_id", "attempt", _packed_reply().alias("_reply"))
+        .groupBy(F.col("entry_id").alias(id_column))
         .agg(
-            F.min(F.when(F.col("attempt") == 1, reply)).alias("_first"),
-            F.min(F.when(F.col("attempt") == 2, reply)).alias("_last"),
-        )
-        .select(
-            F.col("entry_id").alias(id_column),
-            F.col("_first.http_status").alias("http_status"),
-            F.col("_first.message").alias("message"),
-            F.col("_last.http_status").alias("_second"),
+            F.min(F.when(F.col("attempt") == 1, F.col("_reply"))).alias("_first"),
+            F.min(F.when(F.col("attempt") == 2, F.col("_reply"))).alias("_second"),
         )
     )
+    # A position past the end of the list, as of replies without class or of none, gives NULL.
+    kind = F.coalesce(F.pmod(F.col("_first"), F.lit(_KIND)).cast("int"), F.lit(_KIND - 1))
     repaired = F.col("rejection").isNotNull()
     return (
         rows.join(replies, id_column, "left")
-        .withColumn("rejection", rejection_class(F.col("http_status"), F.col("message")))
+        .withColumn("http_status", _status_of(F.col("_first")))
+        .withColumn("rejection", F.try_element_at(F.array(*map(F.lit, _KINDS)), kind))
         .withColumn("attempts", F.when(repaired, 2).otherwise(1))
-        .withColumn(
-            "accepted", is_accepted(F.when(repaired, F.col("_second")).otherwise(F.col("http_status")))
-        )
-        .drop("_second")
+        .withColumn("accepted", F.coalesce(F.when(repaired, F.col("_second")).otherwise(F.col("_first")) < _REFUSED, F.lit(False)))
+        .drop("_first", "_second")
     )
 
 
@@ -83,11 +96,8 @@ def emptied(replied: DataFrame) -> DataFrame:
 def settle(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Every request after at most one repair, with the fields as last sent and the retry
     ``reason`` of those that were refused for good."""
-    return (
-        emptied(with_replies(requests, answers, "journalpostId"))
-        .withColumn("reason", F.when(~F.col("accepted"), REJECTED))
-        .drop("message")
-    )
+    replied = emptied(with_replies(requests, answers, "journalpostId"))
+    return replied.withColumn("reason", F.when(~F.col("accepted"), REJECTED))
 
 
 def settled_decisions(decisions: DataFrame, answers: DataFrame) -> DataFrame:
@@ -98,7 +108,7 @@ def settled_decisions(decisions: DataFrame, answers: DataFrame) -> DataFrame:
     return (
         replied.withColumn("reason", F.when(refused, REJECTED).otherwise(F.col("reason")))
         .withColumn("outcome", F.when(refused, RETRY).otherwise(F.col("outcome")))
-        .drop("http_status", "message", "accepted")
+        .drop("http_status", "accepted")
     )
 
 

@@ -11,7 +11,7 @@ from postern import rules
 from postern.operators import bitmap, joins, outputs, repair, retry, routing
 from postern.operators.decode import checked, decode, split_faulty
 from postern.sources import tables
-from postern.sources.lookups import broadcast_if_small, entries_with_documents
+from postern.sources.lookups import entries_with_documents
 
 
 @dataclass(frozen=True)
@@ -165,17 +165,27 @@ def run_batch(
         finalizations = write(outputs.finalizations(final), "finalizations")
     narrow = events.select("event_order", "event_tie", "as_of", "entry_id")
     routed = write(routing.fan_out(narrow, decisions, keys=decisions), "routed")
-    retries = write(retry.enqueue(failed_events(events, decisions), delay), "retries")
+    retries = write(retries_of(events, decisions, delay), "retries")
     return BatchResult(decisions, routed, task_requests, updates, finalizations, retries)
 
 
-def failed_events(events: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The whole events of entries decided as RETRY; all events of such an entry end so. Mostly
-    these are few entries, and then the events are not shuffled for it."""
-    failed = broadcast_if_small(
-        decisions.where(F.col("outcome") == routing.RETRY).select("entry_id", "outcome")
-    )
-    return events.join(failed, "entry_id")
+def retries_of(events: DataFrame, decisions: DataFrame, delay: Column | None = None) -> DataFrame:
+    """Retry rows of the entries decided as RETRY; all events of such an entry end so.
+
+    Mostly these are few entries, which are broadcast. Of many, as in an outage, a bitmap drops most
+    other events where they are scanned; then each task reduces its events to one row per entry, and
+    only these rows meet the failed entries, so an entry of very many events costs a row per task.
+    """
+    failed = decisions.where(F.col("outcome") == routing.RETRY).select("entry_id")
+    events = events.withColumn("outcome", F.lit(routing.RETRY))
+    n = failed.count()
+    if n <= MAX_BROADCAST_IDS:
+        return retry.enqueue(events.join(F.broadcast(failed), "entry_id", "left_semi"), delay)
+    bits = bitmap.bits_for(n)
+    maps = bitmap.bitmap(failed, F.col("entry_id"), bits)
+    maybe = bitmap.with_maybe(events, F.col("entry_id"), maps, bits).where("maybe").drop("maybe")
+    rows = retry.enqueue(maybe, delay)
+    return rows.join(failed.withColumnRenamed("entry_id", "key"), "key", "left_semi")
 
 
 def cut_to(lookups: Lookups, ids: DataFrame) -> tuple[Lookups, bool]:

@@ -7,7 +7,9 @@ import datetime
 from pyspark.sql import functions as F
 
 from postern.operators import decode, outputs, repair, retry
-from postern.schemas import EVENT_REQUIRED, EVENT_WIRE
+from postern.plans import intake
+from postern.rules import REJECTION_TEXTS
+from postern.schemas import EVENT_DECODED, EVENT_REQUIRED, EVENT_WIRE
 
 
 def test_unreadable_record_is_quarantined(spark):
@@ -53,6 +55,53 @@ def test_repeated_replies_count_once(spark):
     assert sorted((r.journalpostId, r.accepted) for r in rows) == [("1", True), ("2", False)]
 
 
+def test_replies_are_picked_without_sorting_texts(spark):
+    first, second = REJECTION_TEXTS[0][1:]
+    other = [t for t in REJECTION_TEXTS if t[0] == repair.BAD_ORG][0]
+    unit, org = f"{first} {second}", f"{other[1]} {other[2]}"
+    answers = spark.createDataFrame(
+        [
+            ("unit", 1, 400, unit), ("unit", 2, 204, None), ("org", 1, 400, org), ("org", 2, 500, None),
+            ("both", 1, 400, org), ("both", 1, 400, unit), ("least", 1, 500, None), ("least", 1, 404, "z"),
+            ("unknown", 1, None, None), ("plain", 1, 201, "z"), ("late", 2, 201, None),
+        ],
+        "entry_id string, attempt int, http_status int, message string",
+    )
+    requests = answers.select(F.col("entry_id").alias("id")).distinct().union(spark.sql("SELECT 'none'"))
+    replied = repair.with_replies(requests, answers, "id")
+    got = {r.id: (r.http_status, r.rejection, r.attempts, r.accepted) for r in replied.collect()}
+    assert got == {
+        "unit": (400, "bad_unit", 2, True),
+        "org": (400, "bad_org", 2, False),
+        "both": (400, "bad_unit", 2, False),
+        "least": (404, None, 1, False),
+        "unknown": (None, None, 1, False),
+        "plain": (201, None, 1, True),
+        "late": (None, None, 1, False),
+        "none": (None, None, 1, False),
+    }
+    assert "SortAggregate" not in replied._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retries_of_many_failed_entries(spark, monkeypatch):
+    """Above the broadcast bound the same retries come, by a bitmap and a reduction per task."""
+    fields = ", ".join(f"'x' AS {n}" for n in EVENT_DECODED.names)
+    events = spark.sql(
+        f"""SELECT id AS event_order, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS as_of,
+            CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN CAST(id AS STRING) END AS entry_id, {fields}
+            FROM range(3000)"""
+    )
+    decisions = events.selectExpr(
+        "entry_id", "CASE WHEN entry_id = 'hot' OR event_order % 2 = 0 THEN 'RETRY' ELSE 'JFR' END AS outcome"
+    ).where("entry_id IS NOT NULL").distinct()
+    few = sorted(map(tuple, intake.retries_of(events, decisions).collect()))
+    monkeypatch.setattr(intake, "MAX_BROADCAST_IDS", 1)
+    many = intake.retries_of(events, decisions)
+    assert sorted(map(tuple, many.collect())) == few
+    # The last hot event, at 2997 s, waits a second.
+    assert len(few) == 501 and {r[0]: r[2] for r in few}["hot"] == 1_704_067_200_000 + 2_998_000
+
+
 def test_last_update_wins(spark):
     names = ["status", "theme", "party_id", "party_type", "unit", "title", "sender_id", "sender_type", "preset_theme"]
     journal = spark.createDataFrame([("1", *["old"] * len(names))], ["entry_id", *names])
