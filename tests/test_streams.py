@@ -195,6 +195,23 @@ def test_messages_are_held_until_due(spark):
     assert store.waiting(spark, 7).count() == 0
 
 
+def test_a_batch_opens_its_own_messages_and_hours_that_still_wait(spark):
+    """Messages overdue since many hours cost one folder a batch, and later batches don't open it."""
+    store = DueStore(work_dir(spark, "overdue"), None)
+    start = dt.datetime(2024, 1, 10)
+    t0 = int(start.replace(tzinfo=dt.UTC).timestamp() * 1000)
+    for n in range(4):
+        rows = [(f"k{n}-{h}", "v", t0 - h * 60 * MINUTE, start) for h in range(30)] + [("none", "w", None, None)]
+        rows.append((f"later{n}", "x", t0 + 90 * MINUTE, start))
+        due, _ = store.turn(spark, spark.createDataFrame(rows, route.RETRY_DDL), n, lambda n=n: t0 + n * MINUTE)
+        opened = {f.split("/waiting/")[1].rsplit("/", 1)[0] for f in due.inputFiles()}
+        hour = t0 // (60 * MINUTE)
+        later = {f"hour={hour + 1}/batch_id={i}" for i in range(n + 1)}
+        assert opened == {f"hour={hour - 1}/batch_id={n}", *later}
+        assert sorted(r.key for r in due.collect()) == sorted([*(r[0] for r in rows[:30]), "none"])
+    assert sorted(r.key for r in store.waiting(spark, 3).collect()) == [f"later{n}" for n in range(4)]
+
+
 def test_due_store_plans_no_python_and_sorts_no_payload(spark):
     store = DueStore(work_dir(spark, "due"))
     rows = spark.createDataFrame([("k", "v", 1, dt.datetime(2024, 1, 10))], route.RETRY_DDL)
