@@ -12,7 +12,7 @@ from postern.operators import retry
 from postern.operators.decode import checked, decode
 from postern.plans import intake
 from postern.plans.queries import QUERIES
-from postern.session import work_dir
+from postern.session import session_settings, work_dir
 from postern.sources import streams, tables
 from postern.streaming import publish, route
 from postern.streaming.due import DueStore
@@ -51,6 +51,25 @@ def test_many_batches_equal_one(spark, sf_dir):
     assert tasks.exceptAll(expected).count() == 0 and expected.exceptAll(tasks).count() == 0
 
 
+def test_a_batch_broadcasts_no_large_table_by_itself(spark):
+    """Within a batch only small tables pass through the driver unasked; afterwards all is as before."""
+    seen, keys = [], list(route.BATCH_SETTINGS)
+    source = X.make_lookups(spark, [X.entry("2")], [X.person("100")])
+
+    def read_lookups(session):
+        large = session.range(400_000)  # 3.2 MB, which would be broadcast outside
+        joined = session.range(10_000_000).join(large, "id")
+        seen.append(joined._jdf.queryExecution().executedPlan().toString())
+        return source
+
+    before = [spark.conf.get(k, None) for k in keys]
+    wire = X.wire(spark, [(1, X.WEDNESDAY_MORNING, 2, "Mottatt", "SYK")])
+    handle = route.handle_batch(work_dir(spark, "narrow"), read_lookups)
+    handle(decode(checked(wire)).withColumn("is_retry", F.lit(False)), 0)
+    assert len(seen) == 1 and "BroadcastHashJoin" not in seen[0]
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 @pytest.fixture
 def batches(spark):
     rows = [X.entry("1", code=X.MANUAL_CODE), X.entry("2"), X.entry("3", code="4936")]
@@ -345,7 +364,6 @@ def test_second_failure_waits_ten_minutes(batches, spark):
 def test_bucketed_entries_are_not_shuffled(spark, sf_dir):
     from dataclasses import replace
 
-    from postern.session import session_settings
     from postern.sources import snapshot
 
     lookups = intake.table_lookups(spark, sf_dir)
