@@ -11,7 +11,7 @@ import pytest
 from postern.operators import retry
 from postern.operators.decode import checked, decode
 from postern.plans import intake
-from postern.plans.queries import QUERIES
+from postern.plans.queries import QUERIES, _route_slice
 from postern.session import session_settings, work_dir
 from postern.sources import streams, tables
 from postern.streaming import publish, route
@@ -51,6 +51,30 @@ def test_many_batches_equal_one(spark, sf_dir):
     assert tasks.exceptAll(expected).count() == 0 and expected.exceptAll(tasks).count() == 0
 
 
+def _events_of(spark, numbers):
+    """A folder with these events only."""
+    folder = work_dir(spark, "own")
+    rows = [(n, dt.datetime(2024, 1, 10, 9), 1, "view", 1.0, '{"k": 1}') for n in numbers]
+    spark.createDataFrame(rows, tables.SCHEMAS["events"]).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_a_slice_is_one_batch_of_many_files(spark):
+    """All tasks write and read a slice, not one."""
+    folder, out = _events_of(spark, range(400)), work_dir(spark, "files")
+    source = X.make_lookups(spark, [X.entry("3")], [X.person("100")])
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+    with session_settings(spark, settings):
+        for n in range(2):
+            _route_slice(spark, folder, out, 2, n, lambda _: source)
+    assert len(spark.read.parquet(f"{out}/in").inputFiles()) == 8
+    read = spark.read.parquet(f"{out}/entries").inputFiles()
+    assert {f.split("batch_id=")[1].split("/")[0] for f in read} == {"0", "1"}
+    rows = spark.read.parquet(f"{out}/events").groupBy("batch_id").agg(F.min("event_order"), F.max("event_order"))
+    (least, most) = sorted(tuple(r)[1:] for r in rows.collect())
+    assert least[1] < 200 <= most[0]
+
+
 def test_a_batch_broadcasts_no_large_table_by_itself(spark):
     """Within a batch only small tables pass through the driver unasked; afterwards all is as before."""
     seen, keys = [], list(route.BATCH_SETTINGS)
